@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .hmm import hmm_scores
 from .jaccard import jaccard_components
 
 QUERIES, ORACLES = {}, {}
@@ -18,3 +19,10 @@ def op7_ngram_jaccard(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES["op7_ngram_jaccard"] = op7_ngram_jaccard
+
+
+def op10_hidden_markov_lm(spark: SparkSession, root: str) -> DataFrame:
+    return hmm_scores(table(spark, root, "documents"))
+
+
+QUERIES["op10_hidden_markov_lm"] = op10_hidden_markov_lm
