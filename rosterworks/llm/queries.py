@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .hmm import hmm_scores
 from .jaccard import jaccard_components
+from .toxicity import score_toxicity, train
 
 QUERIES, ORACLES = {}, {}
 
@@ -26,3 +27,11 @@ def op10_hidden_markov_lm(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES["op10_hidden_markov_lm"] = op10_hidden_markov_lm
+
+
+def op4_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents")
+    return score_toxicity(docs, train(docs, table(spark, root, "labels")))
+
+
+QUERIES["op4_toxicity"] = op4_toxicity
