@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .hmm import hmm_scores
 from .jaccard import jaccard_components
+from .pii import find_pii
 from .toxicity import score_toxicity, train
 
 QUERIES, ORACLES = {}, {}
@@ -35,3 +36,10 @@ def op4_toxicity(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES["op4_toxicity"] = op4_toxicity
+
+
+def op5_pii(spark: SparkSession, root: str) -> DataFrame:
+    return find_pii(table(spark, root, "documents"))
+
+
+QUERIES["op5_pii"] = op5_pii
