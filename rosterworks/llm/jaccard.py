@@ -11,9 +11,11 @@ Stages, each a Spark job over the whole table:
 3. *Index lists*: surviving sets are ordered rarest shingle first and only their prefixes enter the
    lists. Lists are cut into blocks by position; a pair of blocks whose best positional bound is
    too small is skipped whole.
-4. *Answers from similar sets*: every list has a leader. A set that is linked to its leader takes
-   over the leader's component, that is, all the answers found for it; only sets of different
-   components are compared again.
+4. *Answers from similar sets*: every set belongs to a home block, a piece of bounded size of its
+   longest list. A home block is answered at once by counting shared shingles; every list also has a
+   leader, to which its other sets are compared. A set that is linked to another takes over all
+   the answers found for it, so only pairs of different components and home blocks are left, each
+   looked at in the first list that both sets are in.
 """
 
 from __future__ import annotations
@@ -29,9 +31,11 @@ from pyspark.sql import functions as F
 from .common import as_int64, byte_views, materialize, mix, shingle_hashes, words_of
 from .graph import components
 
-ENTRIES_PER_BUCKET = 2_000_000
+ENTRIES_PER_BUCKET = 4_000_000
+LEAST_BITS = 6
 BITMAP_BITS = 24
 BLOCK = 8
+HOME = 2_000
 
 
 def shingle_set(data: np.ndarray, size: int) -> np.ndarray:
@@ -168,6 +172,30 @@ def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(got, pa.int64()), pa.array([(len(p) + len(q)) // 8 for p, q in zip(x, y, strict=True)], pa.int64())], ["a", "b", "common", "both"])
 
 
+def _home_links(percent: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        """Links of a block that suffice to connect what is linked in it: each set with the first of its component."""
+        ids = pdf["set_id"].to_numpy(np.int64)
+        sets = [np.frombuffer(x, np.uint64) for x in pdf["hashes"]]
+        size = np.array([len(x) for x in sets])
+        token = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        who = np.repeat(np.arange(len(ids)), size)[np.argsort(token, kind="stable")]
+        start = np.concatenate(([0], np.cumsum(np.bincount(token))))
+        root, at = np.arange(len(ids)), 0
+        for k, n in enumerate(size):
+            lists = [who[start[t] : start[t + 1]] for t in token[at : at + n] if start[t + 1] - start[t] > 1]
+            at += n
+            if lists:
+                common = np.bincount(np.concatenate(lists), minlength=len(ids))
+                linked = root[(common * 100 >= percent * (size + n - common)) & (common > 0)]
+                if len(linked):
+                    root[np.isin(root, linked)] = min(linked.min(), root[k])
+        ends = root != np.arange(len(ids))
+        return pd.DataFrame({"a": ids[root[ends]], "b": ids[ends]})
+
+    return run
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("set_id").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("set_id").alias("b"), F.col("hashes").alias("y"))
@@ -197,7 +225,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, chars_
     classes = profile.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
 
     entries = profile.agg(F.sum("n_shingles")).first()[0] or 0
-    bits = min(15, max(3, int(np.ceil(np.log2(max(1, entries / ENTRIES_PER_BUCKET))))))
+    bits = min(15, max(LEAST_BITS, int(np.ceil(np.log2(max(1, entries / ENTRIES_PER_BUCKET))))))
     packed = text.select("text").mapInArrow(_pack(size, bits), "bucket int, hashes binary, several binary, owners binary, counts binary")
     support = packed.groupBy("bucket").applyInPandas(_support, "set_id long, shared long").groupBy("set_id").agg(F.sum("shared").alias("shared"))
     kept = materialize(classes.join(support, "set_id").where(F.col("shared") * 100 >= F.col("n") * percent).select("set_id", "doc_id", "n"), "kept")
@@ -212,45 +240,60 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, chars_
     common = postings.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     ranked = postings.join(common, "token").groupBy("set_id").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens"))
     prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - F.col("private")
-    entries = (
+    heads = (
         sets.select("set_id", "n")
         .join(ranked, "set_id")
         .withColumn("private", F.col("n") - F.size("tokens"))
         .where(prefix > 0)
-        .select("set_id", "n", "private", F.posexplode(F.slice("tokens", 1, prefix.cast("int"))))
-        .select(F.col("col.token").alias("token"), "set_id", "n", (F.col("n") - F.col("private") - F.col("pos")).alias("rest"))
+        .select("set_id", "n", "private", F.slice("tokens.token", 1, F.greatest(prefix, F.lit(0)).cast("int")).alias("head"))
     )
-    entries = materialize(entries, "lists")
-
-    leader = entries.groupBy("token").agg(F.min(F.struct("set_id", "n", "rest")).alias("lead"))
-    pairs = (
-        entries.join(leader, "token")
-        .where(F.col("set_id") != F.col("lead.set_id"))
+    entries = heads.select("set_id", "n", "private", F.posexplode("head").alias("pos", "token")).select("token", "set_id", "n", (F.col("n") - F.col("private") - F.col("pos")).alias("rest"))
+    lengths = entries.groupBy("token").agg(F.count("*").alias("length"), F.min(F.struct("set_id", "n", "rest")).alias("lead")).where("length > 1")
+    entries = materialize(entries.join(lengths, "token"), "lists")
+    home = entries.groupBy("set_id").agg(F.max(F.struct("length", "token")).alias("home"))
+    piece = F.pmod(F.xxhash64("set_id"), F.ceil(F.col("home.length") / HOME))
+    home = materialize(home.select("set_id", F.xxhash64("home.token", piece).alias("home")), "homes")
+
+    at_home = home.join(sets, "set_id").groupBy("home").applyInPandas(_home_links(percent), "a long, b long")
+    lead = home.select(F.col("set_id").alias("lead_id"), F.col("home").alias("lead_home"))
+    led = (
+        entries.where(F.col("set_id") != F.col("lead.set_id"))
         .where(_possible(percent, F.col("n"), F.col("rest"), F.col("lead.n"), F.col("lead.rest")))
-        .select(F.col("lead.set_id").alias("a"), F.col("set_id").alias("b"))
+        .select(F.col("lead.set_id").alias("lead_id"), "set_id")
         .distinct()
+        .join(home, "set_id")
+        .join(lead, "lead_id")
+        .where("home <> lead_home")
+        .select(F.col("lead_id").alias("a"), F.col("set_id").alias("b"))
     )
-    first = components(_verified(pairs, sets, percent))
+    first = components(at_home.union(_verified(led, sets, percent)))
 
-    labelled = entries.join(first.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
-    mixed = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
-    labelled = materialize(labelled.join(mixed, "token", "left_semi").withColumn("block", F.floor(F.col("rest") / BLOCK)), "mixed")
-    blocks = labelled.groupBy("token", "label", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest"))
+    labelled = entries.select("token", "set_id", "n", "rest").join(home, "set_id").join(first.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+    mixed = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("home").alias("here"), F.max("home").alias("there")).where("low < high and here < there").select("token")
+    labelled = labelled.join(mixed, "token", "left_semi").join(heads.select("set_id", "head"), "set_id")
+    labelled = materialize(labelled.withColumn("block", F.floor(F.col("rest") / BLOCK)), "mixed")
+    blocks = labelled.groupBy("token", "label", "home", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest"))
     name = lambda df, tag: df.select(*[F.col(c).alias(c if c == "token" else f"{c}_{tag}") for c in df.columns])
-    x, y = name(blocks, "x"), name(blocks, "y")
-    open_blocks = x.join(y, "token").where(
-        (F.col("label_x") < F.col("label_y"))
+    open_blocks = name(blocks, "x").join(
+        name(blocks, "y").withColumnRenamed("token", "token_y"),
+        (F.col("token") == F.col("token_y"))
+        & (F.col("label_x") < F.col("label_y"))
+        & (F.col("home_x") != F.col("home_y"))
         & (F.least("most_x", "most_y") * 100 >= F.greatest("least_x", "least_y") * percent)
-        & (F.least("rest_x", "rest_y") * (100 + percent) >= (F.col("least_x") + F.col("least_y")) * percent)
-    )
-    open_blocks = open_blocks.select("token", "label_x", "block_x", "label_y", "block_y")
-    rest = (
-        open_blocks.join(name(labelled, "x"), ["token", "label_x", "block_x"])
-        .join(name(labelled, "y"), ["token", "label_y", "block_y"])
-        .where(_possible(percent, F.col("n_x"), F.col("rest_x"), F.col("n_y"), F.col("rest_y")))
-        .select(F.least("set_id_x", "set_id_y").alias("a"), F.greatest("set_id_x", "set_id_y").alias("b"))
-        .distinct()
+        & (F.least("rest_x", "rest_y") * (100 + percent) >= (F.col("least_x") + F.col("least_y")) * percent),
     )
+    open_blocks = open_blocks.select("token", *[F.col(f"{c}_{t}").alias(f"{c}_{t}") for t in "xy" for c in ("label", "home", "block")])
+    of_x = open_blocks.join(name(labelled, "x"), ["token", "label_x", "home_x", "block_x"])
+    of_y = name(labelled, "y").select(*[F.col(c).alias("token_y" if c == "token" else f"of_{c}" if c in ("label_y", "home_y", "block_y") else c) for c in name(labelled, "y").columns])
+    rest = of_x.join(
+        of_y,
+        (F.col("token") == F.col("token_y"))
+        & (F.col("label_y") == F.col("of_label_y"))
+        & (F.col("home_y") == F.col("of_home_y"))
+        & (F.col("block_y") == F.col("of_block_y"))
+        & _possible(percent, F.col("n_x"), F.col("rest_x"), F.col("n_y"), F.col("rest_y"))
+        & (F.array_intersect("head_x", "head_y")[0] == F.col("token")),
+    ).select(F.least("set_id_x", "set_id_y").alias("a"), F.greatest("set_id_x", "set_id_y").alias("b"))
     more = _verified(rest, sets, percent)
     label = first.select(F.col("node").alias("a"), F.col("label").alias("la"))
     other = first.select(F.col("node").alias("b"), F.col("label").alias("lb"))
