@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import langid
+from .decontaminate import leaked_pairs
 from .hmm import hmm_scores
 from .jaccard import jaccard_components
 from .pii import find_pii
@@ -43,3 +45,18 @@ def op5_pii(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES["op5_pii"] = op5_pii
+
+
+def op6_decontaminate(spark: SparkSession, root: str) -> DataFrame:
+    return leaked_pairs(table(spark, root, "documents"), table(spark, root, "benchmark")).drop("key")
+
+
+QUERIES["op6_decontaminate"] = op6_decontaminate
+
+
+def op9_language_id(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
+QUERIES["op9_language_id"] = op9_language_id
