@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import langid
+from .ann import nearest
 from .decontaminate import leaked_pairs
 from .hmm import hmm_scores
 from .jaccard import jaccard_components
@@ -60,3 +62,22 @@ def op9_language_id(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES["op9_language_id"] = op9_language_id
+
+
+def op3_nearest(spark: SparkSession, root: str) -> DataFrame:
+    return nearest(table(spark, root, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+QUERIES["op3_nearest"] = op3_nearest
+ORACLES["op3_nearest"] = """
+WITH v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+), s AS (
+  SELECT a.vec_id AS query_id, b.vec_id AS vec_id, list_inner_product(a.e, b.e) AS score
+  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+) r WHERE rank <= 20
+"""
