@@ -12,6 +12,7 @@ from .hmm import hmm_scores
 from .jaccard import jaccard_components
 from .pii import find_pii
 from .toxicity import score_toxicity, train
+from .warc import round_trip
 
 QUERIES, ORACLES = {}, {}
 
@@ -81,3 +82,10 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
 ) r WHERE rank <= 20
 """
+
+
+def op2_warc(spark: SparkSession, root: str) -> DataFrame:
+    return round_trip(table(spark, root, "pages")).drop("url")
+
+
+QUERIES["op2_warc"] = op2_warc
