@@ -29,6 +29,7 @@ END = np.uint64(0)
 STRETCH = 512
 CELLS = 400_000
 ENTRIES_PER_BUCKET = 4_000_000
+LEAST_BITS = 5
 
 
 def token_hashes(data: np.ndarray) -> np.ndarray:
@@ -343,7 +344,7 @@ def hmm_scores(docs: DataFrame, held_out_modulus: int = 7, held_out_remainder: i
     spark = docs.sparkSession
     training = rows.where(~F.col("held_out")).select("text")
     chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    bits = min(14, max(3, int(np.ceil(np.log2(max(1, chars / 7 / ENTRIES_PER_BUCKET))))))
+    bits = min(14, max(LEAST_BITS, int(np.ceil(np.log2(max(1, chars / 7 / ENTRIES_PER_BUCKET))))))
 
     counts = training.mapInArrow(_count(bits), PACKED).groupBy("bucket").applyInPandas(_total, "bucket int, hashes binary, counts binary, tokens array<long>, words array<long>")
     counts = materialize(counts, "counts")
