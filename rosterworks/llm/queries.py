@@ -10,6 +10,7 @@ from .ann import nearest
 from .decontaminate import leaked_pairs
 from .hmm import hmm_scores
 from .jaccard import jaccard_components
+from .mixing import mix
 from .pii import find_pii
 from .toxicity import score_toxicity, train
 from .warc import round_trip
@@ -89,3 +90,14 @@ def op2_warc(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES["op2_warc"] = op2_warc
+
+#: Weights of the registered mixture: domains and languages that are not listed weigh 1.
+MIX_WEIGHTS = {"domain": {"domain0": 4.0, "domain1": 2.0}, "lang": {"en": 2.0, "de": 1.5}}
+
+
+def op1_mix_sources(spark: SparkSession, root: str) -> DataFrame:
+    mixed = mix(table(spark, root, "documents"), total_share=0.6, weights=MIX_WEIGHTS, cut_text=False)
+    return mixed.select("doc_id", "mix_domain", "lang", "source", "mix_epoch", "mix_tokens", "mix_taken")
+
+
+QUERIES["op1_mix_sources"] = op1_mix_sources
