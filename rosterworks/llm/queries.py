@@ -10,6 +10,7 @@ from .ann import nearest
 from .decontaminate import leaked_pairs
 from .hmm import hmm_scores
 from .jaccard import jaccard_components
+from .licenses import scan_licenses, visible_lines
 from .mixing import mix
 from .pii import find_pii
 from .toxicity import score_toxicity, train
@@ -101,3 +102,11 @@ def op1_mix_sources(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES["op1_mix_sources"] = op1_mix_sources
+
+
+def op8_licenses(spark: SparkSession, root: str) -> DataFrame:
+    pages = table(spark, root, "pages").select(F.col("page_id").alias("file_id"), F.col("url").alias("path"), F.col("html").alias("body"))
+    return scan_licenses(pages, visible_lines).withColumnRenamed("file_id", "page_id")
+
+
+QUERIES["op8_licenses"] = op8_licenses
