@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+_TYPES = {"string": T.StringType(), "double": T.DoubleType(), "bigint": T.LongType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType()}
+
+
 def _schema(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in (part.split() for part in text.split(","))])
 
 
 SCHEMAS: dict[str, T.StructType] = {
