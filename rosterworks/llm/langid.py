@@ -42,20 +42,17 @@ _FOLD = _fold_table()
 
 def grams(data: np.ndarray) -> Iterator[np.ndarray]:
     """The n-grams of a text's bytes as 32-bit numbers, in pieces; runs of non-letters count as one space."""
-    for at in range(0, len(data), CHUNK):
-        x = _FOLD[data[max(0, at - N) : at + CHUNK]]
-        # The second byte of an upper-case Latin letter with an accent (À-Þ) turns to that of the lower-case one.
-        upper = np.flatnonzero((x[:-1] == 0xC3) & (x[1:] >= 0x80) & (x[1:] <= 0x9E) & (x[1:] != 0x97)) + 1
-        x[upper] += 0x20
-        gap = x == 32
-        x = x[~(gap & np.concatenate(([False], gap[:-1])))]
-        if at == 0:
-            x = np.concatenate((np.array([32], np.uint8), x))
-        if at + CHUNK >= len(data):
-            x = np.concatenate((x, np.full(int(len(x) > 0 and x[-1] != 32), 32, np.uint8)))
-        if len(x) >= N:
-            x = x.astype(np.uint32)
-            yield x[:-3] << 24 | x[1:-2] << 16 | x[2:-1] << 8 | x[3:]
+    x = _FOLD[data]
+    # The second byte of an upper-case Latin letter with an accent (À-Þ) turns to that of the lower-case one.
+    upper = np.flatnonzero((x[:-1] == 0xC3) & (x[1:] >= 0x80) & (x[1:] <= 0x9E) & (x[1:] != 0x97)) + 1
+    x[upper] += 0x20
+    space = np.full(1, 32, np.uint8)
+    x = np.concatenate((space, x, space))
+    gap = x == 32
+    x = x[~(gap & np.concatenate(([False], gap[:-1])))]
+    for at in range(0, len(x) - N + 1, CHUNK):
+        part = x[at : at + CHUNK + N - 1].astype(np.uint32)
+        yield part[:-3] << 24 | part[1:-2] << 16 | part[2:-1] << 8 | part[3:]
 
 
 def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
