@@ -139,5 +139,18 @@ def byte_views(column: pa.Array) -> Iterator[np.ndarray]:
         yield data[offsets[k] : offsets[k + 1]] if valid[k] else data[:0]
 
 
+def parts(batches: Iterator[pa.RecordBatch], column: int, size: int = 1 << 23) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that the texts of a column have about ``size`` bytes each; a longer text stands alone."""
+    for batch in batches:
+        lengths = np.array([len(x) for x in byte_views(batch.column(column))], np.int64)
+        if lengths.sum() <= size:
+            yield batch
+            continue
+        group = np.cumsum(lengths) // size
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(batch)]
+        for start, end in zip(cuts, cuts[1:], strict=False):
+            yield batch.slice(start, end - start)
+
+
 def as_int64(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_views, materialize, shingle_hashes, words_of
+from .common import byte_views, materialize, parts, shingle_hashes, words_of
 from .jaccard import BITMAP_BITS, bitmap_of
 
 
@@ -40,7 +40,7 @@ def _pieces(least: int, bitmap):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap.value, np.uint64)
-        for batch in batches:
+        for batch in parts(batches, 2):
             ids, keys, found, kept = [], [], [], []
             for doc_id, key, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), byte_views(batch.column(2)), strict=True):
                 words = words_of(data)[0]

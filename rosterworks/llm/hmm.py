@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_views, is_bucket, materialize, text_key, words_of
+from .common import byte_views, is_bucket, materialize, parts, text_key, words_of
 
 CLASSES = 16
 END = np.uint64(0)
@@ -74,7 +74,7 @@ def _packed_batch(rows: list[tuple]) -> pa.RecordBatch:
 
 def _count(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, 0):
             every = [token_hashes(x) for x in byte_views(batch.column(0))]
             if every:
                 hashes, counts = np.unique(np.concatenate(every), return_counts=True)
@@ -274,7 +274,7 @@ def _forward(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         base = np.log10((model.heavy_counts + 1) / (model.tokens + model.words + 1))
-        for batch in batches:
+        for batch in parts(batches, 0, 1 << 24):
             hashes = [token_hashes(x) for x in byte_views(batch.column(0))]
             lengths = np.array([len(x) for x in hashes], np.int64)
             symbols = model.symbols(np.concatenate(hashes)) if hashes else np.zeros(0, np.int64)
@@ -292,7 +292,7 @@ def _forward(shared):
 def _entries(shared, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in batches:
+        for batch in parts(batches, 1):
             keys = {}
             for key, data in zip(batch.column(0).to_pylist(), byte_views(batch.column(1)), strict=True):
                 if key not in keys:

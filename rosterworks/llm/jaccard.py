@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_int64, byte_views, materialize, mix, shingle_hashes, words_of
+from .common import as_int64, byte_views, materialize, mix, parts, shingle_hashes, words_of
 from .graph import components
 
 ENTRIES_PER_BUCKET = 4_000_000
@@ -53,7 +53,7 @@ def set_identity(hashes: np.ndarray) -> int:
 
 def _profile(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, 1):
             sets = [shingle_set(x, size) for x in byte_views(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([set_identity(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())],
@@ -68,7 +68,7 @@ def _pack(size: int, bits: int):
     others each owner is credited here and the shingle leaves once, without owners (``several``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, 0):
             sets = {}
             for data in byte_views(batch.column(0)):
                 hashes = shingle_set(data, size)
@@ -128,7 +128,7 @@ def _support(pdf: pd.DataFrame) -> pd.DataFrame:
 def _sets(size: int, bitmap):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap.value, np.uint64)
-        for batch in batches:
+        for batch in parts(batches, 1):
             rows = []
             for doc_id, data in zip(batch.column(0).to_pylist(), byte_views(batch.column(1)), strict=True):
                 hashes = shingle_set(data, size)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, parts
 
 # The kinds in their order, and what their matches look like.
 KINDS = ("email", "ip", "card", "phone")
@@ -29,7 +29,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 #: What may be an identifier although no base pattern says so: a token with digits, or words around an "at" in brackets.
-_FAST = re.compile(r"(?<!\S)[^\s0-9]*+[0-9]\S*|(?<!\S)\S++[^\S\n]?[\[(<{][^\S\n]?at[^\S\n]?[\])>}][^\S\n]?\S+", re.IGNORECASE)
+_FAST = re.compile(r"(?<!\S)[^\s\[(<{]++[^\S\n]?[\[(<{][^\S\n]?at[^\S\n]?[\])>}][^\S\n]?\S+|(?<!\S)[^\s0-9]*+[0-9]\S*", re.IGNORECASE)
+_AT = re.compile(r"[\[(<{]\s?at\s?[\])>}]", re.IGNORECASE)
 _WORD_LEFT = re.compile(r"(\S+)\s*$")
 _WORD_RIGHT = re.compile(r"\s*(\S+)")
 WINDOW = 80
@@ -96,7 +97,7 @@ def candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int,
     for match in _FAST.finditer(text):
         token = match[0]
         digits = sum(c.isdigit() for c in token)
-        if digits < 4 and not ("at" in token.lower() and token[-1:].isalpha() and digits == 0):
+        if digits < 4 and not _AT.search(token):
             continue
         start, end = match.start(), match.end()
         while end > start and text[end - 1] in ".,;:?!\"')]>}":
@@ -116,7 +117,7 @@ SIGHT_SQL = "array<struct<kind string, instance string, left string, right strin
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in parts(batches, 0):
         spans, sights = [], []
         for text in batch.column(0).to_pylist():
             text = text or ""
@@ -200,17 +201,17 @@ def find_pii(docs: DataFrame, **options) -> DataFrame:
 
 def _redact(place: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, place):
             out = []
             for text, more in zip(batch.column(place).to_pylist(), batch.column(batch.num_columns - 1).to_pylist(), strict=True):
                 if text:
                     spans = [(s, e, k) for k, s, e in base_spans(text)] + [(m["start"], m["end"], m["kind"]) for m in more or []]
-                    parts, at = [], 0
+                    pieces, at = [], 0
                     for s, e, kind in sorted(spans):
                         if s >= at:
-                            parts += [text[at:s], f"[{kind.upper()}]"]
+                            pieces += [text[at:s], f"[{kind.upper()}]"]
                         at = max(at, e)
-                    text = "".join([*parts, text[at:]])
+                    text = "".join([*pieces, text[at:]])
                 out.append(text)
             columns = batch.columns[:-1]
             columns[place] = pa.array(out, batch.schema.field(place).type)

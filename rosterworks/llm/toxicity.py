@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_views, is_bucket
+from .common import byte_views, is_bucket, parts
 
 # Signs that stand for letters, in the order they are tried.
 LOOKALIKES = {
@@ -37,7 +37,7 @@ EDGE = ".,;:?\"'()[]{}<>~_-…»«“”"
 CLASS = str.maketrans({**{s: letters[0] for s, letters in LOOKALIKES.items() if s != "*"}, "l": "i", "6": "g", **dict.fromkeys(MARKS)})
 SPACED = re.compile(r"(?<!\S)[^\W_]?[\w@$!|+*](?:[\s._*~-]+[\w@$!|+*]){2,}(?![^\s.,;:?!])")
 GRAM, SIZE = 4, 27
-MEMO = 400_000
+MEMO = 100_000
 
 
 def _letter_table() -> np.ndarray:
@@ -188,7 +188,7 @@ class Restorer:
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in parts(batches, 0):
         counts = (Counter(), Counter())
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             counts[toxic].update({w for t in set((text or "").lower().split()) if (w := t.strip(EDGE + "!"))})
@@ -289,7 +289,7 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, max_rows: int =
 def _score(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = shared.value.scorer()
-        for batch in batches:
+        for batch in parts(batches, 0):
             values = [score(x) for x in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(values, pa.float64())], [*batch.schema.names[1:], "score"])
 
@@ -311,7 +311,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, modulus: int = 5) -> D
 def _clean(shared, limit: float, place: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = shared.value.scorer()
-        for batch in batches:
+        for batch in parts(batches, place):
             yield batch.filter(pa.array([score(x) < limit for x in batch.column(place).to_pylist()], pa.bool_()))
 
     return run
