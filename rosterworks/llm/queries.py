@@ -110,3 +110,62 @@ def op8_licenses(spark: SparkSession, root: str) -> DataFrame:
 
 
 QUERIES["op8_licenses"] = op8_licenses
+
+
+# SQL for DuckDB ---------------------------------------------------------------------------------
+
+WORDS = "regexp_extract_all({c}, '[^\\x20\\x09-\\x0D]+')".format
+BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+ORACLES["op2_warc"] = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
+d AS (SELECT page_id, strlen(body) AS payload_bytes, h,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('{BASE32}', (CAST('0x' || substr(h, CAST(5 * i // 4 AS INTEGER) + 1, 2) AS INTEGER) >> CAST(3 - (5 * i - 4 * (5 * i // 4)) AS INTEGER)) % 32 + 1, 1)), '') AS payload_digest,
+  min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to FROM d
+"""
+ORACLES["op7_ngram_jaccard"] = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, {WORDS(c="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} AS t FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(t) < 5 THEN array_to_string(t, ' ') ELSE array_to_string(t[i:i + 4], ' ') END AS shingle
+  FROM (SELECT doc_id, t, unnest(range(1, greatest(len(t) - 4, 1) + 1)) AS i FROM w WHERE len(t) > 0) x
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT x, y FROM c JOIN n p ON c.x = p.doc_id JOIN n q ON c.y = q.doc_id WHERE 100 * common >= 80 * (p.n + q.n - common)),
+reach AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON reach.other = links.x)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.component_id FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id
+JOIN (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id) r ON d.doc_id = r.doc_id
+"""
+
+
+def _shares(nodes: str, parents: list[str], level: str) -> str:
+    """SQL for the budgets of siblings: path and given."""
+    weights = MIX_WEIGHTS.get(level, {})
+    w = "CAST(CASE " + " ".join(f"WHEN {level} = '{k}' THEN {v}" for k, v in weights.items()) + " ELSE 1 END AS DOUBLE)" if weights else "CAST(1 AS DOUBLE)"
+    family = f"PARTITION BY {', '.join(parents)}" if parents else ""
+    before = f"({family} ORDER BY room / w, {level} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    path = ", ".join([*parents, level])
+    return f"""SELECT {path}, CASE WHEN filled THEN room ELSE least(room, (given - sum(CASE WHEN filled THEN room ELSE 0 END) OVER ({family})) * w / sum(CASE WHEN filled THEN 0 ELSE w END) OVER ({family})) END AS given FROM (
+  SELECT *, fb + room / w * ow <= given * (1 + 1e-12) AS filled FROM (
+  SELECT *, coalesce(sum(room) OVER {before}, 0) AS fb, sum(w) OVER ({family}) - coalesce(sum(w) OVER {before}, 0) AS ow FROM (SELECT *, {w} AS w FROM ({nodes}) a) b) c) e"""
+
+
+ORACLES["op1_mix_sources"] = f"""
+WITH d AS (
+  SELECT doc_id, 'domain' || CAST(CAST('0x' || substr(md5(source), 1, 6) AS BIGINT) % 4 AS VARCHAR) AS domain, lang, source,
+    CAST(len({WORDS(c="coalesce(text, '')")}) AS BIGINT) AS tokens, CAST(doc_id AS VARCHAR) || '|' || md5(coalesce(text, '')) AS id FROM documents
+), leaf AS (SELECT domain, lang, source, CAST(sum(tokens) AS BIGINT) AS tokens, CAST(sum(tokens) * 2 AS DOUBLE) AS room FROM d GROUP BY domain, lang, source),
+g1 AS ({_shares("SELECT domain, sum(room) AS room, (SELECT CAST(sum(tokens) AS DOUBLE) * 0.6 FROM leaf) AS given FROM leaf GROUP BY domain", [], "domain")}),
+g2 AS ({_shares("SELECT l.domain, l.lang, sum(room) AS room, any_value(g1.given) AS given FROM leaf l JOIN g1 ON l.domain = g1.domain GROUP BY l.domain, l.lang", ["domain"], "lang")}),
+g3 AS ({_shares("SELECT l.domain, l.lang, l.source, room, g2.given FROM leaf l JOIN g2 ON l.domain = g2.domain AND l.lang = g2.lang", ["domain", "lang"], "source")}),
+plan AS (SELECT l.*, CAST(floor(given) AS BIGINT) AS budget, CASE WHEN tokens > 0 THEN CAST(floor(given) AS BIGINT) // tokens ELSE 0 END AS whole FROM leaf l JOIN g3 ON l.domain = g3.domain AND l.lang = g3.lang AND l.source = g3.source),
+placed AS (
+  SELECT d.doc_id, d.domain, d.lang, d.source, d.tokens, p.whole, p.budget - p.whole * p.tokens AS rest, coalesce(sum(d.tokens) OVER (PARTITION BY d.domain, d.lang, d.source
+    ORDER BY CAST('0x' || substr(md5('1|' || CAST(p.whole AS VARCHAR) || '|' || d.id), 1, 15) AS BIGINT) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS sofar
+  FROM d JOIN plan p ON d.domain = p.domain AND d.lang = p.lang AND d.source = p.source
+), taken AS (
+  SELECT doc_id, domain, lang, source, tokens, e AS epoch, CASE WHEN e < whole THEN tokens ELSE least(tokens, rest - sofar) END AS amount
+  FROM (SELECT *, unnest(range(0, whole + CASE WHEN sofar < rest THEN 1 ELSE 0 END)) AS e FROM placed) x
+)
+SELECT doc_id, domain AS mix_domain, lang, source, CAST(epoch AS INTEGER) AS mix_epoch, tokens AS mix_tokens, CAST(amount AS BIGINT) AS mix_taken FROM taken WHERE amount > 0 OR tokens = 0
+"""
