@@ -4,7 +4,8 @@ A vector of length r is turned by a random rotation, and of its unit vector only
 packed to bits, with two scalars: r and the inner product c of the unit vector with its own code.
 For a query q the estimate of the inner product is r * <code, q'> / c, and it is off by more than
 r * |q| * sqrt((1 - c*c) / (c*c)) * margin / sqrt(d - 1) with a probability that falls off like a Gaussian's
-tail in the margin. Vectors whose upper bound reaches the k-th best lower bound are reranked exactly.
+tail in the margin. The 4 k vectors of highest estimate set a bar with their exact products; all whose
+upper bound reaches the k-th best of them are reranked exactly.
 
 Queries and vectors are dealt into blocks of bounded size, and each pair of blocks is one task's
 work, so neither side is ever broadcast or gathered whole.
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 QUERY_BLOCK = 4_096
-VECTOR_BLOCK = 16_384
-ROWS = 256
+VECTOR_BLOCK = 8_192
+ROWS = 128
 
 
 def rotation(d: int, seed: int) -> np.ndarray:
@@ -79,21 +80,24 @@ def _search(d: int, seed: int, k: int, margin: float):
         q = np.frombuffer(b"".join(queries["vector"]), np.float64).reshape(-1, d)
         v = np.frombuffer(b"".join(vectors["vector"]), np.float64).reshape(-1, d)
         codes = np.unpackbits(np.frombuffer(b"".join(vectors["code"]), np.uint8).reshape(-1, size // 8), axis=1).astype(np.float32) * 2 - 1
-        factor = (vectors["length"] / vectors["fit"] / np.sqrt(size)).to_numpy()
         fit = vectors["fit"].to_numpy()
-        spread = vectors["length"].to_numpy() * np.sqrt(np.maximum(0, 1 - fit**2)) / fit * margin / np.sqrt(size - 1)
-        turned, q_length = q @ turn[:d], np.linalg.norm(q, axis=1)
+        factor = (vectors["length"].to_numpy() / fit / np.sqrt(size)).astype(np.float32)
+        spread = (vectors["length"].to_numpy() * np.sqrt(np.maximum(0, 1 - fit**2)) / fit * margin / np.sqrt(size - 1)).astype(np.float32)
+        turned, q_length = (q @ turn[:d]).astype(np.float32), np.linalg.norm(q, axis=1).astype(np.float32)
         ids, own, out = vectors["vec_id"].to_numpy(), queries["vec_id"].to_numpy(), []
+        first = min(len(ids), 4 * k)
         for at in range(0, len(q), ROWS):
             part = slice(at, at + ROWS)
-            estimate = turned[part].astype(np.float32) @ codes.T * factor
-            error = q_length[part][:, None] * spread
-            low = np.where(ids == own[part][:, None], -np.inf, estimate - error)
-            if len(ids) > k:
-                bar = np.partition(low, len(ids) - k, axis=1)[:, len(ids) - k]
-            else:
-                bar = np.full(len(low), -np.inf)
-            near = (estimate + error >= bar[:, None]) & (ids != own[part][:, None])
+            estimate = turned[part] @ codes.T * factor
+            estimate[ids == own[part][:, None]] = -np.inf
+            bar = np.full(len(estimate), -np.inf)
+            if first > k:
+                likely = np.argpartition(estimate, len(ids) - first, axis=1)[:, len(ids) - first :]
+                sure = np.einsum("ij,ikj->ik", q[part], v[likely])
+                sure[np.take_along_axis(estimate, likely, axis=1) == -np.inf] = -np.inf
+                bar = np.partition(sure, first - k, axis=1)[:, first - k]
+            estimate += q_length[part][:, None] * spread
+            near = (estimate >= np.nextafter(bar, -np.inf)[:, None]) & (estimate != -np.inf)
             who, which = np.nonzero(near)
             score = np.concatenate([_exact(q[part][who[s : s + 16384]], v[which[s : s + 16384]]) for s in range(0, len(who), 16384)] or [np.zeros(0)])
             order = np.lexsort((ids[which], -score, who))
@@ -106,7 +110,7 @@ def _search(d: int, seed: int, k: int, margin: float):
     return run
 
 
-def nearest(vectors: DataFrame, is_query, k: int = 20, seed: int = 3, margin: float = 3.0) -> DataFrame:
+def nearest(vectors: DataFrame, is_query, k: int = 20, seed: int = 3, margin: float = 4.0) -> DataFrame:
     """For each query row its k nearest rows by largest inner product: query_id, rank, vec_id, score.
 
     ``vectors`` has vec_id and embedding (an array); more columns are ignored. ``is_query`` is a
