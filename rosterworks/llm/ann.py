@@ -79,13 +79,15 @@ def _search(d: int, seed: int, k: int, margin: float):
         size, turn = padded(d), rotation(padded(d), seed)
         q = np.frombuffer(b"".join(queries["vector"]), np.float64).reshape(-1, d)
         v = np.frombuffer(b"".join(vectors["vector"]), np.float64).reshape(-1, d)
-        codes = np.unpackbits(np.frombuffer(b"".join(vectors["code"]), np.uint8).reshape(-1, size // 8), axis=1).astype(np.float32) * 2 - 1
+        kind = np.float32 if max(np.abs(q).max(), np.abs(v).max()) < 1e15 else np.float64
+        codes = np.unpackbits(np.frombuffer(b"".join(vectors["code"]), np.uint8).reshape(-1, size // 8), axis=1).astype(kind) * 2 - 1
         fit = vectors["fit"].to_numpy()
-        factor = (vectors["length"].to_numpy() / fit / np.sqrt(size)).astype(np.float32)
-        spread = (vectors["length"].to_numpy() * np.sqrt(np.maximum(0, 1 - fit**2)) / fit * margin / np.sqrt(size - 1)).astype(np.float32)
-        turned, q_length = (q @ turn[:d]).astype(np.float32), np.linalg.norm(q, axis=1).astype(np.float32)
+        factor = (vectors["length"].to_numpy() / fit / np.sqrt(size)).astype(kind)
+        spread = (vectors["length"].to_numpy() * np.sqrt(np.maximum(0, 1 - fit**2)) / fit * margin / np.sqrt(size - 1)).astype(kind)
+        turned, q_length = (q @ turn[:d]).astype(kind), np.linalg.norm(q, axis=1).astype(kind)
         ids, own, out = vectors["vec_id"].to_numpy(), queries["vec_id"].to_numpy(), []
-        first = min(len(ids), 4 * k)
+        first, small = min(len(ids), 4 * k), v.astype(kind)
+        longest = float(vectors["length"].max()) + 1
         for at in range(0, len(q), ROWS):
             part = slice(at, at + ROWS)
             estimate = turned[part] @ codes.T * factor
@@ -97,15 +99,14 @@ def _search(d: int, seed: int, k: int, margin: float):
                 sure[np.take_along_axis(estimate, likely, axis=1) == -np.inf] = -np.inf
                 bar = np.partition(sure, first - k, axis=1)[:, first - k]
             estimate += q_length[part][:, None] * spread
-            near = (estimate >= np.nextafter(bar, -np.inf)[:, None]) & (estimate != -np.inf)
-            who, which = np.nonzero(near)
-            score = np.concatenate([_exact(q[part][who[s : s + 16384]], v[which[s : s + 16384]]) for s in range(0, len(who), 16384)] or [np.zeros(0)])
-            order = np.lexsort((ids[which], -score, who))
-            who, which, score = who[order], which[order], score[order]
-            rank = np.arange(len(who)) - np.searchsorted(who, who)
-            best = rank < k
-            out.append(pd.DataFrame({"query_id": own[part][who[best]], "vec_id": ids[which[best]], "score": score[best]}))
-        return pd.concat(out)
+            for row, (query, at_least) in enumerate(zip(q[part], bar, strict=True), at):
+                slack = 1e-5 * (1 + abs(at_least)) if np.isfinite(at_least) else 0.0
+                near = np.flatnonzero((estimate[row - at] >= at_least - slack) & (estimate[row - at] != -np.inf))
+                near = near[small[near] @ query.astype(kind) >= at_least - slack * q_length[row] * longest]
+                score = _exact(v[near], query)
+                best = np.lexsort((ids[near], -score))[:k]
+                out.append((np.full(len(best), own[row]), ids[near[best]], score[best]))
+        return pd.DataFrame(dict(zip(columns, map(np.concatenate, zip(*out, strict=True)), strict=True)))
 
     return run
 
