@@ -272,28 +272,32 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, chars_
     mixed = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("home").alias("here"), F.max("home").alias("there")).where("low < high and here < there").select("token")
     labelled = labelled.join(mixed, "token", "left_semi").join(heads.select("set_id", "head"), "set_id")
     labelled = materialize(labelled.withColumn("block", F.floor(F.col("rest") / BLOCK)), "mixed")
-    blocks = labelled.groupBy("token", "label", "home", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest"))
-    name = lambda df, tag: df.select(*[F.col(c).alias(c if c == "token" else f"{c}_{tag}") for c in df.columns])
-    open_blocks = name(blocks, "x").join(
-        name(blocks, "y").withColumnRenamed("token", "token_y"),
-        (F.col("token") == F.col("token_y"))
-        & (F.col("label_x") < F.col("label_y"))
-        & (F.col("home_x") != F.col("home_y"))
+    name = lambda df, tag: df.select(*[F.col(c).alias(f"{c}_{tag}") for c in df.columns])
+    blocks = labelled.groupBy("token", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest"))
+    bound = (
+        (F.col("token_x") == F.col("token_y"))
         & (F.least("most_x", "most_y") * 100 >= F.greatest("least_x", "least_y") * percent)
-        & (F.least("rest_x", "rest_y") * (100 + percent) >= (F.col("least_x") + F.col("least_y")) * percent),
+        & (F.least("rest_x", "rest_y") * (100 + percent) >= (F.col("least_x") + F.col("least_y")) * percent)
+    )
+    open_blocks = name(blocks, "x").join(name(blocks, "y"), bound).groupBy(F.col("token_x").alias("token"), F.col("block_x").alias("block")).agg(F.collect_set("block_y").alias("open"))
+    sizes = labelled.groupBy("token", "label").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("token").agg(F.max_by("label", F.struct("size", "label")).alias("largest"))
+    outside = labelled.join(largest, "token").where("label <> largest").join(open_blocks, ["token", "block"])
+    rest = (
+        name(outside, "x")
+        .join(
+            name(labelled, "y"),
+            (F.col("token_x") == F.col("token_y"))
+            & (F.col("label_x") != F.col("label_y"))
+            & (F.col("home_x") != F.col("home_y"))
+            & ((F.col("label_y") == F.col("largest_x")) | (F.col("set_id_x") < F.col("set_id_y")))
+            & F.array_contains("open_x", F.col("block_y"))
+            & _possible(percent, F.col("n_x"), F.col("rest_x"), F.col("n_y"), F.col("rest_y"))
+            & (F.array_intersect("head_x", "head_y")[0] == F.col("token_x")),
+        )
+        .select(F.least("set_id_x", "set_id_y").alias("a"), F.greatest("set_id_x", "set_id_y").alias("b"))
+        .distinct()
     )
-    open_blocks = open_blocks.select("token", *[F.col(f"{c}_{t}").alias(f"{c}_{t}") for t in "xy" for c in ("label", "home", "block")])
-    of_x = open_blocks.join(name(labelled, "x"), ["token", "label_x", "home_x", "block_x"])
-    of_y = name(labelled, "y").select(*[F.col(c).alias("token_y" if c == "token" else f"of_{c}" if c in ("label_y", "home_y", "block_y") else c) for c in name(labelled, "y").columns])
-    rest = of_x.join(
-        of_y,
-        (F.col("token") == F.col("token_y"))
-        & (F.col("label_y") == F.col("of_label_y"))
-        & (F.col("home_y") == F.col("of_home_y"))
-        & (F.col("block_y") == F.col("of_block_y"))
-        & _possible(percent, F.col("n_x"), F.col("rest_x"), F.col("n_y"), F.col("rest_y"))
-        & (F.array_intersect("head_x", "head_y")[0] == F.col("token")),
-    ).select(F.least("set_id_x", "set_id_y").alias("a"), F.greatest("set_id_x", "set_id_y").alias("b"))
     more = _verified(rest, sets, percent)
     label = first.select(F.col("node").alias("a"), F.col("label").alias("la"))
     other = first.select(F.col("node").alias("b"), F.col("label").alias("lb"))
