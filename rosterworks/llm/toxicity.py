@@ -36,8 +36,9 @@ EDGE = ".,;:?\"'()[]{}<>~_-…»«“”"
 #: Letters and signs that can be read as each other share a class, named by one letter.
 CLASS = str.maketrans({**{s: letters[0] for s, letters in LOOKALIKES.items() if s != "*"}, "l": "i", "6": "g", **dict.fromkeys(MARKS)})
 SPACED = re.compile(r"(?<!\S)[^\W_]?[\w@$!|+*](?:[\s._*~-]+[\w@$!|+*]){2,}(?![^\s.,;:?!])")
+_TWICE = re.compile(r"(.)\1")
 GRAM, SIZE = 4, 27
-MEMO = 100_000
+MEMO = 200_000
 
 
 def _letter_table() -> np.ndarray:
@@ -162,6 +163,8 @@ class Restorer:
         core = token.strip(EDGE)
         if core in self.words:
             return (core,)
+        if core.isalpha() and not _TWICE.search(core):
+            return (self.plain[core],) if core in self.plain else ()
         for text in dict.fromkeys((core.rstrip("!"), core)):
             if text in self.words:
                 return (text,)
