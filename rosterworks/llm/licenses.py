@@ -1,8 +1,11 @@
 """License scan: notices by TF-IDF cosine to templates, then inheritance from the nearest directory.
 
-Every line of a file is a sparse vector over the templates' terms, with weights from the lines of
-the whole table; lines without such a term never leave the scan. A file's licence is that of the
-template closest to any of its lines. A directory has a licence if its licence files agree on one
+A file is cut into pieces at the ends of lines and sentences. A piece, and a run of up to WIDTH of
+them (wrapped notices), is a sparse vector over all its terms, with weights from the pieces of the
+whole table; runs begin and end in a piece with a word of a template, since others only dilute. A
+file's notice is the template closest to any run. Licence files as wholes, and what follows the
+opening words of a licence text anywhere, are held against whole licence texts as well; these tell
+licences apart that share a notice. A directory has a licence if its licence files agree on one
 or, without licence files, all notices in it do; files without a notice take the licence of the
 nearest directory above them, by an equi-join on the paths of their directory's ancestors.
 
@@ -31,6 +34,47 @@ TEMPLATES = {
     "MIT": ("Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files."),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
 }
+# Further notices and the titles of licence texts. The SQL of op8_licenses knows TEMPLATES alone.
+MORE_NOTICES = {
+    "AGPL-3.0-only": ("GNU Affero General Public License Version 3, 19 November 2007", "This work is licensed under the GNU Affero General Public License, version 3."),
+    "Apache-2.0": ("Apache License Version 2.0, January 2004",),
+    "BSD-2-Clause": ("BSD 2-Clause License", "Licensed under the BSD 2-Clause License."),
+    "BSD-3-Clause": ("BSD 3-Clause License", "Licensed under the BSD 3-Clause License."),
+    "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    "GPL-2.0-only": ("GNU General Public License Version 2, June 1991",),
+    "GPL-3.0-only": ("GNU General Public License Version 3, 29 June 2007",),
+    "ISC": ("ISC License", "Licensed under the ISC License."),
+    "LGPL-2.1-only": ("GNU Lesser General Public License Version 2.1, February 1999", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    "LGPL-3.0-only": ("GNU Lesser General Public License Version 3, 29 June 2007", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    "MIT": ("MIT License", "Licensed under the MIT License."),
+    "MPL-2.0": ("Mozilla Public License Version 2.0",),
+}
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
+    " 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."
+    " 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+)
+_BSD_NAME = " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_BSD_END = (
+    ' THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.'
+    " IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION)"
+    " HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+# Whole licence texts from their opening words on.
+TEXTS = {
+    "BSD-2-Clause": _BSD + _BSD_END,
+    "BSD-3-Clause": _BSD + _BSD_NAME + _BSD_END,
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+    ' THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS.'
+    " IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "MIT": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:'
+    " The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+    ' THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.'
+    " IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+}
+WIDTH = 6
+#: Of templates with no more terms than this, every term must be there: one word alone says too little.
+SHORT = 3
 # Words too common to speak for a licence.
 STOP = ("a", "an", "and", "any", "are", "at", "be", "by", "can", "for", "in", "is", "it", "may", "not", "of", "or", "that", "the", "this", "to", "with", "you")
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|notice)(\.[a-z]+)?$"
@@ -51,6 +95,11 @@ def template_terms(templates: dict[str, tuple[str, ...]]) -> list[tuple[str, int
     return found
 
 
+def pieces_of(lines: Column) -> Column:
+    """The lines, cut after the marks that end sentences and clauses."""
+    return F.flatten(F.transform(lines, lambda x: F.split(x, r"(?<=[.;:!?])\s+")))
+
+
 def visible_lines(html: Column) -> Column:
     """The lines of a page: tags, scripts, styles and comments end a line."""
     bare = F.regexp_replace(F.coalesce(html, F.lit("")), r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->|<[^>]*>", "\n")
@@ -67,38 +116,90 @@ def file_name_of(path: Column) -> Column:
     return F.regexp_extract(F.regexp_replace(F.coalesce(path, F.lit("")), r"[?#].*$", ""), r"([^/]*)$", 1)
 
 
-def scan_licenses(files: DataFrame, lines, templates: dict[str, tuple[str, ...]] | None = None, least: float = 0.75) -> DataFrame:
+def _runs(rows: DataFrame, lines, vocabulary: list[str]) -> DataFrame:
+    """key, first, last, terms: runs of pieces that begin and end in one with a word of the vocabulary."""
+    word = F.lit("(?<![a-z0-9])(?:" + "|".join(map(re.escape, vocabulary)) + ")(?![a-z0-9])")
+    cut = rows.select("key", pieces_of(lines(F.col("body"))).alias("pieces")).where(F.size("pieces") > 0)
+    cut = cut.select("key", "pieces", F.transform("pieces", lambda x: F.rlike(F.lower(x), word)).alias("hits"))
+    starts = F.filter(F.sequence(F.lit(1), F.size("pieces")), lambda i: F.element_at("hits", i))
+    begun = cut.select("key", F.explode(F.transform(starts, lambda i: F.struct(i.alias("first"), F.slice("pieces", i, WIDTH).alias("text"), F.slice("hits", i, WIDTH).alias("hits")))).alias("r"))
+    ends = F.filter(F.sequence(F.lit(1), F.size("r.hits")), lambda k: F.element_at("r.hits", k))
+    runs = begun.select("key", "r.first", "r.text", F.explode(ends).alias("n"))
+    runs = runs.select("key", "first", (F.col("first") + F.col("n") - 1).alias("last"), terms_of(F.array_join(F.slice("text", 1, F.col("n")), "\n")).alias("terms"))
+    return runs.where(F.arrays_overlap("terms", F.lit(vocabulary))).distinct()
+
+
+def _texts(rows: DataFrame, lines, texts: dict[str, str]) -> DataFrame:
+    """key, license, part, terms: licence files as wholes, and stretches from opening words on, as long as a text."""
+    opening = "|".join(r"\b" + "[^A-Za-z0-9]+".join(re.findall("[A-Za-z0-9]+", text)[:3]) + r"\b" for text in texts.values())
+    held = rows.where(F.col("named") | F.col("body").rlike("(?i)" + opening)).select("key", "named", F.array_join(lines(F.col("body")), "\n").alias("text"))
+    wholes = held.where("named").select("key", F.lit(0).alias("part"), terms_of(F.col("text")).alias("terms"))
+    tails = held.select("key", F.lit(1).alias("part"), terms_of(F.regexp_extract("text", f"(?is)(?:{opening}).*", 0)).alias("terms"))
+    sizes = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(sum(n for *_, n in template_terms({name: (text,)}))).alias("n")) for name, text in texts.items()])
+    both = wholes.unionByName(tails).where(F.size("terms") > 0).withColumn("t", F.explode(sizes))
+    return both.select("key", F.col("t.license").alias("license"), "part", F.when(F.col("part") == 1, F.slice("terms", F.lit(1), F.col("t.n"))).otherwise(F.col("terms")).alias("terms")).distinct()
+
+
+def scan_licenses(files: DataFrame, lines, templates: dict[str, tuple[str, ...]] | None = None, least: float = 0.75, texts: dict[str, str] | None = None) -> DataFrame:
     """A row for every row of files (file_id, path, body): file_id, directory, own_license, own_score,
     license, found ("file", "header", "inherited" or "none") and license_directory.
 
-    ``lines`` turns the body into an array of lines. A notice counts from a cosine of ``least``; of
-    equally close templates the first in alphabetical order wins. Null and empty bodies have no
+    ``lines`` turns the body into an array of lines. A notice counts from a cosine of ``least``, and so
+    does a whole licence text, which stands before a notice unless that is of a licence without such a
+    text; of equally close templates the first in alphabetical order wins. Given ``templates`` replace
+    both the notices and the texts. Null and empty bodies have no
     notice of their own, null paths lie in the directory "" and so inherit nothing but from it. Rows
     that repeat id, path and body repeat in the result. More columns are ignored; an empty table gives
     an empty table.
     """
     spark = files.sparkSession
-    known = template_terms(TEMPLATES if templates is None else templates)
+    texts = texts if texts is not None else TEXTS if templates is None else {}
+    if templates is None:
+        templates = {name: (*TEMPLATES.get(name, ()), *MORE_NOTICES.get(name, ())) for name in sorted({*TEMPLATES, *MORE_NOTICES})}
+    known = template_terms(templates)
     vocabulary = sorted({t for _, _, t, _ in known})
     rows = files.select("file_id", directory_of(F.col("path")).alias("directory"), file_name_of(F.col("path")).rlike(LICENCE_FILE).alias("named"), F.xxhash64("file_id", "path", "body").alias("key"), "body")
-    every = rows.select("key", F.posexplode(lines(F.col("body"))).alias("line_no", "line")).withColumn("hit", F.rlike(F.lower("line"), F.lit("(?<![a-z0-9])(?:" + "|".join(map(re.escape, vocabulary)) + ")(?![a-z0-9])")))
-    seen = materialize(every.where("hit").select("key", "line_no", terms_of(F.col("line")).alias("terms")).where(F.arrays_overlap("terms", F.lit(vocabulary))).distinct(), "lines")
-    total = max(1, seen.select("key", "line_no").distinct().count())
-    df = seen.select(F.explode(F.array_intersect("terms", F.lit(vocabulary))).alias("term")).groupBy("term").count()
-    idf = {t: math.log((1 + total) / (1 + n)) + 1 for t, n in {**dict.fromkeys(vocabulary, 0), **{r.term: r["count"] for r in df.collect()}}.items()}
+    seen = materialize(_runs(rows, lines, vocabulary), "runs")
+    total = max(1, seen.where("first = last").count())
+    df = seen.where("first = last").select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").count()
+    df = materialize(df.select("term", (F.log((1 + total) / (1 + F.col("count"))) + 1).alias("idf")), "terms")
     unseen = math.log(1 + total) + 1
-    norms: dict[tuple[str, int], float] = {}
-    for name, k, term, n in known:
-        norms[name, k] = norms.get((name, k), 0.0) + (n * idf[term]) ** 2
-    weights = spark.createDataFrame([(name, k, t, idf[t], n * idf[t] / math.sqrt(norms[name, k])) for name, k, t, n in known], "license string, notice int, term string, idf double, weight double")
-
-    counts = seen.select("key", "line_no", F.explode("terms").alias("term")).groupBy("key", "line_no", "term").agg(F.count("*").alias("tf"))
-    one = weights.select("term", "idf").distinct()
-    sized = counts.join(F.broadcast(one), "term", "left").groupBy("key", "line_no").agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.coalesce("idf", F.lit(unseen)), F.lit(2)))).alias("norm"))
-    dots = counts.join(F.broadcast(weights), "term").groupBy("key", "line_no", "license", "notice").agg(F.sum(F.col("tf") * F.col("idf") * F.col("weight")).alias("dot"))
-    close = dots.join(sized, ["key", "line_no"]).withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).where(F.col("score") >= least)
-    best = close.groupBy("key").agg(F.min(F.struct((-F.col("score")).alias("order"), "license")).alias("top"))
-    own = materialize(best.select("key", F.col("top.license").alias("own_license"), (-F.col("top.order")).alias("own_score")), "notices")
+    whole_terms = [(name, -1, t, n) for name, text in texts.items() for _, _, t, n in template_terms({name: (text,)})]
+    asked = sorted({t for _, _, t, _ in known + whole_terms})
+    idf = {t: unseen for t in asked} | {r.term: r.idf for r in df.where(F.col("term").isin(asked)).collect()}
+
+    def weights_of(listed):
+        norms: dict[tuple[str, int], float] = {}
+        terms = Counter((name, k) for name, k, _, _ in listed)
+        for name, k, term, n in listed:
+            norms[name, k] = norms.get((name, k), 0.0) + (n * idf[term]) ** 2
+        given = [(name, k, t, idf[t], n * idf[t] / math.sqrt(norms[name, k]), terms[name, k] if terms[name, k] <= SHORT else 0) for name, k, t, n in listed]
+        return F.broadcast(spark.createDataFrame(given, "license string, notice int, term string, idf double, weight double, need int"))
+
+    def sized(counts, unit):
+        """Norms with the weights of all terms; frequent ones are template words or were cut off before."""
+        return counts.join(df, "term", "left").groupBy(*unit).agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.coalesce("idf", F.lit(unseen)), F.lit(2)))).alias("norm"))
+
+    unit = ["key", "first", "last"]
+    weights = weights_of(known)
+    counts = seen.select(*unit, F.explode("terms").alias("term")).groupBy(*unit, "term").agg(F.count("*").alias("tf"))
+    bare = counts.join(weights.select("term", "idf").distinct().hint("broadcast"), "term").groupBy(*unit).agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), F.lit(2)))).alias("bare"))
+    dots = counts.join(weights, "term").groupBy(*unit, "license", "notice").agg(F.sum(F.col("tf") * F.col("idf") * F.col("weight")).alias("dot"), F.count("*").alias("terms"), F.max("need").alias("need"))
+    # The norm over template words alone is a lower bound: what does not reach the threshold with it cannot reach it at all.
+    hopeful = materialize(dots.where("terms >= need").join(bare, unit).where(F.col("dot") / F.col("bare") >= least - 1e-6).drop("bare", "terms", "need"), "hopeful")
+    norms = sized(counts.join(hopeful.select(*unit).distinct(), unit, "left_semi"), unit)
+    close = hopeful.join(norms, unit).withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).where(F.col("score") >= least)
+    best = lambda found: found.groupBy("key").agg(F.min(F.struct((-F.col("score")).alias("order"), "license")).alias("top"))
+    own = best(close).select("key", F.col("top.license").alias("own_license"), (-F.col("top.order")).alias("own_score"))
+    if texts:
+        part = ["key", "license", "part"]
+        counts = materialize(_texts(rows, lines, texts).select(*part, F.explode("terms").alias("term")).groupBy(*part, "term").agg(F.count("*").alias("tf")), "texts")
+        dots = counts.join(weights_of(whole_terms).drop("notice"), ["license", "term"]).groupBy(*part).agg(F.sum(F.col("tf") * F.col("idf") * F.col("weight")).alias("dot"))
+        full = best(dots.join(sized(counts, part), part).withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).where(F.col("score") >= least))
+        own = own.join(full, "key", "full")
+        first = F.col("top").isNotNull() & (F.col("own_license").isNull() | F.col("own_license").isin(*texts))
+        own = own.select("key", F.when(first, F.col("top.license")).otherwise(F.col("own_license")).alias("own_license"), F.when(first, -F.col("top.order")).otherwise(F.col("own_score")).alias("own_score"))
+    own = materialize(own, "notices")
 
     placed = materialize(rows.select("file_id", "directory", "named", "key").join(own, "key", "left"), "placed")
     votes = placed.where("own_license IS NOT NULL").groupBy("directory").agg(

@@ -1,6 +1,7 @@
 """Notices and inheritance against a plain version; odd rows."""
 
 import re
+import textwrap
 
 from rosterworks.llm import licenses as L
 from rosterworks.llm.queries import QUERIES, table
@@ -50,3 +51,40 @@ def test_files_and_directories(spark):
     assert got[4] == ("Apache-2.0", "inherited", "proj/src/deep") and got[5][1] == "none" and got[6] == ("MIT", "header", "proj") and got[7] == (None, "none", None)
     assert L.scan_licenses(frame.where("false"), lines).count() == 0
     assert L.scan_licenses(frame.union(frame), lines).count() == 2 * len(rows)
+
+
+def comment(text, width=68):
+    return "\n".join(f" * {line}" for line in textwrap.wrap(text, width))
+
+
+def test_headers_and_whole_texts(spark):
+    """Notices in longer lines, over several lines and in whole licence texts, with the registered parameters."""
+    want = {
+        "Copyright 2024 Example. Licensed under the Apache License, Version 2.0.": "Apache-2.0",
+        "Copyright 2020 Jane Doe. Released under the MIT License.": "MIT",
+        "MIT License": "MIT",
+        "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc.": "GPL-3.0-only",
+        "GNU LESSER GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007": "LGPL-3.0-only",
+        "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0",
+        "Licensed under CC BY 4.0.": "CC-BY-4.0",
+        comment("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met."): "BSD-3-Clause",
+        "/*\n * Copyright (c) 2021, The Authors\n" + comment(L.TEXTS["BSD-2-Clause"]) + "\n */\nint main() {}": "BSD-2-Clause",
+        "/*\n * Copyright (c) 2021, The Authors\n" + comment(L.TEXTS["BSD-3-Clause"]) + "\n */\nint main() {}": "BSD-3-Clause",
+        "Copyright 2022 Somebody\n\n" + "\n".join(textwrap.wrap(L.TEXTS["ISC"], 70)): "ISC",
+        "MIT": None,
+        "She studied at MIT. The license of the car was lost.": None,
+        "nothing here": None,
+    }
+    rows = [(k, f"d{k}/a.c", body) for k, body in enumerate(want)] + [(1000 + k, f"p{k}/x.c", f"some plain words about the license of work number {k}") for k in range(40)]
+    rows.append((100, "lib/COPYING", "Copyright (c) 2021, The Authors\nAll rights reserved.\n\n" + "\n".join(textwrap.wrap(L.TEXTS["BSD-2-Clause"], 72))))
+    got = {r.file_id: r for r in L.scan_licenses(spark.createDataFrame(rows, "file_id long, path string, body string"), lines).collect()}
+    assert {body: got[k].own_license for k, body in enumerate(want)} == want
+    assert (got[100].own_license, got[100].found) == ("BSD-2-Clause", "file")
+    assert all(got[k].own_license is None for k in range(1000, 1040))
+
+
+def test_common_words_weigh_less(spark):
+    """Words that stand in every line with a notice weigh little, wherever they come from."""
+    rows = [(k, f"d{k}/a.c", f"Released under the MIT License acme tools {k if k else ''}") for k in range(1)] + [(k, f"e{k}/b.c", f"acme tools license topic{k}") for k in range(1, 400)]
+    got = {r.file_id: r for r in L.scan_licenses(spark.createDataFrame(rows, "file_id long, path string, body string"), lines).collect()}
+    assert got[0].own_license == "MIT" and got[0].own_score > 0.95
