@@ -360,19 +360,31 @@ def homes(spark, root):
     return pages(spark, root).select(F.concat(F.lit("https://"), X.host_of(F.col("url"))).alias("url")).distinct()
 
 
-def no_links(spark, root):
-    """Links of the home pages themselves: the table holds none that names people."""
-    return P.same_site_links(links(spark, root)).where(X.contains_any(F.lower(F.concat_ws(" ", "href", "text")), ("meet-our-staff",)))
+def site_links(known):
+    """Same-site links of every host's home page, on the URLs of homes(): the root page, else the first usable one.
+
+    The SQL of the two queries below holds guesses alone; it gives equal rows as long as no home page has a link that names people.
+    """
+    host = X.host_of(F.col("url"))
+    root = F.regexp_extract("url", "^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1).isin("", "/")
+    usable = known.select("url", "page_id", X.page_usable(F.lit(200), F.col("html")).alias("usable"))
+    urls = known.select(host.alias("account_key"), F.struct(~root, "page_id").alias("pos"), "url")
+    first = P.first_usable(urls.dropDuplicates(["account_key", "url"]), usable.dropDuplicates(["url", "page_id"])).select("page_id", "url")
+    parsed = P.page_features(known.join(first, ["page_id", "url"], "left_semi").dropDuplicates(["page_id", "url"]))
+    found = P.same_site_links(parsed.select("page_id", "url", F.explode("anchors").alias("a")).select("page_id", "url", "a.*"))
+    home = F.concat(F.lit("https://"), host)
+    moved = F.concat(home, F.regexp_replace("target", "^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*", ""))
+    return found.select("page_id", home.alias("url"), "pos", "href", "text", moved.alias("target"))
 
 
 @query("", f"SELECT url, target, CAST(priority AS INTEGER) AS priority, CAST(rank AS INTEGER) AS rank FROM (SELECT *, row_number() OVER (PARTITION BY url ORDER BY priority, target) AS rank FROM ({GUESSES}) g) x WHERE rank <= 16")
 def page_url_rank(spark, root):
-    return P.people_pages(no_links(spark, root), homes(spark, root)).select("url", "target", "priority", "rank")
+    return P.people_pages(site_links(pages(spark, root)), homes(spark, root)).select("url", "target", "priority", "rank")
 
 
 @query("", f"SELECT url, target FROM ({GUESSES}) g")
 def page_url_union(spark, root):
-    return P.people_pages(no_links(spark, root), homes(spark, root), limit=1000).select("url", "target")
+    return P.people_pages(site_links(pages(spark, root)), homes(spark, root), limit=1000).select("url", "target")
 
 
 @query("", f"SELECT DISTINCT host AS account_key, url FROM (SELECT {HOST(c='url')} AS host, url, split_part(url, '?', 1) AS p FROM pages) x WHERE ends_with(p, '/') AND NOT ends_with(p, '://')")

@@ -3,11 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
+from rosterworks import params
 from rosterworks.functions import exprs as X
 from rosterworks.operators import classify as C
 from rosterworks.operators import enrich as E
 from rosterworks.operators import pages as P
 from rosterworks.operators import people as H
+from rosterworks.plans import pages as PP
 
 STAFF = '<div><h3>Jane Smith</h3><p>General Manager</p><a href="mailto:JSmith@AcmeFord.example">Email me here please</a></div>'
 
@@ -97,3 +99,15 @@ def test_error_reasons(spark):
     assert one(spark, X.error_reason(F.col("m")), m="net::ERR_CONNECTION_REFUSED at x") == "browser_connection_refused"
     assert one(spark, X.error_reason(F.col("m")), m="net::ERR_TIMED_OUT") == "browser_network_error"
     assert one(spark, X.error_reason(F.col("m")), m="boom") == "browser_navigation_error"
+
+
+def test_found_people_pages(spark):
+    """Links of home pages join the guesses, whatever stands in the tag; other pages' and other sites' links do not."""
+    home = '<a class="x" href="/about-us"><b>About</b></a><a href="/people#top">Our team</a><a href="https://other.example/staff">Staff</a><a href="/cars">Cars</a>'
+    rows = [(1, "http://www.acme.example/deep", '<a href="/deep-staff">Staff</a>'), (2, "http://www.acme.example/", home), (3, "https://solo.example/en/1", '<a href="contact.html">Write</a>')]
+    known = spark.createDataFrame(rows, "page_id long, url string, html string")
+    homes = spark.createDataFrame([("https://acme.example",), ("https://solo.example",)], "url string")
+    got = {(r.url, r.target): r.priority for r in P.people_pages(PP.site_links(known), homes, limit=1000).collect()}
+    found = {k: v for k, v in got.items() if k[1].removeprefix(k[0]) not in params.CONTACT_PATHS}
+    assert found == {("https://acme.example", "https://acme.example/people"): 0, ("https://solo.example", "https://solo.example/en/contact.html"): 2}
+    assert got["https://acme.example", "https://acme.example/about-us"] == 2 and len(got) == 2 + 2 * len(params.CONTACT_PATHS)
