@@ -116,15 +116,22 @@ def parse_page(html: str) -> dict:
     }
 
 
-def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        parsed = pd.DataFrame([parse_page(h or "") for h in pdf["html"]], columns=["title", "meta_description", "og_site_name", "text", "anchors", "json_ld", "email_contexts"])
-        yield pd.concat([pdf[["page_id", "url"]].reset_index(drop=True), parsed], axis=1)
+def _features(kept: tuple[str, ...]):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            parsed = pd.DataFrame([parse_page(h or "") for h in pdf["html"]], columns=["title", "meta_description", "og_site_name", "text", "anchors", "json_ld", "email_contexts"])
+            yield pd.concat([pdf[["page_id", "url"]].reset_index(drop=True), parsed, pdf[list(kept)].reset_index(drop=True)], axis=1)
 
+    return run
 
-def page_features(pages: DataFrame) -> DataFrame:
-    """One parse of every page (page_id, url, html) into typed columns; all else is column work on them."""
-    return pages.select("page_id", "url", "html").mapInPandas(_features, FEATURES)
+
+def page_features(pages: DataFrame, kept: tuple[str, ...] = ()) -> DataFrame:
+    """One parse of every page (page_id, url, html) into typed columns; all else is column work on them.
+
+    The columns ``kept`` of pages stay beside the features.
+    """
+    schema = ", ".join((FEATURES, *(f"{c} {pages.schema[c].dataType.simpleString()}" for c in kept)))
+    return pages.select("page_id", "url", "html", *kept).mapInPandas(_features(kept), schema)
 
 
 def raw_title(html: Column) -> Column:

@@ -99,7 +99,13 @@ def clean_title(spark, root):
 
 @query("", f"SELECT page_id, {CLEAN(c=TITLE)} AS name, CASE WHEN {CLEAN(c=TITLE)} IS NOT NULL THEN CAST(0.78 AS DOUBLE) END AS confidence FROM pages")
 def page_names(spark, root):
-    named = pages(spark, root).select("page_id", E.page_name(F.array().cast("array<string>"), F.lit(None).cast("string"), P.raw_title(F.col("html"))).alias("n"))
+    """The SQL knows titles alone: equal as long as no page has JSON-LD or a site name."""
+    return named_pages(pages(spark, root))
+
+
+def named_pages(known):
+    seen = P.page_features(known.withColumn("raw", P.raw_title(F.col("html"))), ("raw",))
+    named = seen.select("page_id", E.page_name(F.col("json_ld"), F.col("og_site_name"), F.col("raw")).alias("n"))
     return named.select("page_id", F.col("n.value").alias("name"), F.col("n.confidence").alias("confidence"))
 
 

@@ -111,3 +111,13 @@ def test_found_people_pages(spark):
     found = {k: v for k, v in got.items() if k[1].removeprefix(k[0]) not in params.CONTACT_PATHS}
     assert found == {("https://acme.example", "https://acme.example/people"): 0, ("https://solo.example", "https://solo.example/en/contact.html"): 2}
     assert got["https://acme.example", "https://acme.example/about-us"] == 2 and len(got) == 2 + 2 * len(params.CONTACT_PATHS)
+
+
+def test_names_from_whole_pages(spark):
+    """JSON-LD before the site's name before the title, read from the html of every page."""
+    ld = '<script type="application/ld+json">{"name": "Acme Motors"}</script>'
+    og = '<meta property="og:site_name" content="Acme Site">'
+    rows = [(1, f"<title>T</title>{og}{ld}"), (2, f"<title>T</title>{og}"), (3, "<title>Acme &amp; Co</title>"), (4, ""), (5, None), (3, "<title>Again</title>")]
+    known = spark.createDataFrame([(k, "https://a.example/", h) for k, h in rows], "page_id long, url string, html string")
+    got = sorted(((r.page_id, r.name, r.confidence) for r in PP.named_pages(known).collect()), key=str)
+    assert got == [(1, "Acme Motors", 0.95), (2, "Acme Site", 0.90), (3, "Acme &amp; Co", 0.78), (3, "Again", 0.78), (4, None, None), (5, None, None)]
