@@ -34,8 +34,12 @@ LOOKALIKES = {
 MARKS = " \t\n.-_*'~"
 EDGE = ".,;:?\"'()[]{}<>~_-…»«“”"
 #: Letters and signs that can be read as each other share a class, named by one letter.
-CLASS = str.maketrans({**{s: letters[0] for s, letters in LOOKALIKES.items() if s != "*"}, "l": "i", "6": "g", **dict.fromkeys(MARKS)})
-SPACED = re.compile(r"(?<!\S)[^\W_]?[\w@$!|+*](?:[\s._*~-]+[\w@$!|+*]){2,}(?![^\s.,;:?!])")
+CLASS = str.maketrans({**{s: letters[0] for s, letters in LOOKALIKES.items() if s != "*"}, "l": "i", "£": "i", "6": "g", **dict.fromkeys(MARKS)})
+_SIGNS = re.escape("".join(s for s in LOOKALIKES if not s.isalnum()))
+SPACED = re.compile(rf"(?<!\S)[^\W_]?[\w{_SIGNS}](?:[\s._*~-]+[\w{_SIGNS}]){{2,}}(?![^\s.,;:?!])")
+#: Edge signs that stand for letters; the rest of EDGE is stripped from both ends of a token in any case.
+EDGE_SIGNS = "".join(c for c in EDGE if c in LOOKALIKES)
+_BARE_EDGE = "".join(c for c in EDGE if c not in LOOKALIKES)
 _TWICE = re.compile(r"(.)\1")
 GRAM, SIZE = 4, 27
 MEMO = 200_000
@@ -173,6 +177,28 @@ class Restorer:
                     return got
         return ()
 
+    def _signed(self, token: str) -> tuple[str, ...]:
+        """Readings with look-alikes kept at the edges: at both, at the start, at the end."""
+        token = token.strip(_BARE_EDGE)
+        for text in dict.fromkeys((token, token.rstrip(EDGE + "!"), token.lstrip(EDGE))):
+            if text and (text[0] in EDGE_SIGNS or text[-1] in EDGE_SIGNS) and shape(text) in self.shapes and (got := self._decoded(text)):
+                return got
+        return ()
+
+    @staticmethod
+    def _bracketed(text: str, token: str) -> bool:
+        """Whether the token's plain letters stand in brackets wherever it occurs: "(rap music)" has no hidden letter."""
+        if not token.strip(EDGE).isalpha():
+            return False
+        at = text.find(token)
+        while at >= 0:
+            sign = next(k for k in range(at, at + len(token)) if text[k] in EDGE_SIGNS)
+            end = text.find(")" if text[sign] == "(" else ">", sign + 1, sign + 200)
+            if end < 0 or text.find(text[sign], sign + 1, end) >= 0:
+                return False
+            at = text.find(token, at + len(token))
+        return True
+
     def words_in(self, text: str) -> set[str]:
         lower, memo, found = text.lower(), self.memo, set()
         for token in set(lower.split()):
@@ -183,6 +209,12 @@ class Restorer:
                 got = memo[token] = self._read(token)
             if got:
                 found.update(got)
+            elif "(" in token or "<" in token:
+                hidden = memo.get((token,))
+                if hidden is None:
+                    hidden = memo[token,] = self._signed(token)
+                if hidden and not self._bracketed(lower, token):
+                    found.update(hidden)
         for match in SPACED.finditer(lower):
             hidden = shape(match[0])
             if any(s in hidden for s in self.shapes):

@@ -57,3 +57,9 @@ def test_odd_rows(spark, odd, empty, model):
     assert T.drop_toxic(odd, model).columns == odd.columns and T.drop_toxic(odd, model).count() == odd.count()
     blank = T.train(empty, table(spark, ROOT, "labels").where("false"))
     assert {r.score for r in T.score_toxicity(odd, blank).collect()} == {0.5}
+
+
+@pytest.mark.parametrize(("seen", "word"), [("(lown", "clown"), ("(l0wn", "clown"), ("<lown!", "clown"), ("\"(lown\",", "clown"), ("( l o w n", "clown"), ("£ o s e r", "loser"), ("(clown)", "clown"), ("(clowns", None), ("(lawn)", None), ("(own)", None), ("(lown and such)", None), ("(l0wn)", "clown")])
+def test_signs_at_the_edges(model, seen, word):
+    found = T.Restorer(model.chars, frozenset({*model.weights, "clown"})).words_in(f"the {seen} was")
+    assert found == ({word} if word else set())
