@@ -17,11 +17,14 @@ MASK64 = (1 << 64) - 1
 def shared_dir(spark: SparkSession) -> str:
     """The folder of spark.checkpoint.dir, which driver and executors share.
 
-    Where the setting is absent (tests, one machine), a temporary folder takes its place.
+    Where the setting is absent, a temporary folder takes its place if the session runs in one
+    process; on several machines that would lose data, so there it is an error.
     """
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="rosterworks-"))
         folder = context.getCheckpointDir()
     return folder.rstrip("/")
@@ -49,7 +52,7 @@ def text_key(column: Column) -> Column:
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_BLOCK = 1 << 22
+_BLOCK = 1 << 18
 
 
 def _byte_table(fold: bool) -> np.ndarray:
@@ -62,17 +65,15 @@ def _byte_table(fold: bool) -> np.ndarray:
 _FOLDED = _byte_table(True)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < n:
-        size = max(n, 1 << 16)
-        for k, base in enumerate((_BASE, _INVERSE)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps, dtype=np.uint64)
-    return _powers[0], _powers[1]
+def _power_table(base: int) -> np.ndarray:
+    steps = np.full(_BLOCK + 1, base, np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps, dtype=np.uint64)
+
+
+_POWER, _UNDO = _power_table(_BASE), _power_table(_INVERSE)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -84,37 +85,83 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _block_words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _block_words(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Unmixed hashes, starts and ends of the words of a block; no word crosses a cut (a position in it)."""
     inside = np.zeros(len(data) + 2, np.int8)
     inside[1:-1] = ~_SPACE[data]
-    edge = np.diff(inside)
-    starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    power, inverse = _power_tables(len(data) + 1)
+    begins, stops = (inside[1:] > inside[:-1]), (inside[1:] < inside[:-1])
+    joined = cuts[(inside[cuts] & inside[cuts + 1]) == 1]
+    begins[joined] = stops[joined] = True
+    starts, ends = np.flatnonzero(begins), np.flatnonzero(stops)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_FOLDED[data] * power[: len(data)], out=sums[1:])
-    return (sums[ends] - sums[starts]) * inverse[starts], starts, ends
+    np.cumsum(_FOLDED[data] * _POWER[: len(data)], out=sums[1:])
+    return (sums[ends] - sums[starts]) * _UNDO[starts], starts, ends
+
+
+_NO_CUT = np.zeros(0, np.int64)
 
 
 def words_of(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """64-bit hashes of the words of UTF-8 bytes, A-Z lower-cased, with their start and end bytes.
 
-    Words are runs without the bytes 9-13 and 32. Long texts are taken in blocks that end at a
-    space, so that memory stays in proportion to the block and not to the text.
+    Words are runs without the bytes 9-13 and 32. Texts are taken in blocks of a fixed size, and a
+    word that a block's end cuts is put together from its pieces, so that memory stays in
+    proportion to the block and the words, however long a text or a word is.
     """
-    parts, at = [], 0
-    while at < len(data):
-        end = at + _BLOCK
-        while end < len(data) and not _SPACE[data[end]]:
-            end += 1
-        value, starts, ends = _block_words(data[at:end])
-        parts.append((value, starts + at, ends + at))
-        at = end
+    parts, open_word = [], None
+    for at in range(0, len(data), _BLOCK):
+        value, starts, ends = _block_words(data[at : at + _BLOCK], _NO_CUT)
+        starts, ends = starts + at, ends + at
+        if open_word is not None:
+            first, begun = open_word
+            if len(starts) and starts[0] == at:
+                value[0] = (first + int(value[0]) * pow(_BASE, at - begun, 1 << 64)) & MASK64
+                starts[0] = begun
+            else:
+                parts.append((np.array([first], np.uint64), np.array([begun]), np.array([at])))
+            open_word = None
+        if len(ends) and ends[-1] == at + _BLOCK < len(data):
+            open_word = int(value[-1]), int(starts[-1])
+            value, starts, ends = value[:-1], starts[:-1], ends[:-1]
+        parts.append((value, starts, ends))
     if not parts:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     value, starts, ends = parts[0] if len(parts) == 1 else (np.concatenate(x) for x in zip(*parts, strict=True))
     return mix(value + (ends - starts).astype(np.uint64)), starts, ends
 
 
+def _groups(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of neighbouring texts of at most a block together; a longer text stands alone."""
+    start = total = 0
+    for k, n in enumerate(lengths.tolist()):
+        if total + n > _BLOCK and k > start:
+            yield start, k
+            start, total = k, 0
+        total += n
+    if start < len(lengths):
+        yield start, len(lengths)
+
+
+def _group_words(views: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, byte lengths, text number) of the words of several texts."""
+    if len(views) == 1:
+        value, starts, ends = words_of(views[0])
+        return value, ends - starts, np.zeros(len(value), np.int64)
+    cuts = np.cumsum([len(v) for v in views])
+    value, starts, ends = _block_words(np.concatenate(views), cuts[:-1])
+    return mix(value + (ends - starts).astype(np.uint64)), ends - starts, np.searchsorted(cuts, starts, side="right")
+
+
+def batch_words(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each text of an Arrow column the hashes and byte lengths of its words, as in :func:`words_of`."""
+    views = list(byte_views(column))
+    for start, end in _groups(np.array([len(v) for v in views], np.int64)):
+        value, size, owner = _group_words(views[start:end])
+        at = np.searchsorted(owner, np.arange(end - start + 1))
+        for k in range(end - start):
+            yield value[at[k] : at[k + 1]], size[at[k] : at[k + 1]]
+
+
 def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """A hash for each run of ``size`` words, in order; fewer words make one hash, none make none."""
     n = len(words)
@@ -127,6 +174,29 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mix(total + np.uint64(take))
 
 
+def batch_shingles(column: pa.Array, size: int) -> Iterator[np.ndarray]:
+    """For each text of an Arrow column the sorted distinct shingle hashes of its words."""
+    views = list(byte_views(column))
+    for start, end in _groups(np.array([len(v) for v in views], np.int64)):
+        value, _, owner = _group_words(views[start:end])
+        runs = shingle_hashes(value, size) if len(value) >= size else value[:0]
+        at = np.searchsorted(owner, np.arange(end - start + 1)).tolist()
+        for first, last in zip(at, at[1:], strict=False):
+            own = runs[first : last - size + 1] if last - first >= size else shingle_hashes(value[first:last], size)
+            yield distinct(own)
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted distinct values."""
+    values = np.sort(values)
+    if len(values) < 2:
+        return values
+    keep = np.empty(len(values), bool)
+    keep[0] = True
+    np.not_equal(values[1:], values[:-1], out=keep[1:])
+    return values[keep]
+
+
 def byte_views(column: pa.Array) -> Iterator[np.ndarray]:
     """The bytes of each text of an Arrow column, without a copy; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -2,20 +2,21 @@
 
 Stages, each a Spark job over the whole table:
 
-1. *Profile*: every document gets its set size and a 64-bit identity of its set; documents with
-   equal sets form one class, so copies are never compared with each other.
-2. *Support*: a set can only have a partner if enough of its shingles occur in other sets. Packed
-   postings, dealt by hash, count for each class how many of its shingles another class also has.
-   A shingle that several classes of one batch share leaves the batch once, so a shingle that very
-   many documents have never gathers in one task.
-3. *Index lists*: surviving sets are ordered rarest shingle first and only their prefixes enter the
+1. *Profile*: one pass shingles every text and gives its set size, a 64-bit identity of its set and
+   the shingles whose hash lies in a fixed third of all hashes. Documents with equal sets form one
+   class, so copies are never compared with each other.
+2. *Support*: a set with a partner can miss at most a fifth of its shingles there, so it has at
+   most as many of the third that no other class has. An aggregate by shingle, combined before the
+   shuffle however common a shingle is, finds those and drops sets with too many of them.
+3. *Index lists*: the sets left are ordered rarest shingle first and only their prefixes enter the
    lists. Lists are cut into blocks by position; a pair of blocks whose best positional bound is
    too small is skipped whole.
 4. *Answers from similar sets*: every set belongs to a home block, a piece of bounded size of its
-   longest list. A home block is answered at once by counting shared shingles; every list also has a
-   leader, to which its other sets are compared. A set that is linked to another takes over all
-   the answers found for it, so only pairs of different components and home blocks are left, each
-   looked at in the first list that both sets are in.
+   longest list. In a home block one set's overlaps with all others are counted from the lists; a
+   similar set's follow from them by the lists of the few shingles in which the two differ. Every
+   list also has a leader, to which its other sets are compared. A set that is linked to another
+   takes over the answers found for it, so only pairs of different components and home blocks are
+   left, each looked at in the first list that both sets are in.
 """
 
 from __future__ import annotations
@@ -23,122 +24,61 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_int64, byte_views, materialize, mix, parts, shingle_hashes, words_of
+from .common import as_int64, batch_shingles, materialize, mix, parts
 from .graph import components
 
-ENTRIES_PER_BUCKET = 4_000_000
-LEAST_BITS = 6
 BITMAP_BITS = 24
 BLOCK = 8
 HOME = 2_000
-
-
-def shingle_set(data: np.ndarray, size: int) -> np.ndarray:
-    """The sorted distinct shingle hashes of a text's bytes."""
-    return np.unique(shingle_hashes(words_of(data)[0], size))
+#: Hashes below this bound are the third that the support is counted on.
+SAMPLED = np.uint64((1 << 64) // 3)
 
 
 def set_identity(hashes: np.ndarray) -> int:
     """64 bits that stand for a set; equal sets, equal identity (two of 10**9 sets meet by chance with p = 0.03)."""
     if not len(hashes):
         return 0
-    value = mix(np.array([mix(hashes).sum() + np.uint64(len(hashes))], np.uint64))
+    value = mix(np.array([hashes.sum(dtype=np.uint64) + np.uint64(len(hashes))], np.uint64))
     return int(as_int64(value)[0])
 
 
 def _profile(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts(batches, 1):
-            sets = [shingle_set(x, size) for x in byte_views(batch.column(1))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([set_identity(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())],
-                ["doc_id", "set_id", "n_shingles"],
-            )
+        for batch in parts(batches, 1, 1 << 21):
+            keys, sizes, samples = [], [], []
+            for hashes in batch_shingles(batch.column(1), size):
+                keys.append(set_identity(hashes))
+                sizes.append(len(hashes))
+                samples.append(hashes[: np.searchsorted(hashes, SAMPLED)])
+            offsets = np.concatenate(([0], np.cumsum([len(x) for x in samples]))).astype(np.int32)
+            flat = as_int64(np.concatenate(samples)) if samples else np.zeros(0, np.int64)
+            sampled = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), sampled], ["doc_id", "set_id", "n_shingles", "sampled"])
 
     return run
 
 
-def _pack(size: int, bits: int):
-    """Postings of a batch by bucket. Shingles of one set of the batch keep their owner; of the
-    others each owner is credited here and the shingle leaves once, without owners (``several``)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts(batches, 0):
-            sets = {}
-            for data in byte_views(batch.column(0)):
-                hashes = shingle_set(data, size)
-                if len(hashes):
-                    sets.setdefault(set_identity(hashes), hashes)
-            if not sets:
-                continue
-            owners = np.fromiter(sets, np.int64, len(sets))
-            every = np.concatenate(list(sets.values()))
-            owner = np.repeat(np.arange(len(owners)), [len(s) for s in sets.values()])
-            order = np.argsort(every, kind="stable")
-            ranked = every[order]
-            same = ranked[1:] == ranked[:-1]
-            shared = np.zeros(len(every), bool)
-            shared[order[1:]] |= same
-            shared[order[:-1]] |= same
-            several = np.unique(every[shared])
-            credit = np.bincount(owner[shared], minlength=len(owners)).astype(np.uint32)
-            rows = []
-            if credit.any():
-                rows.append((-1 - int(owners[0] & 63), b"", b"", owners[credit > 0].tobytes(), credit[credit > 0].tobytes()))
-            alone, owner = every[~shared], owner[~shared]
-            bucket, other = (alone >> np.uint64(64 - bits)).astype(np.uint16), (several >> np.uint64(64 - bits)).astype(np.uint16)
-            order = np.argsort(bucket, kind="stable")
-            alone, owner = alone[order], owner[order]
-            cut = np.searchsorted(bucket[order], np.arange((1 << bits) + 1))
-            cut_other = np.searchsorted(other, np.arange((1 << bits) + 1))
-            low = lambda x: (x >> np.uint64(32 - bits)).astype(np.uint32)
-            for k in range(1 << bits):
-                at, part = slice(cut[k], cut[k + 1]), several[cut_other[k] : cut_other[k + 1]]
-                if at.stop > at.start or len(part):
-                    who, count = np.unique(owner[at], return_counts=True)
-                    rows.append((k, low(alone[at]).tobytes(), low(part).tobytes(), owners[who].tobytes(), count.astype(np.uint32).tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), (pa.int32(), *[pa.binary()] * 4), strict=True)], ["bucket", "hashes", "several", "owners", "counts"])
-
-    return run
-
-
-def _support(pdf: pd.DataFrame) -> pd.DataFrame:
-    """For each owner in a bucket, how many of its shingles some other class has."""
-    join = lambda c, t: np.frombuffer(b"".join(pdf[c]), t)
-    owners, counts = join("owners", np.int64), join("counts", np.uint32)
-    if pdf["bucket"].iloc[0] < 0:
-        return pd.DataFrame({"set_id": owners, "shared": counts.astype(np.int64)})
-    hashes, several = join("hashes", np.uint32), join("several", np.uint32)
-    values, who = np.unique(owners, return_inverse=True)
-    key = np.unique(hashes.astype(np.uint64) << np.uint64(32) | np.repeat(who, counts).astype(np.uint64))
-    hashes, who = (key >> np.uint64(32)).astype(np.uint32), (key & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    same = hashes[1:] == hashes[:-1]
-    shared = np.isin(hashes, several)
-    shared[1:] |= same
-    shared[:-1] |= same
-    credit = np.bincount(who[shared], minlength=len(values))
-    return pd.DataFrame({"set_id": values[credit > 0], "shared": credit[credit > 0]})
-
-
 def _sets(size: int, bitmap):
+    """The sets of texts whose mark may be in the bitmap; no other text is looked at."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap.value, np.uint64)
-        for batch in parts(batches, 1):
-            rows = []
-            for doc_id, data in zip(batch.column(0).to_pylist(), byte_views(batch.column(1)), strict=True):
-                hashes = shingle_set(data, size)
-                if len(hashes):
-                    key = set_identity(hashes)
-                    place = key & ((1 << BITMAP_BITS) - 1)
-                    if int(bits[place >> 6]) >> (place & 63) & 1:
-                        rows.append((doc_id, key, hashes.tobytes()))
-            columns = zip(*rows) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, (batch.schema.field(0).type, pa.int64(), pa.binary()), strict=True)], ["doc_id", "set_id", "hashes"])
+        for batch in batches:
+            place = batch.column(2).to_numpy() & ((1 << BITMAP_BITS) - 1)
+            marked = bits[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)
+            for part in parts(iter([batch.filter(pa.array(marked.astype(bool)))]), 1, 1 << 21):
+                ids, keys, sets = part.column(0).to_pylist(), [], []
+                for hashes in batch_shingles(part.column(1), size):
+                    keys.append(set_identity(hashes))
+                    sets.append(hashes.tobytes())
+                rows = [x for x in zip(ids, keys, sets, strict=True) if x[2]]
+                columns = [[x[k] for x in rows] for k in range(3)]
+                kinds = (part.schema.field(0).type, pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(columns, kinds, strict=True)], ["doc_id", "set_id", "hashes"])
 
     return run
 
@@ -166,36 +106,82 @@ def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in parts(batches, 2, 1 << 22):
         x, y = (batch.column(k).to_pylist() for k in (2, 3))
         got = [len(np.intersect1d(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), assume_unique=True)) for p, q in zip(x, y, strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(got, pa.int64()), pa.array([(len(p) + len(q)) // 8 for p, q in zip(x, y, strict=True)], pa.int64())], ["a", "b", "common", "both"])
 
 
+def home_links(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """For each of several sets the number of the first set of its component among them.
+
+    Overlaps of a set with all others are counted from the lists of its tokens, or, if it differs in
+    fewer tokens from a set whose overlaps are known, derived from those: minus the lists of the
+    tokens that only the known set has, plus the lists of those that only this one has.
+    """
+    size = np.array([len(x) for x in sets])
+    token = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    who = np.repeat(np.arange(len(sets), dtype=np.int32), size)[np.argsort(token, kind="stable")]
+    length = np.bincount(token)
+    start = np.concatenate(([0], np.cumsum(length)))
+    own = [x[length[x] > 1] for x in np.split(token, np.cumsum(size)[:-1])]
+    shared = np.array([len(x) for x in own])
+    root, known = np.arange(len(sets)), {}
+    model, apart = np.full(len(sets), -1), shared.copy()
+
+    def counted(tokens: np.ndarray) -> np.ndarray | int:
+        lists = [who[start[t] : start[t + 1]] for t in tokens.tolist()]
+        return np.bincount(np.concatenate(lists), minlength=len(sets)) if lists else 0
+
+    for k in range(len(sets)):
+        if not shared[k]:
+            continue
+        if (like := int(model[k])) >= 0:
+            common = known[like] - counted(np.setdiff1d(own[like], own[k], True)) + counted(np.setdiff1d(own[k], own[like], True))
+        else:
+            common = counted(own[k])
+        differ = shared + shared[k] - 2 * common
+        closer = differ < apart
+        closer[: k + 1] = False
+        if closer.any():
+            known[k] = common.astype(np.int32)
+            model[closer], apart[closer] = k, differ[closer]
+        linked = np.flatnonzero((common * 100 >= percent * (size + size[k] - common)) & (common > 0))
+        roots = np.unique(root[linked])
+        if len(roots) > 1:
+            root[np.isin(root, roots)] = roots[0]
+    return root
+
+
 def _home_links(percent: int):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Links of a block that suffice to connect what is linked in it: each set with the first of its component."""
-        ids = pdf["set_id"].to_numpy(np.int64)
-        sets = [np.frombuffer(x, np.uint64) for x in pdf["hashes"]]
-        size = np.array([len(x) for x in sets])
-        token = np.unique(np.concatenate(sets), return_inverse=True)[1]
-        who = np.repeat(np.arange(len(ids)), size)[np.argsort(token, kind="stable")]
-        start = np.concatenate(([0], np.cumsum(np.bincount(token))))
-        root, at = np.arange(len(ids)), 0
-        for k, n in enumerate(size):
-            lists = [who[start[t] : start[t + 1]] for t in token[at : at + n] if start[t + 1] - start[t] > 1]
-            at += n
-            if lists:
-                common = np.bincount(np.concatenate(lists), minlength=len(ids))
-                linked = root[(common * 100 >= percent * (size + n - common)) & (common > 0)]
-                if len(linked):
-                    root[np.isin(root, linked)] = min(linked.min(), root[k])
-        ends = root != np.arange(len(ids))
-        return pd.DataFrame({"a": ids[root[ends]], "b": ids[ends]})
+    """Links that connect what is linked within a home block; rows of a block lie next to each other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, ids, sets = None, [], []
+        for batch in parts(batches, 2, 1 << 22):
+            found = []
+            for home, set_id, hashes in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                if home != here:
+                    found += _connected(ids, sets, percent)
+                    here, ids, sets = home, [], []
+                ids.append(set_id)
+                sets.append(np.frombuffer(hashes, np.uint64))
+            yield _pairs(found)
+        yield _pairs(_connected(ids, sets, percent))
 
     return run
 
 
+def _connected(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    if len(ids) < 2:
+        return []
+    return [(ids[r], ids[k]) for k, r in enumerate(home_links(sets, percent).tolist()) if r != k]
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("set_id").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("set_id").alias("b"), F.col("hashes").alias("y"))
@@ -208,7 +194,7 @@ def _possible(percent: int, n: Column, rest: Column, m: Column, last: Column) ->
     return (F.least(n, m) * 100 >= percent * F.greatest(n, m)) & (F.least(rest, last) * (100 + percent) >= percent * (n + m))
 
 
-def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, chars_hint: int | None = None) -> DataFrame:
+def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """Components of the documents under "Jaccard of word shingles is at least percent / 100".
 
     ``docs`` has doc_id and text; more columns are ignored. Returns a row for every row of docs:
@@ -221,32 +207,31 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, chars_
     """
     text = docs.select("doc_id", "text")
     id_type = text.schema["doc_id"].dataType.simpleString()
-    profile = materialize(text.mapInArrow(_profile(size), f"doc_id {id_type}, set_id long, n_shingles long"), "profile")
+    profile = materialize(text.mapInArrow(_profile(size), f"doc_id {id_type}, set_id long, n_shingles long, sampled array<long>"), "profile")
     classes = profile.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
-
-    entries = profile.agg(F.sum("n_shingles")).first()[0] or 0
-    bits = min(15, max(LEAST_BITS, int(np.ceil(np.log2(max(1, entries / ENTRIES_PER_BUCKET))))))
-    packed = text.select("text").mapInArrow(_pack(size, bits), "bucket int, hashes binary, several binary, owners binary, counts binary")
-    support = packed.groupBy("bucket").applyInPandas(_support, "set_id long, shared long").groupBy("set_id").agg(F.sum("shared").alias("shared"))
-    kept = materialize(classes.join(support, "set_id").where(F.col("shared") * 100 >= F.col("n") * percent).select("set_id", "doc_id", "n"), "kept")
-
-    bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(kept, "set_id"))
-    found = text.mapInArrow(_sets(size, bitmap), f"doc_id {id_type}, set_id long, hashes binary")
+    holders = profile.select("set_id", F.explode("sampled").alias("token")).groupBy("token").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"))
+    alone = holders.where("low = high").groupBy(F.col("low").alias("set_id")).agg(F.count("*").alias("alone"))
+    kept = classes.join(alone, "set_id", "left").where(F.coalesce("alone", F.lit(0)) * 100 <= F.col("n") * (100 - percent))
+    kept = materialize(kept.select("set_id", "doc_id", "n"), "kept")
+
+    mark = F.xxhash64("doc_id").alias("mark")
+    bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(kept.select(mark), "mark"))
+    found = text.select("doc_id", "text", mark).mapInArrow(_sets(size, bitmap), f"doc_id {id_type}, set_id long, hashes binary")
     own = kept.select("set_id", F.col("doc_id").alias("own"), "n")
     sets = found.join(own, (found.set_id == own.set_id) & found.doc_id.eqNullSafe(own.own)).select(found.set_id, "n", "hashes").dropDuplicates(["set_id"])
     sets = materialize(sets, "sets")
 
     postings = sets.select("set_id", "hashes").mapInArrow(_postings, "token long, set_id long")
-    common = postings.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    ranked = postings.join(common, "token").groupBy("set_id").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens"))
-    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - F.col("private")
-    heads = (
-        sets.select("set_id", "n")
-        .join(ranked, "set_id")
-        .withColumn("private", F.col("n") - F.size("tokens"))
-        .where(prefix > 0)
-        .select("set_id", "n", "private", F.slice("tokens.token", 1, F.greatest(prefix, F.lit(0)).cast("int")).alias("head"))
-    )
+    counts = materialize(postings.groupBy("token").agg(F.count("*").alias("df"), F.min("set_id").alias("only")), "counts")
+    private = counts.where("df = 1").groupBy(F.col("only").alias("set_id")).agg(F.count("*").alias("private"))
+    misses = F.floor(F.col("n") * (100 - percent) / 100)
+    open_sets = sets.join(private, "set_id", "left").withColumn("private", F.coalesce("private", F.lit(0))).where(F.col("private") <= misses)
+    open_sets = materialize(open_sets, "open")
+    postings = open_sets.select("set_id", "hashes").mapInArrow(_postings, "token long, set_id long")
+    ranked = postings.join(counts.where("df > 1").select("token", "df"), "token").groupBy("set_id").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens"))
+    prefix = (misses + 1 - F.col("private")).cast("int")
+    heads = open_sets.select("set_id", "n", "private").join(ranked, "set_id").select("set_id", "n", "private", F.slice("tokens.token", 1, prefix).alias("head"))
+    heads = materialize(heads, "heads")
     entries = heads.select("set_id", "n", "private", F.posexplode("head").alias("pos", "token")).select("token", "set_id", "n", (F.col("n") - F.col("private") - F.col("pos")).alias("rest"))
     lengths = entries.groupBy("token").agg(F.count("*").alias("length"), F.min(F.struct("set_id", "n", "rest")).alias("lead")).where("length > 1")
     entries = materialize(entries.join(lengths, "token"), "lists")
@@ -254,7 +239,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80, chars_
     piece = F.pmod(F.xxhash64("set_id"), F.ceil(F.col("home.length") / HOME))
     home = materialize(home.select("set_id", F.xxhash64("home.token", piece).alias("home")), "homes")
 
-    at_home = home.join(sets, "set_id").groupBy("home").applyInPandas(_home_links(percent), "a long, b long")
+    at_home = home.join(sets, "set_id").select("home", "set_id", "hashes").repartition("home").sortWithinPartitions("home").mapInArrow(_home_links(percent), "a long, b long")
     lead = home.select(F.col("set_id").alias("lead_id"), F.col("home").alias("lead_home"))
     led = (
         entries.where(F.col("set_id") != F.col("lead.set_id"))
