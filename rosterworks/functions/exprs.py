@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -46,8 +47,14 @@ def any_of(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 
 
+def alternation(words: Sequence[str]) -> str:
+    """A pattern of any of the words, taken literally."""
+    return "|".join(re.escape(w) for w in words)
+
+
 def contains_any(c: Column, words: Sequence[str]) -> Column:
-    return any_of([F.contains(c, F.lit(w)) for w in words])
+    """Whether the text contains one of the words: one scan."""
+    return c.rlike(alternation(words))
 
 
 def matches_any(c: Column, patterns: Sequence[str]) -> Column:
@@ -166,7 +173,12 @@ def same_site_domain(domain: Column, allowed: Column) -> Column:
 
 def host_in(host: Column, hosts: Sequence[str]) -> Column:
     """A host of the list or a sub-domain of one."""
-    return any_of([(host == h) | host.endswith("." + h) for h in hosts])
+    return host.rlike(rf"(?:^|\.)(?:{alternation(hosts)})$")
+
+
+def maker_host(host: Column) -> Column:
+    """A maker's own site: a root host, any host of its sites, or a sub-domain where the maker runs those."""
+    return host.isin(*params.OEM_ROOT_HOSTS) | host_in(host, params.OEM_SITES) | host.rlike(rf"(?:{alternation(params.OEM_SUFFIXES)})$")
 
 
 def page_priority(text: Column) -> Column:
@@ -180,17 +192,23 @@ def role_of(text: Column) -> Column:
     """Struct(role_type, role_family, role_title) of the first role whose title is found, else null."""
     options = []
     for kind, family, titles in params.ROLES:
-        title = F.regexp_extract(text, rf"(?i)\b({titles})\b", 1)
-        options.append(F.when(F.length(title) > 0, F.struct(F.lit(kind).alias("role_type"), F.lit(family).alias("role_family"), title.alias("role_title"))))
+        pattern = rf"(?i)\b({titles})\b"
+        title = F.regexp_extract(text, pattern, 1)
+        options.append(F.when(text.rlike(pattern), F.struct(F.lit(kind).alias("role_type"), F.lit(family).alias("role_family"), title.alias("role_title"))))
     return F.coalesce(*options)
 
 
-def person_near(text: Column, email: Column, title: Column) -> Column:
+#: Fixed value: a name as the default finds it; WIDE_NAME also takes letters with accents.
+PLAIN_NAME = r"\b([A-Z][a-z]+(?:\s+[A-Z][a-z]+){1,2})\b"
+WIDE_NAME = r"(?U)\b(\p{Lu}\p{Ll}+(?:\s+\p{Lu}\p{Ll}+){1,2})\b"
+
+
+def person_near(text: Column, email: Column, title: Column, pattern: str = PLAIN_NAME) -> Column:
     """The first name before the title that does not look like a title, without trailing fragments."""
     bare = F.replace(F.replace(text, email, F.lit(" ")), F.lit("Read my Bio"), F.lit(" "))
     at = F.instr(F.lower(bare), F.lower(title))
     cut = F.when(at > 1, F.substring(bare, F.lit(1), at - 1)).otherwise(bare)
     tidy = strip(F.regexp_replace(cut, r"\s+", " "))
-    names = F.regexp_extract_all(tidy, F.lit(r"\b([A-Z][a-z]+(?:\s+[A-Z][a-z]+){1,2})\b"), 1)
+    names = F.regexp_extract_all(tidy, F.lit(pattern), 1)
     good = F.filter(names, lambda n: ~contains_any(F.lower(n), params.TITLE_LIKE_WORDS))
     return trim_name(F.try_element_at(good, F.lit(1)))

@@ -75,13 +75,27 @@ def best_values(pages: DataFrame) -> DataFrame:
     )
 
 
-def apply_enrichment(accounts: DataFrame, found: DataFrame) -> DataFrame:
+def apply_enrichment(accounts: DataFrame, found: DataFrame, home: DataFrame | None = None) -> DataFrame:
     """accounts with each found field put in if it is at least as sure as the stored one; the row's
-    confidence never falls."""
+    confidence never falls.
+
+    ``home`` (account_key, website_url, website_confidence_score) gives the home pages that were
+    met: they become the website and its source, with the higher of both confidences.
+    """
     fields = {"account_name": "name_confidence", "inferred_brand": "brand_confidence", "account_city": "location_confidence", "account_state": "location_confidence"}
-    joined = accounts.join(found.select("account_key", F.struct(*fields, *dict.fromkeys(fields.values())).alias("n")), "account_key", "left")
+    scores = list(dict.fromkeys(fields.values()))
+    joined = accounts.join(found.select("account_key", F.struct(*fields, *scores).alias("n")), "account_key", "left")
     gate = lambda score: F.coalesce(F.col(f"n.{score}") >= F.coalesce(F.col(score), F.lit(0.0)), F.lit(False))
     changed = {c: F.when(gate(s), F.coalesce(F.col(f"n.{c}"), F.col(c))).otherwise(F.col(c)) for c, s in fields.items()}
-    changed |= {s: F.greatest(F.col(s), F.col(f"n.{s}")) for s in fields.values()}
-    changed["confidence_score"] = F.greatest("confidence_score", *[F.col(f"n.{s}") for s in dict.fromkeys(fields.values())])
+    changed |= {s: F.greatest(F.col(s), F.col(f"n.{s}")) for s in scores}
+    sure = [F.col("confidence_score"), *[F.col(f"n.{s}") for s in scores]]
+    if home is not None:
+        site = "website_confidence_score"
+        joined = joined.join(home.select("account_key", F.struct("website_url", site).alias("h")), "account_key", "left")
+        met = F.col("h.website_url").isNotNull()
+        changed |= {c: F.when(met, F.col("h.website_url")).otherwise(F.col(c)) for c in ("website_url", "website_source_url")}
+        changed[site] = F.greatest(F.col(site), F.col(f"h.{site}"))
+        changed["source_type"] = F.when(met, "website_enrichment").otherwise(F.col("source_type"))
+        sure.append(F.col(f"h.{site}"))
+    changed["confidence_score"] = F.greatest(*sure)
     return joined.select(*[changed.get(c, F.col(c)).alias(c) for c in accounts.columns])

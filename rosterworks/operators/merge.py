@@ -7,6 +7,8 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import params
+
 #: (old column, new column) -> merged column
 Rule = Callable[[Column, Column], Column]
 
@@ -18,10 +20,14 @@ higher: Rule = lambda old, new: F.greatest(old, new)
 lower: Rule = lambda old, new: F.least(old, new)
 either: Rule = lambda old, new: F.coalesce(old, F.lit(False)) | F.coalesce(new, F.lit(False))
 
-ACCOUNT_RULES = {"email_domain": keep_old, "account_type": keep_old, "account_status": take_new, "confidence_score": higher, "source_type": overwrite, "source_table": overwrite, "is_personal_domain": either, "first_seen_at": lower, "last_seen_at": higher, "updated_at": overwrite}
+#: Sources found on websites stay; ``REFERENCE_SOURCE`` lets the batch overwrite them.
+keep_web: Rule = lambda old, new: F.when(old.isin(*params.WEB_SOURCES), old).otherwise(F.coalesce(new, old))
+REFERENCE_SOURCE = {"source_type": overwrite, "source_table": overwrite}
+
+ACCOUNT_RULES = {"email_domain": keep_old, "account_type": keep_old, "account_status": take_new, "confidence_score": higher, "source_type": keep_web, "source_table": keep_old, "is_personal_domain": either, "first_seen_at": lower, "last_seen_at": higher, "updated_at": overwrite}
 CONTACT_RULES = {
     **{c: keep_old for c in ("source_contact_id", "full_name", "first_name", "last_name", "email_domain", "domain_type")},
-    "is_personal_email": either, "contact_status": take_new, "confidence_score": higher, "source_type": overwrite, "source_table": overwrite, "first_seen_at": lower, "last_seen_at": higher, "updated_at": overwrite,
+    "is_personal_email": either, "contact_status": take_new, "confidence_score": higher, "source_type": keep_web, "source_table": keep_old, "first_seen_at": lower, "last_seen_at": higher, "updated_at": overwrite,
 }
 RELATIONSHIP_RULES = {"relationship_status": take_new, "confidence_score": higher, "last_seen_at": higher, "updated_at": overwrite}
 SYNC_RULES = {"sync_status": overwrite, "last_synced_at": overwrite, "updated_at": overwrite}

@@ -11,8 +11,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import params
-from ..functions.exprs import contains_any, host_of, netloc, page_priority
+from ..functions.exprs import any_of, contains_any, netloc, page_priority
+from .classify import brand_word, independent_word
 
+# What an address looks like in text and in links.
 _EMAIL = re.compile(r"\b([A-Z0-9._%+\-]+@[A-Z0-9.\-]+\.[A-Z]{2,})\b", re.IGNORECASE)
 _MAILTO = re.compile(r"mailto:([A-Z0-9._%+\-]+@[A-Z0-9.\-]+\.[A-Z]{2,})", re.IGNORECASE)
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -131,7 +133,7 @@ def page_features(pages: DataFrame, kept: tuple[str, ...] = ()) -> DataFrame:
     The columns ``kept`` of pages stay beside the features.
     """
     schema = ", ".join((FEATURES, *(f"{c} {pages.schema[c].dataType.simpleString()}" for c in kept)))
-    return pages.select("page_id", "url", "html", *kept).mapInPandas(_features(kept), schema)
+    return pages.select(*dict.fromkeys(("page_id", "url", "html", *kept))).mapInPandas(_features(kept), schema)
 
 
 def raw_title(html: Column) -> Column:
@@ -193,11 +195,32 @@ def first_usable(urls: DataFrame, pages: DataFrame) -> DataFrame:
     return met.groupBy("account_key").agg(F.min_by(F.struct("page_id", "url", "usable"), F.struct(~F.col("usable"), F.col("pos"), F.col("page_id"))).alias("p")).select("account_key", "p.*")
 
 
-def paths_exist(accounts: DataFrame, pages: DataFrame, paths=params.INVENTORY_PATHS) -> DataFrame:
-    """account_key of accounts for whose host a page with one of the paths is known."""
-    path = F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)", 1)
-    known = pages.where(path.isin(*paths)).select(host_of(F.col("url")).alias("host")).distinct()
-    return accounts.select("account_key", host_of(F.col("account_key")).alias("host")).join(known, "host", "left_semi").select("account_key")
+def inventory_probe(accounts: DataFrame, probes: DataFrame, paths=params.INVENTORY_PATHS) -> DataFrame:
+    """account_key of accounts (account_key, source_url) whose inventory pages were met.
+
+    probes (account_key, path, status_code, final_url): what became of a request for a path of the
+    account's site. Only accounts whose key or URL has a brand or a word of the trade are looked at.
+    A page counts if it ends on a URL that speaks of stock, the URL or the key having a brand, or if it is refused (403).
+    """
+    key, final = F.col("account_key"), F.lower("final_url")
+    signal = any_of([word(F.coalesce(F.col(c), F.lit(""))) for c in ("account_key", "source_url") for word in (brand_word, independent_word)])
+    known = accounts.where(signal).select("account_key")
+    met = contains_any(final, ("inventory", "new", "used", "vehicle")) & (brand_word(final) | brand_word(key))
+    hit = probes.where(F.col("path").isin(*paths) & F.coalesce(met | (F.col("status_code") == 403), F.lit(False)))
+    return known.join(hit.select("account_key").distinct(), "account_key", "left_semi")
+
+
+def site_pages(accounts: DataFrame, pages: DataFrame, paths=params.SITE_PATHS) -> DataFrame:
+    """The pages of accounts' sites: the usable home page and usable pages of the hint paths, once per final URL.
+
+    accounts: account_key, home (URL); pages: url, page_id, usable, final_url. Result: account_key,
+    page_ord (place of the path), page_id, url, final_url. Of paths that end on one page the first counts.
+    """
+    site = F.regexp_replace("home", "/+$", "")
+    wanted = accounts.select("account_key", F.posexplode(F.array(*[F.concat(site, F.lit(p)) for p in paths])).alias("page_ord", "url"))
+    met = wanted.join(pages.where("usable"), "url")
+    first = met.groupBy("account_key", "final_url").agg(F.min(F.struct("page_ord", "page_id", "url")).alias("p"))
+    return first.select("account_key", "p.*", "final_url")
 
 
 def fetch_outcome(pages: DataFrame) -> DataFrame:

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import contact_score, email_domain, host_of, person_near, role_of, same_site_domain, split_name, stable_id
+from ..functions.exprs import PLAIN_NAME, contact_score, email_domain, host_of, person_near, role_of, same_site_domain, split_name, stable_id
 
 
-def page_candidates(features: DataFrame, accounts: DataFrame) -> DataFrame:
+def page_candidates(features: DataFrame, accounts: DataFrame, name_pattern: str = PLAIN_NAME) -> DataFrame:
     """Contact candidates of pages (account_key, page_ord, url, email_contexts) of accounts (account_key, website_url).
 
     An address counts if its domain belongs to the account's key, website or page; a candidate needs
-    a role and a name near the address.
+    a role and a name near the address; ``name_pattern`` says what a name looks like.
     """
     seen = features.select("account_key", "page_ord", "url", F.explode("email_contexts").alias("c")).select("account_key", "page_ord", "url", F.col("c.pos").alias("ctx_ord"), F.col("c.email").alias("email"), F.col("c.context").alias("context"))
     known = seen.join(accounts.select("account_key", "website_url"), "account_key")
@@ -21,7 +21,9 @@ def page_candidates(features: DataFrame, accounts: DataFrame) -> DataFrame:
     own = F.lit(False)
     for host in allowed:
         own = own | F.coalesce((F.length(host) > 0) & same_site_domain(domain, host), F.lit(False))
-    named = known.where(own).withColumn("role", role_of(F.col("context"))).where("role IS NOT NULL").withColumn("full_name", person_near(F.col("context"), F.col("email"), F.col("role.role_title"))).where("full_name IS NOT NULL")
+    once = lambda c: F.explode(F.array_compact(F.array(c)))  # noqa: E731  (drops nulls; an exploded value is not computed again)
+    named = known.where(own).withColumn("role", once(role_of(F.col("context"))))
+    named = named.withColumn("full_name", once(person_near(F.col("context"), F.col("email"), F.col("role.role_title"), name_pattern)))
     first, last = split_name(F.col("full_name"))
     score = contact_score(F.col("email"), F.col("full_name"), F.col("role.role_title"), F.col("url"))
     return named.select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -103,3 +105,8 @@ def source_preview(raw: DataFrame) -> DataFrame:
         F.count_distinct(F.when(F.coalesce("is_personal_email", F.lit(False)), email)).alias("personal_emails"),
         F.count_if(key.isNull()).alias("rows_without_account"),
     )
+
+
+def with_keys(df: DataFrame, keys: Sequence[str], column: str = "account_key") -> DataFrame:
+    """The rows whose key is in an explicit list; the list's keys are trimmed and lower-cased first."""
+    return df.where(F.col(column).isin(*{k.strip().lower() for k in keys}))

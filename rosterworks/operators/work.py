@@ -41,12 +41,13 @@ def seed_items(source: DataFrame, items: DataFrame, as_of: Column) -> DataFrame:
     return fresh.select(stable_id(F.col("task_type"), F.col("account_key")).alias("work_item_id"), "task_type", "account_key", F.lit("pending").alias("status"), "priority", F.lit(0).cast("long").alias("attempt_count"), as_of.alias("next_attempt_at"), as_of.alias("created_at"))
 
 
-def reopen(items: DataFrame, source: DataFrame, as_of: Column) -> DataFrame:
+def reopen(items: DataFrame, source: DataFrame, as_of: Column, reseed: Sequence[str] = ("retry_blocked",)) -> DataFrame:
     """items (task_type, account_key, status, priority, next_attempt_at, lease_expires_at) after seeds
-    came again: finished ones are pending, those in retry are due now, unknown ones are added."""
+    came again: finished ones of the task types in ``reseed`` are pending and those in retry due now;
+    unknown ones of any type are added."""
     seed = source.select("task_type", "account_key", F.col("priority").alias("new_priority"))
     both = items.join(seed, ["task_type", "account_key"], "full_outer")
-    seen, again = F.col("status").isNotNull(), F.col("new_priority").isNotNull()
+    seen, again = F.col("status").isNotNull(), F.col("new_priority").isNotNull() & F.col("task_type").isin(*reseed)
     finished, retry = again & F.col("status").isin("completed", "failed"), again & (F.col("status") == "retry")
     return both.select(
         "task_type",
@@ -74,6 +75,17 @@ def batch(items: DataFrame, size: int, as_of: Column, reclaim_expired: bool = Tr
     return items.where(claimable(as_of, reclaim_expired)).withColumn("position", F.row_number().over(order)).where(F.col("position") <= size)
 
 
+def extraction_batch(accounts: DataFrame, relationships: DataFrame, size: int) -> DataFrame:
+    """The next accounts whose people are to be looked up: of a target class, with a website, and with
+    no relationship that was found on a website; enriched ones first, then resolved ones, the least
+    recently verified, the key."""
+    found = relationships.where(F.col("source_type") == params.WEB_CONTACTS).select("account_id")
+    ready = accounts.where(in_target() & ~is_blank(F.col("website_url"))).join(found, "account_id", "left_anti")
+    tier = F.when(F.col("source_type") == "website_enrichment", 0).when(F.col("source_type") == "website_resolution", 1).otherwise(2)
+    verified = F.coalesce(F.col("last_verified_at").cast("timestamp_ntz"), F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"))
+    return ready.orderBy(tier, verified, "account_key").limit(size)
+
+
 def claim(items: DataFrame, size: int, as_of: Column, lease_minutes: int = 30) -> DataFrame:
     """items with the next batch in progress, leased and counted as an attempt."""
     picked = batch(items, size, as_of).select("work_item_id", F.lit(True).alias("picked"))
@@ -89,11 +101,15 @@ def complete(items: DataFrame, done: DataFrame, as_of: Column) -> DataFrame:
     return joined.withColumns({"status": F.when(hit, "completed").otherwise(F.col("status")), "lease_expires_at": F.when(~hit, F.col("lease_expires_at")), "completed_at": F.when(hit, as_of)}).drop("hit")
 
 
-def fail(items: DataFrame, failed: DataFrame, as_of: Column, pause_minutes: int = 30) -> DataFrame:
-    """items with those in failed (work_item_id, error) back in retry, due after the pause, the error kept."""
+def fail(items: DataFrame, failed: DataFrame, as_of: Column, pause_minutes: int = 30, max_attempts: int | None = None) -> DataFrame:
+    """items with those in failed (work_item_id, error) back in retry, due after the pause, the error kept.
+
+    With ``max_attempts``, items whose attempt_count has reached it have failed for good.
+    """
     joined = items.join(failed.select("work_item_id", F.col("error").alias("last_error"), F.lit(True).alias("hit")), "work_item_id", "left")
     hit = F.coalesce("hit", F.lit(False))
-    return joined.withColumns({"status": F.when(hit, "retry").otherwise(F.col("status")), "lease_expires_at": F.when(~hit, F.col("lease_expires_at")), "next_attempt_at": F.when(hit, as_of + F.make_dt_interval(mins=F.lit(pause_minutes))).otherwise(F.col("next_attempt_at"))}).drop("hit")
+    retry = F.lit("retry") if max_attempts is None else F.when(F.coalesce("attempt_count", F.lit(0)) >= max_attempts, "failed").otherwise("retry")
+    return joined.withColumns({"status": F.when(hit, retry).otherwise(F.col("status")), "lease_expires_at": F.when(~hit, F.col("lease_expires_at")), "next_attempt_at": F.when(hit, as_of + F.make_dt_interval(mins=F.lit(pause_minutes))).otherwise(F.col("next_attempt_at"))}).drop("hit")
 
 
 def fold_attempts(attempts: DataFrame) -> DataFrame:

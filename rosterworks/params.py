@@ -23,8 +23,17 @@ BRANDS = {
     "porsche": "Porsche", "ram": "Ram", "subaru": "Subaru", "toyota": "Toyota", "volkswagen": "Volkswagen",
     "vw": "Volkswagen", "volvo": "Volvo",
 }
-BRAND_WORDS = tuple(b for b in BRANDS if b not in ("mercedes-benz", "vw"))
-ALIAS_BRANDS = tuple(b for b in BRANDS if b not in ("infiniti", "mercedes", "mercedes-benz", "mini", "mitsubishi", "volvo"))
+# Brand words in evidence text, and brands that domains of shops end in.
+BRAND_WORDS = (
+    "acura", "audi", "bmw", "buick", "cadillac", "chevrolet", "chevy", "chrysler", "dodge", "ford", "gmc",
+    "honda", "hyundai", "infiniti", "jeep", "kia", "lexus", "lincoln", "mazda", "mercedes", "mini",
+    "mitsubishi", "nissan", "porsche", "ram", "subaru", "toyota", "volkswagen", "volvo",
+)
+ALIAS_BRANDS = (
+    "acura", "audi", "bmw", "buick", "cadillac", "chevrolet", "chevy", "chrysler", "dodge", "ford", "gmc",
+    "honda", "hyundai", "jeep", "kia", "lexus", "lincoln", "mazda", "nissan", "porsche", "ram", "subaru",
+    "toyota", "volkswagen", "vw",
+)
 
 # State codes.
 STATES = (
@@ -83,7 +92,9 @@ VENDOR_HOSTS = (
     "activator.ai", "mazdaleads.com", "affinitiv.com", "acvauctions.com", "adesa.com", "askpatty.com",
     "autotrader.com", "autonation.com", "dealer.com", "dealerspace.com", "cmdlr.com",
 )
-OEM_HOSTS = ("audi.com", "ford.com", "toyota.com", "honda.com", "chevrolet.com", "nissanusa.com", "hondaweb.com")
+OEM_ROOT_HOSTS = ("audi.com", "ford.com", "toyota.com", "honda.com", "chevrolet.com", "nissanusa.com")
+OEM_SUFFIXES = (".ford.com", ".toyota.com", ".honda.com", ".chevrolet.com", ".nissanusa.com")
+OEM_SITES = ("hondaweb.com",)
 VENDOR_HOST_WORDS = ("software", "consulting", "agency", "vendor", "crm", "marketing")
 CARE_HOST_WORDS = ("care", "health", "clinic", "hospital", "dental", "medical")
 
@@ -135,3 +146,6 @@ NAME_TAILS = ("Home", "Homepage", "New Vehicles", "Used Vehicles", "Service", "P
 
 # Work tasks and their priorities.
 TASKS = {"validate": 100, "enrich": 80, "extract_contacts": 60, "retry_blocked": 40}
+# Where rows came from.
+WEB_CONTACTS = "website_contact_extraction"
+WEB_SOURCES = ("website_enrichment", "website_resolution", WEB_CONTACTS)

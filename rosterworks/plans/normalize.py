@@ -18,6 +18,10 @@ ROWS = f"""SELECT contact_id, lower(trim(account_key)) AS account_key, lower(tri
 TAIL = f"'contact_master_normalization' AS source_type, 'contact_master' AS source_table, min(observed_at) AS first_seen_at, max(observed_at) AS last_seen_at, {NOW} AS created_at, {NOW} AS updated_at"
 
 
+#: Two batches that overlap and together hold every row.
+EARLY, LATE = "day(observed_at) <= 20", "day(observed_at) >= 10"
+
+
 def accounts_sql(where: str = "true") -> str:
     return f"""SELECT sha256(account_key) AS account_id, account_key, min(email_domain) FILTER (trim(email_domain) <> '') AS email_domain,
  CAST(NULL AS VARCHAR) AS account_name, CAST(NULL AS VARCHAR) AS inferred_brand, CAST(NULL AS VARCHAR) AS website_url,
@@ -41,11 +45,10 @@ def relationships_sql(where: str = "true") -> str:
 
 
 def merged_sql(build, key: str, columns: list[str], rules: dict[str, str]) -> str:
-    """The merge of an earlier batch (even contact numbers) with a later one (multiples of 3)."""
-    even, third = (f"CAST(substr(contact_id, 2) AS BIGINT) % {k} = 0" for k in (2, 3))
+    """The merge of an earlier batch (days up to 20) with a later one (days from 10)."""
     how = {"old": "coalesce(t.{c}, s.{c})", "new": "coalesce(s.{c}, t.{c})", "max": "greatest(t.{c}, s.{c})", "min": "least(t.{c}, s.{c})", "or": "(coalesce(t.{c}, false) OR coalesce(s.{c}, false))", "set": "s.{c}", "leave": "t.{c}"}
     body = ", ".join(f"CASE WHEN t.{key} IS NULL THEN s.{c} WHEN s.{key} IS NULL THEN t.{c} ELSE {how[rules.get(c, 'leave')].format(c=c)} END AS {c}" if c != key else f"coalesce(t.{c}, s.{c}) AS {c}" for c in columns)
-    return f"SELECT {body} FROM ({build(even)}) t FULL OUTER JOIN ({build(third)}) s ON t.{key} = s.{key}"
+    return f"SELECT {body} FROM ({build(EARLY)}) t FULL OUTER JOIN ({build(LATE)}) s ON t.{key} = s.{key}"
 
 
 SEEN = ["source_type", "source_table", "first_seen_at", "last_seen_at", "created_at", "updated_at"]
@@ -60,10 +63,9 @@ def rows(spark: SparkSession, root: str) -> DataFrame:
 
 
 def batches(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """An earlier and a later batch that overlap."""
-    number = F.substring("contact_id", 2, 20).cast("long")
+    """An earlier and a later batch that overlap and together hold every row."""
     every = rows(spark, root)
-    return every.where(number % 2 == 0), every.where(number % 3 == 0)
+    return every.where(EARLY), every.where(LATE)
 
 
 @query("contact_master", "SELECT contact_id, account_key, email, email_domain, is_personal_email, confidence_score, last_seen_at, created_at FROM contact_master_v")
@@ -135,7 +137,7 @@ def merge_relationships(spark, root):
 @query(
     "contact_master",
     f"""SELECT count(*) FILTER (t.contact_id IS NULL) AS inserted, count(*) FILTER (t.contact_id IS NOT NULL AND s.contact_id IS NOT NULL) AS updated, count(*) FILTER (s.contact_id IS NULL) AS untouched
- FROM ({contacts_sql("CAST(substr(contact_id, 2) AS BIGINT) % 2 = 0")}) t FULL OUTER JOIN ({contacts_sql("CAST(substr(contact_id, 2) AS BIGINT) % 3 = 0")}) s ON t.contact_id = s.contact_id""",
+ FROM ({contacts_sql(EARLY)}) t FULL OUTER JOIN ({contacts_sql(LATE)}) s ON t.contact_id = s.contact_id""",
 )
 def merge_counts(spark, root):
     early, late = batches(spark, root)
@@ -183,10 +185,14 @@ def email_domain_match(spark, root):
     return r.select("contact_id", F.col("account_key").alias("domain"), X.same_site_domain(X.email_domain(F.col("email")), F.col("account_key")).alias("belongs"))
 
 
-@query("contact_master", f"SELECT r.* FROM ({ROWS}) r WHERE account_key IN (SELECT DISTINCT account_key FROM accounts_v)".replace("FROM accounts_v", "FROM (SELECT concat('acct', CAST(c_custkey AS STRING), '.example.net') AS account_key FROM customer WHERE c_custkey <= 10) a"))
+#: Keys as a caller may write them.
+ASKED = ("acct0.example.net", " ACCT3.example.net", "Acct12.Example.net ", "mail1.example.com", "nowhere.example")
+
+
+@query("contact_master", f"SELECT r.* FROM ({ROWS}) r WHERE account_key IN ('acct0.example.net', 'acct3.example.net', 'acct12.example.net', 'mail1.example.com', 'nowhere.example')")
 def key_filter(spark, root):
-    keys = view(spark, root, "accounts").where(F.col("account_key").rlike(r"^acct([1-9]|10)\.")).select("account_key").distinct()
-    return rows(spark, root).join(keys, "account_key", "left_semi").select("contact_id", "account_key", "email", "email_domain", "full_name", "first_name", "last_name", "domain_type", "contact_status", "is_personal", "confidence_score", "observed_at")
+    kept = R.with_keys(rows(spark, root), ASKED)
+    return kept.select("contact_id", "account_key", "email", "email_domain", "full_name", "first_name", "last_name", "domain_type", "contact_status", "is_personal", "confidence_score", "observed_at")
 
 
 SYNC_SQL = f"""SELECT 'mailing' AS target_system, task_type AS source_record_type, account_key AS source_record_id, status AS sync_status, created_at AS last_synced_at, created_at AS updated_at
@@ -205,8 +211,8 @@ def sync_rows(spark, root, where: str) -> DataFrame:
     "work_items",
     "SELECT coalesce(t.target_system, s.target_system) AS target_system, coalesce(t.source_record_type, s.source_record_type) AS source_record_type, coalesce(t.source_record_id, s.source_record_id) AS source_record_id, "
     + ", ".join(f"CASE WHEN s.target_system IS NULL THEN t.{c} ELSE s.{c} END AS {c}" for c in ("sync_status", "last_synced_at", "updated_at"))
-    + f" FROM ({SYNC_SQL.format(where='work_item_id % 2 = 0')}) t FULL OUTER JOIN ({SYNC_SQL.format(where='work_item_id % 3 = 0')}) s ON t.target_system = s.target_system AND t.source_record_type = s.source_record_type AND t.source_record_id = s.source_record_id",
+    + f" FROM ({SYNC_SQL.format(where='day(created_at) <= 20')}) t FULL OUTER JOIN ({SYNC_SQL.format(where='day(created_at) >= 10')}) s ON t.target_system = s.target_system AND t.source_record_type = s.source_record_type AND t.source_record_id = s.source_record_id",
 )
 def merge_sync_status(spark, root):
     keys = ["target_system", "source_record_type", "source_record_id"]
-    return M.merge_upsert(sync_rows(spark, root, "work_item_id % 2 = 0"), sync_rows(spark, root, "work_item_id % 3 = 0"), keys, M.SYNC_RULES)
+    return M.merge_upsert(sync_rows(spark, root, "day(created_at) <= 20"), sync_rows(spark, root, "day(created_at) >= 10"), keys, M.SYNC_RULES)

@@ -109,32 +109,10 @@ def named_pages(known):
     return named.select("page_id", F.col("n.value").alias("name"), F.col("n.confidence").alias("confidence"))
 
 
-BRAND = "CASE " + " ".join(f"WHEN regexp_matches(lower({{c}}), '(^|[^a-z0-9_à-ÿ]){w}([^a-z0-9_à-ÿ]|$)') THEN {quoted(b)}" for w, b in params.BRANDS.items()) + " END"
-
-
-@query("account_pages", f"SELECT account_key, brand, CASE WHEN brand IS NOT NULL THEN CAST(0.9 AS DOUBLE) END AS confidence FROM (SELECT account_key, {BRAND.format(c='text')} AS brand FROM account_pages_v) x")
-def page_brands(spark, root):
-    none = F.lit(None).cast("string")
-    found = view(spark, root, "account_pages").select("account_key", E.page_brand(none, F.col("text"), none, none, none).alias("b"))
-    return found.select("account_key", F.col("b.value").alias("brand"), F.col("b.confidence").alias("confidence"))
-
-
-def placed(spark, root):
-    """Account text with a city and state in it."""
-    town = F.concat(F.lit("<p>"), F.initcap("account_city"), F.lit(", "), F.substring("account_city", 1, 2), F.lit(" 97301</p>"))
-    return accounts(spark, root).select("account_key", town.alias("html"))
-
-
 STATES = ", ".join(quoted(s) for s in params.STATES)
 TITLE_CASE = "array_to_string(list_transform(string_split(lower({c}), ' '), lambda w: upper(w[1]) || w[2:]), ' ')".format
 
 
-@query("accounts", f"SELECT account_key, {TITLE_CASE(c='account_city')} AS city, substr(account_city, 1, 2) AS state, CAST(0.72 AS DOUBLE) AS confidence FROM accounts_v WHERE substr(account_city, 1, 2) IN ({STATES})")
-def page_locations(spark, root):
-    found = placed(spark, root).select("account_key", E.page_place(F.array().cast("array<string>"), F.col("html")).alias("p"))
-    return found.where("p IS NOT NULL").select("account_key", "p.city", "p.state", "p.confidence")
-
-
 @query("", f"SELECT n_nationkey, {TITLE_CASE(c='n_name')} AS city FROM nation")
 def city_titlecase(spark, root):
     return read_table(spark, root, "nation").select("n_nationkey", X.clean_city(F.lower("n_name")).alias("city"))
@@ -145,9 +123,13 @@ def state_valid(spark, root):
     return read_table(spark, root, "nation").select("n_nationkey", X.clean_state(F.concat(F.lit(" "), F.lower(F.substring("n_name", 1, 2)))).alias("state"))
 
 
-@query("account_pages", f"SELECT account_key, h IN ('dealer.com') OR ends_with(h, '.dealer.com') OR {' OR '.join(f'h = {quoted(x)} OR ends_with(h, {quoted(chr(46) + x)})' for x in params.OEM_HOSTS)} AS listed FROM (SELECT account_key, {HOST(c='source_url')} AS h FROM account_pages_v) x")
+MAKER = "({h} IN ('audi.com', 'ford.com', 'toyota.com', 'honda.com', 'chevrolet.com', 'nissanusa.com', 'hondaweb.com') OR regexp_matches({h}, '[.](hondaweb|ford|toyota|honda|chevrolet|nissanusa)[.]com$'))".format
+
+
+@query("account_pages", f"SELECT account_key, h = 'dealer.com' OR ends_with(h, '.dealer.com') OR h = 'adesa.com' OR ends_with(h, '.adesa.com') AS listed, {MAKER(h='h')} AS maker FROM (SELECT account_key, {HOST(c='source_url')} AS h FROM account_pages_v) x")
 def host_list_match(spark, root):
-    return view(spark, root, "account_pages").select("account_key", X.host_in(X.host_of(F.col("source_url")), ("dealer.com", *params.OEM_HOSTS)).alias("listed"))
+    host = X.host_of(F.col("source_url"))
+    return view(spark, root, "account_pages").select("account_key", X.host_in(host, ("dealer.com", "adesa.com")).alias("listed"), X.maker_host(host).alias("maker"))
 
 
 @query("", "SELECT doc_id, unnest(regexp_extract_all(text, '(?i)\\b[A-Z0-9._%+\\-]+@[A-Z0-9.\\-]+\\.[A-Z]{2,}\\b')) AS email FROM documents")
@@ -257,14 +239,14 @@ _ROOFTOP = " OR ".join(f"(contains({_LABEL}, {quoted(w)}) AND {_LABEL} <> {quote
 EVIDENCE = f"""SELECT a.account_key, p.source_url, lower(concat_ws(' ', a.account_key, coalesce(account_name, ''), coalesce(inferred_brand, ''), p.source_url, substr(p.text, 1, 12000),
  CASE WHEN {_word('a.account_key', params.BRAND_WORDS)} THEN 'account_key_brand_hint' ELSE '' END, CASE WHEN p.inventory_link THEN 'inventory_page_detected' ELSE '' END, CASE WHEN p.refused_page THEN 'blocked_site' ELSE '' END)) AS e
  FROM accounts_v a LEFT JOIN account_pages_v p ON a.account_key = p.account_key"""
-SIGNALS = f"""SELECT *, {_listed('h', params.VENDOR_HOSTS)} AS vendor_host, {_listed('h', params.OEM_HOSTS)} AS oem_host, {_matches('e', params.VENDOR_PATTERNS)} AS vendor, {_matches('e', params.NON_DEALER_PATTERNS)} AS non_dealer,
+SIGNALS = f"""SELECT *, {_listed('h', params.VENDOR_HOSTS)} AS vendor_host, {MAKER(h='h')} AS oem_host, {_listed('told', params.VENDOR_HOSTS)} AS told_vendor_host, {MAKER(h='told')} AS told_oem_host, {_matches('e', params.VENDOR_PATTERNS)} AS vendor, {_matches('e', params.NON_DEALER_PATTERNS)} AS non_dealer,
  {_matches('e', params.GROUP_PATTERNS)} AS group_words, {_matches('e', params.DEALER_PATTERNS)} AS dealer_words, {_matches('e', params.INDUSTRY_PATTERNS)} AS industry, {_matches('e', params.OEM_PATTERNS)} AS oem_words,
  {_matches('e', params.CONTEXT_PATTERNS)} AS context, {_word('e', params.BRAND_WORDS)} AS brand, {_word('e', params.INDEPENDENT_WORDS)} AS independent,
  {_token(f"regexp_matches(t, {quoted(_ALIAS)})")} AS alias_domain, {_token(f"{has_any('t', params.BRAND_WORDS)} AND {has_any('t', params.DOMAIN_WORDS)}")} AS brand_domain,
- {_token(f"NOT {_listed(_BARE_HOST, params.VENDOR_HOSTS)} AND NOT {_listed(_BARE_HOST, params.OEM_HOSTS)} AND ({_ROOFTOP})")} AS rooftop_domain,
+ {_token(f"NOT {_listed(_BARE_HOST, params.VENDOR_HOSTS)} AND NOT {MAKER(h=_BARE_HOST)} AND ({_ROOFTOP})")} AS rooftop_domain,
  contains(e, 'account_key_brand_hint') AS key_hint, contains(e, 'inventory_page_detected') AS inventory, contains(e, 'blocked_site') AS refused, {has_any('e', params.SHOPPING_WORDS)} AS shopping,
  {has_any('h', params.VENDOR_HOST_WORDS)} AS vendor_host_word, {has_any('e', params.TITLE_WORDS)} AND contains(e, 'dealership') AS title_work, {has_any('e', params.SPECIALTY_WORDS)} AS specialty, {has_any('h', params.CARE_HOST_WORDS)} AS care_host
- FROM (SELECT *, {HOST(c="source_url")} AS h, regexp_extract_all(e, '[a-z0-9.-]+\\.[a-z]{{2,}}') AS tokens FROM ({EVIDENCE}) v) w"""
+ FROM (SELECT *, {HOST(c="source_url")} AS h, {HOST(c="regexp_extract(e, 'https?://[^" + chr(92) + "s]+', 0)")} AS told, regexp_extract_all(e, '[a-z0-9.-]+\\.[a-z]{{2,}}') AS tokens FROM ({EVIDENCE}) v) w"""
 
 
 def _case(values) -> str:
@@ -337,24 +319,38 @@ def apply_classification(spark, root):
 # Sites ------------------------------------------------------------------------------------------
 
 
-@query("", f"SELECT DISTINCT {HOST(c='url')} AS account_key FROM pages WHERE regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1) IN (SELECT '/en/' || CAST(i AS VARCHAR) || '.html' FROM range(4000, 4100) r(i))")
+SIGN = " OR ".join(f"{_word(c, words)}" for c in ("account_key", "source_url") for words in (params.BRAND_WORDS, params.INDEPENDENT_WORDS))
+PATHS = ", ".join(quoted(p) for p in params.INVENTORY_PATHS)
+
+
+@query("probes", f"SELECT DISTINCT account_key FROM probes_v WHERE ({SIGN}) AND path IN ({PATHS}) AND (status_code = 403 OR ({has_any('final_url', ('inventory', 'new', 'used', 'vehicle'))} AND ({_word('final_url', params.BRAND_WORDS)} OR {_word('account_key', params.BRAND_WORDS)})))")
 def path_probe(spark, root):
-    known = pages(spark, root)
-    hosts = known.select(X.host_of(F.col("url")).alias("account_key")).distinct()
-    return P.paths_exist(hosts, known, [f"/en/{i}.html" for i in range(4000, 4100)])
+    seen = view(spark, root, "probes")
+    return P.inventory_probe(seen.select("account_key", "source_url").distinct(), seen)
+
+
+FETCHED = f"(SELECT *, coalesce(status_code BETWEEN 200 AND 399 AND length(html) > 0 AND ({MARKER}) IS NULL, false) AS usable, {MARKER} AS marker FROM fetches_v) f"
+
 
+def fetched(spark, root):
+    """Pages of which some are refused, missing or empty."""
+    return view(spark, root, "fetches").withColumns({"usable": X.page_usable(F.col("status_code"), F.col("html")), "marker": X.block_marker(F.col("html"))})
 
-@query("", f"SELECT host AS account_key, arg_min(page_id, page_id) AS page_id FROM (SELECT page_id, {HOST(c='url')} AS host FROM pages) x GROUP BY host")
+
+@query("fetches", f"SELECT host AS account_key, page_id, usable FROM (SELECT *, row_number() OVER (PARTITION BY host ORDER BY usable DESC, page_id) AS rn FROM {FETCHED}) x WHERE rn = 1")
 def homepage_pick(spark, root):
-    known = pages(spark, root).select("url", "page_id", X.page_usable(F.lit(200), F.col("html")).alias("usable"))
-    urls = known.select(X.host_of(F.col("url")).alias("account_key"), F.col("page_id").alias("pos"), "url").distinct()
-    return P.first_usable(urls, known.dropDuplicates(["url", "page_id"])).select("account_key", "page_id")
+    seen = fetched(spark, root)
+    urls = seen.select(F.col("host").alias("account_key"), F.col("page_id").alias("pos"), "url")
+    return P.first_usable(urls, seen).select("account_key", "page_id", "usable")
 
 
-@query("", f"SELECT host, 'success' AS fetch_status, CAST(NULL AS VARCHAR) AS reason FROM (SELECT DISTINCT {HOST(c='url')} AS host FROM pages WHERE length(html) > 0) x")
+@query(
+    "fetches",
+    f"""SELECT host, CASE WHEN ok THEN 'success' WHEN marker IS NOT NULL THEN 'blocked' ELSE 'unavailable' END AS fetch_status, CASE WHEN NOT ok THEN coalesce(marker, 'no_public_html') END AS reason
+ FROM (SELECT host, bool_or(usable) AS ok, arg_min(marker, page_id) FILTER (marker IS NOT NULL) AS marker FROM {FETCHED} GROUP BY host) x""",
+)
 def fetch_outcome(spark, root):
-    seen = pages(spark, root).select("page_id", X.host_of(F.col("url")).alias("host"), X.page_usable(F.lit(200), F.col("html")).alias("usable"), X.block_marker(F.col("html")).alias("marker"))
-    return P.fetch_outcome(seen)
+    return P.fetch_outcome(fetched(spark, root))
 
 
 PRIORITY = "CASE " + " ".join(f"WHEN {has_any('{c}', words)} THEN {k}" for k, words in enumerate(params.PAGE_PRIORITIES)) + " ELSE 4 END"
@@ -391,43 +387,3 @@ def page_url_rank(spark, root):
 @query("", f"SELECT url, target FROM ({GUESSES}) g")
 def page_url_union(spark, root):
     return P.people_pages(site_links(pages(spark, root)), homes(spark, root), limit=1000).select("url", "target")
-
-
-@query("", f"SELECT DISTINCT host AS account_key, url FROM (SELECT {HOST(c='url')} AS host, url, split_part(url, '?', 1) AS p FROM pages) x WHERE ends_with(p, '/') AND NOT ends_with(p, '://')")
-def site_pages(spark, root):
-    known = pages(spark, root).where(F.split_part("url", F.lit("?"), F.lit(1)).endswith("/"))
-    return known.select(X.host_of(F.col("url")).alias("account_key"), "url").dropDuplicates(["url"])
-
-
-@query(
-    "account_pages",
-    f"""SELECT account_key, arg_min(brand, -ord) AS inferred_brand, CAST(0.9 AS DOUBLE) AS brand_confidence FROM (
- SELECT replace(account_key, account_key, 'group' || CAST(CAST(substr(account_key, 5, length(account_key) - 16) AS BIGINT) % 50 AS VARCHAR)) AS account_key, -CAST(substr(account_key, 5, length(account_key) - 16) AS BIGINT) AS ord, {BRAND.format(c='text')} AS brand FROM account_pages_v) x
- WHERE brand IS NOT NULL GROUP BY account_key""",
-)
-def best_page_values(spark, root):
-    found = grouped_pages(spark, root)
-    return E.best_values(found).where("inferred_brand IS NOT NULL").select("account_key", "inferred_brand", "brand_confidence")
-
-
-def grouped_pages(spark, root):
-    number = F.expr("CAST(substring(account_key, 5, length(account_key) - 16) AS BIGINT)")
-    none = F.lit(None).cast("string")
-    empty = F.array().cast("array<string>")
-    return view(spark, root, "account_pages").select(
-        F.concat(F.lit("group"), (number % 50).cast("string")).alias("account_key"), number.alias("page_ord"), F.col("source_url").alias("url"),
-        E.page_name(empty, none, none).alias("name"), E.page_brand(none, F.col("text"), none, none, none).alias("brand"), E.page_place(empty, F.col("text")).alias("place"),
-    )
-
-
-@query(
-    "accounts account_pages",
-    f"""SELECT a.account_key, CASE WHEN p.brand IS NOT NULL AND 0.9 >= a.stored THEN p.brand ELSE a.inferred_brand END AS inferred_brand, CASE WHEN p.brand IS NOT NULL THEN greatest(a.stored, 0.9) ELSE a.stored END AS brand_confidence
- FROM (SELECT *, CASE WHEN is_personal_domain THEN CAST(0.95 AS DOUBLE) ELSE CAST(0.5 AS DOUBLE) END AS stored FROM accounts_v) a LEFT JOIN (SELECT account_key, {BRAND.format(c='text')} AS brand FROM account_pages_v) p ON a.account_key = p.account_key""".replace("0.9 >= a", "CAST(0.9 AS DOUBLE) >= a").replace("a.stored, 0.9", "a.stored, CAST(0.9 AS DOUBLE)"),
-)
-def apply_enrichment(spark, root):
-    none = F.lit(None).cast("string")
-    empty = F.array().cast("array<string>")
-    seen = view(spark, root, "account_pages").select("account_key", F.lit(0).alias("page_ord"), F.col("source_url").alias("url"), E.page_name(empty, none, none).alias("name"), E.page_brand(none, F.col("text"), none, none, none).alias("brand"), E.page_place(empty, F.col("text")).alias("place"))
-    stored = accounts(spark, root).withColumns({"name_confidence": F.lit(0.5), "brand_confidence": F.when(F.col("is_personal_domain"), F.lit(0.95)).otherwise(F.lit(0.5)), "location_confidence": F.lit(0.5), "confidence_score": F.lit(0.5)})
-    return E.apply_enrichment(stored, E.best_values(seen)).select("account_key", "inferred_brand", "brand_confidence")

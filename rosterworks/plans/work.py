@@ -71,12 +71,11 @@ def enrichment_batch(spark, root):
 
 @query(
     "accounts relationships",
-    f"SELECT account_key FROM accounts_v a WHERE {TARGET} AND NOT {BLANK(c='website_url')} AND NOT EXISTS (SELECT 1 FROM relationships_v r WHERE r.account_id = a.account_id) ORDER BY last_fetch_attempt_at NULLS FIRST, account_key LIMIT 25",
+    f"""SELECT account_key FROM accounts_v a WHERE {TARGET} AND NOT {BLANK(c='website_url')} AND NOT EXISTS (SELECT 1 FROM relationships_v r WHERE r.account_id = a.account_id AND r.source_type = 'website_contact_extraction')
+ ORDER BY CASE source_type WHEN 'website_enrichment' THEN 0 WHEN 'website_resolution' THEN 1 ELSE 2 END, coalesce(last_verified_at, TIMESTAMP '1970-01-01'), account_key LIMIT 25""",
 )
 def extraction_batch(spark, root):
-    ready = accounts(spark, root).where(W.in_target() & ~X.is_blank(F.col("website_url")))
-    new = ready.join(view(spark, root, "relationships").select("account_id"), "account_id", "left_anti")
-    return new.orderBy(F.col("last_fetch_attempt_at").asc_nulls_first(), "account_key").limit(25).select("account_key")
+    return W.extraction_batch(accounts(spark, root), view(spark, root, "relationships"), 25).select("account_key")
 
 
 @query("accounts", f"SELECT account_key FROM accounts_v WHERE {DUE} ORDER BY last_fetch_attempt_at NULLS FIRST, coalesce(blocked_attempt_count, 0), account_key LIMIT 10")

@@ -46,7 +46,9 @@ SELECT H(concat('acct', CAST(c_custkey AS STRING), '.example.net')) AS account_i
  CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE concat('https://acct', CAST(c_custkey AS STRING), '.example.net') END AS website_url,
  CASE c_custkey % 4 WHEN 0 THEN 'blocked' WHEN 1 THEN 'success' WHEN 2 THEN 'unavailable' ELSE NULL END AS fetch_status,
  CAST(CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE c_custkey % 6 END AS BIGINT) AS blocked_attempt_count,
- last_order AS last_fetch_attempt_at, c_custkey % 9 = 0 AS is_personal_domain
+ last_order AS last_fetch_attempt_at, c_custkey % 9 = 0 AS is_personal_domain,
+ CASE c_custkey % 3 WHEN 0 THEN 'website_enrichment' WHEN 1 THEN 'website_resolution' ELSE 'contact_master_normalization' END AS source_type,
+ CASE WHEN c_custkey % 4 = 1 THEN NULL ELSE last_order END AS last_verified_at
 FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey
 LEFT JOIN (SELECT o_custkey, max(o_orderdate) AS last_order FROM {orders} GROUP BY o_custkey) o ON o_custkey = c_custkey""",
     "contacts": """
@@ -62,9 +64,10 @@ FROM (SELECT o_orderkey % 5000 AS k, concat('p', CAST(o_orderkey % 5000 AS STRIN
              max(o_totalprice) / CAST(1000000 AS DOUBLE) AS conf, max(o_orderdate) AS seen
       FROM {orders} GROUP BY o_orderkey % 5000) x""",
     "relationships": """
-SELECT H(concat(ak, '|', em)) AS relationship_id, H(ak) AS account_id, H(em) AS contact_id
-FROM (SELECT DISTINCT concat('acct', CAST(o_custkey AS STRING), '.example.net') AS ak,
-             concat('p', CAST(o_orderkey % 5000 AS STRING), '@example.net') AS em FROM {orders}) x""",
+SELECT H(concat(ak, '|', em)) AS relationship_id, H(ak) AS account_id, H(em) AS contact_id,
+ CASE WHEN first_order % 23 = 0 THEN 'website_contact_extraction' ELSE 'contact_master_normalization' END AS source_type
+FROM (SELECT concat('acct', CAST(o_custkey AS STRING), '.example.net') AS ak,
+             concat('p', CAST(o_orderkey % 5000 AS STRING), '@example.net') AS em, min(o_orderkey) AS first_order FROM {orders} GROUP BY 1, 2) x""",
     "work_items": """
 SELECT o_orderkey AS work_item_id, concat('acct', CAST(o_custkey AS STRING), '.example.net') AS account_key,
  CASE o_orderkey % 4 WHEN 0 THEN 'validate' WHEN 1 THEN 'enrich' WHEN 2 THEN 'extract_contacts' ELSE 'retry_blocked' END AS task_type,
@@ -98,6 +101,35 @@ SELECT event_id, concat('acct', CAST(user_id % 40 AS STRING), '.example.net') AS
   WHEN 5 THEN 'Parts Director' WHEN 6 THEN 'E-Commerce Director' WHEN 7 THEN 'CFO' ELSE 'Receptionist' END AS title,
  concat(CASE event_id % 7 WHEN 0 THEN 'info' ELSE concat('user', CAST(user_id % 200 AS STRING)) END, '@acct', CAST(user_id % 40 AS STRING), '.example.net') AS email,
  concat('https://acct', CAST(user_id % 40 AS STRING), '.example.net/', CASE event_id % 3 WHEN 0 THEN 'staff' ELSE 'page' END) AS url FROM {events}""",
+    "sites": """
+SELECT c_custkey AS page_id, concat('acct', CAST(c_custkey AS STRING), '.example.net') AS account_key,
+ concat('https://acct', CAST(c_custkey AS STRING), '.example.net/', CASE WHEN c_custkey % 11 = 0 THEN 'ford' ELSE '' END) AS url,
+ concat('<html><head><title> Acct', CAST(c_custkey AS STRING), CASE WHEN c_custkey % 2 = 0 THEN ' Honda' ELSE '' END, ' | Used Vehicles and more</title>',
+  CASE WHEN c_custkey % 3 = 0 THEN concat('<meta name="description" content="Kia and others in town ', CAST(c_custkey AS STRING), '">') ELSE '' END,
+  CASE WHEN c_custkey % 4 = 0 THEN concat('<meta property="og:site_name" content="Site', CAST(c_custkey AS STRING), CASE WHEN c_custkey % 8 = 0 THEN ' Toyota' ELSE '' END, ' Motors">') ELSE '' END,
+  '<script type="application/ld+json">',
+  CASE WHEN c_custkey % 5 = 0 THEN concat('{"name": "Legal', CAST(c_custkey AS STRING), CASE WHEN c_custkey % 10 = 0 THEN ' Jeep' ELSE '' END, ' Inc", "address": {"addressLocality": "port ', chr(CAST(97 + c_custkey % 26 AS INT)), 'ale", "addressRegion": "tx"}}')
+       WHEN c_custkey % 7 = 0 THEN '{"name": 12}' ELSE '{broken' END,
+  '</script><script>var hidden = "x@hidden.example";</script></head><body><nav><a href="/meet-our-staff">Our Staff</a> <a href="inventory/new">New inventory</a>',
+  '<a href="https://other.example/team">Our team elsewhere</a> <a href="/map#where">Map</a></nav><!-- y@comment.example --><p>North', chr(CAST(97 + c_custkey % 26 AS INT)), 'ville, ',
+  CASE c_custkey % 4 WHEN 0 THEN 'NY' WHEN 1 THEN 'ZZ' WHEN 2 THEN 'OR' ELSE 'ny' END, ' 97301</p><div><p>', chr(CAST(65 + c_custkey % 26 AS INT)), 'ames ', chr(CAST(65 + c_custkey * 7 % 26 AS INT)), 'mith, ',
+  CASE c_custkey % 3 WHEN 0 THEN 'General Manager' WHEN 1 THEN 'Sales Manager' ELSE 'Gardener' END, '</p><a href="mailto:boss', CAST(c_custkey AS STRING), '@acct', CAST(c_custkey AS STRING), '.example.net?subject=hi">Mail</a> <span>glad to hear from you at any hour</span></div>',
+  '<p>Write to desk', CAST(c_custkey AS STRING), '@elsewhere.example for anything else that you need</p></body></html>') AS html
+FROM {customer}""",
+    "fetches": """
+SELECT c_custkey AS page_id, concat('site', CAST(c_custkey % 40 AS STRING), '.example.net') AS host,
+ concat('https://site', CAST(c_custkey % 40 AS STRING), '.example.net/', CAST(c_custkey AS STRING)) AS url,
+ CAST(CASE c_custkey % 40 % 5 WHEN 0 THEN 403 WHEN 1 THEN 404 WHEN 2 THEN CASE WHEN c_custkey % 3 = 0 THEN 200 ELSE 500 END ELSE 200 END AS INT) AS status_code,
+ CASE WHEN c_custkey % 40 % 5 = 0 THEN CASE WHEN c_custkey % 2 = 0 THEN '<h1>Access Denied</h1>' ELSE '<p>Just a moment...</p>' END WHEN c_custkey % 40 % 5 = 3 AND c_custkey % 3 <> 1 THEN ''
+      WHEN c_custkey % 40 % 5 = 4 AND c_custkey % 2 = 0 THEN NULL ELSE concat('<p>page ', CAST(c_custkey AS STRING), '</p>') END AS html
+FROM {customer}""",
+    "probes": """
+SELECT c_custkey AS page_id, concat(CASE c_custkey % 4 WHEN 0 THEN 'honda-town' WHEN 1 THEN 'smith-autos' WHEN 2 THEN 'plain' ELSE 'jeepland' END, CAST(c_custkey AS STRING), '.example.net') AS account_key,
+ concat('https://', CASE c_custkey % 4 WHEN 0 THEN 'honda-town' WHEN 1 THEN 'smith-autos' WHEN 2 THEN 'plain' ELSE 'jeepland' END, CAST(c_custkey AS STRING), '.example.net/') AS source_url,
+ CASE c_custkey % 9 WHEN 0 THEN '/new-inventory/index.htm' WHEN 1 THEN '/used-inventory/index.htm' WHEN 2 THEN '/inventory/index.htm' WHEN 3 THEN '/new-inventory' WHEN 4 THEN '/used-inventory' WHEN 5 THEN '/cars-for-sale' WHEN 6 THEN '/search/' WHEN 7 THEN '/search' ELSE '/en/about' END AS path,
+ CAST(CASE WHEN c_custkey % 5 = 0 THEN 403 ELSE 200 END AS INT) AS status_code,
+ CASE WHEN c_custkey % 7 = 0 THEN 'https://elsewhere.example/honda/vehicle' WHEN c_custkey % 7 = 1 THEN 'https://elsewhere.example/' ELSE concat('https://', CASE c_custkey % 4 WHEN 0 THEN 'honda-town' WHEN 1 THEN 'smith-autos' WHEN 2 THEN 'plain' ELSE 'jeepland' END, CAST(c_custkey AS STRING), '.example.net/all-used') END AS final_url
+FROM {customer}""",
     "page_rows": """
 SELECT page_id, url, html, 200 AS status_code, url AS final_url FROM {pages}""",
 }
@@ -116,6 +148,9 @@ def view(spark: SparkSession, root: str, name: str) -> DataFrame:
                 break
         text = f"{text[:at]}sha2({text[at + len('sha2_256(') : end - 1]}, 256){text[end:]}"
     used = {t: read_table(spark, root, t) for t in INPUTS if "{" + t + "}" in text}
+    text = text.replace("{", "{{").replace("}", "}}")
+    for t in used:
+        text = text.replace("{{" + t + "}}", "{" + t + "}")
     return spark.sql(text, **used)
 
 

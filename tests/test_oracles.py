@@ -7,7 +7,7 @@ import pytest
 
 from rosterworks.plans.registry import ORACLES, QUERIES
 
-ROOT = "/root/testdata/sf0.001"
+ROOT = "/root/testdata/sf0.01"
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "pages")
 
 
@@ -36,7 +36,7 @@ def test_same_rows(spark, duck, name):
     names = [d[0] for d in result.description]
     assert sorted(names) == columns
     theirs = sorted(tuple(plain(dict(zip(names, r, strict=True))[c]) for c in columns) for r in result.fetchall())
-    assert mine == theirs
+    assert mine == theirs and mine
 
 
 def test_every_query_has_sql():
