@@ -16,7 +16,7 @@ Stages, each a Spark job over the whole table:
    similar set's follow from them by the lists of the few shingles in which the two differ. Every
    list also has a leader, to which its other sets are compared. A set that is linked to another
    takes over the answers found for it, so only pairs of different components and home blocks are
-   left, each looked at in the first list that both sets are in.
+   left.
 """
 
 from __future__ import annotations
@@ -34,6 +34,9 @@ from .graph import components
 BITMAP_BITS = 24
 BLOCK = 8
 HOME = 2_000
+#: A longer list is dealt over several tasks; until its length is known, any list over this many.
+SPLIT = 500
+SALTS = 32
 #: Hashes below this bound are the third that the support is counted on.
 SAMPLED = np.uint64((1 << 64) // 3)
 
@@ -68,9 +71,7 @@ def _sets(size: int, bitmap):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(bitmap.value, np.uint64)
         for batch in batches:
-            place = batch.column(2).to_numpy() & ((1 << BITMAP_BITS) - 1)
-            marked = bits[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)
-            for part in parts(iter([batch.filter(pa.array(marked.astype(bool)))]), 1, 1 << 21):
+            for part in parts(iter([_marked(batch, 2, bits)]), 1, 1 << 21):
                 ids, keys, sets = part.column(0).to_pylist(), [], []
                 for hashes in batch_shingles(part.column(1), size):
                     keys.append(set_identity(hashes))
@@ -96,13 +97,29 @@ def bitmap_of(keys: DataFrame, column: str) -> bytes:
     return out.tobytes()
 
 
+def _marked(batch: pa.RecordBatch, column: int, bits: np.ndarray) -> pa.RecordBatch:
+    """The rows whose key may be in a bitmap."""
+    place = batch.column(column).to_numpy() & ((1 << BITMAP_BITS) - 1)
+    marked = bits[place >> 6] >> (place & 63).astype(np.uint64) & np.uint64(1)
+    return batch.filter(pa.array(marked.astype(bool)))
+
+
+def _among(bitmap):
+    """The rows whose first column may be in a bitmap: a cheap step before a join on it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(bitmap.value, np.uint64)
+        for batch in batches:
+            yield _marked(batch, 0, bits)
+
+    return run
+
+
 def _postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for start in range(0, len(batch), 500):
-            part = batch.slice(start, 500)
-            sets = [np.frombuffer(x, np.int64) for x in part.column(1).to_pylist()]
-            ids = np.repeat(part.column(0).to_numpy(), [len(s) for s in sets])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets) if sets else ids), pa.array(ids)], ["token", "set_id"])
+    for batch in parts(batches, 1, 1 << 21):
+        sets = [np.frombuffer(x, np.int64) for x in batch.column(1).to_pylist()]
+        ids = np.repeat(batch.column(0).to_numpy(), [len(s) for s in sets])
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets) if sets else ids), pa.array(ids)], ["token", "set_id"])
 
 
 def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,13 +199,31 @@ def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
+def sets_among(sets: DataFrame, keys: DataFrame) -> DataFrame:
+    """The sets whose set_id may be among the keys (set_id): what is worth a shuffle before a join with them."""
+    bitmap = sets.sparkSession.sparkContext.broadcast(bitmap_of(keys, "set_id"))
+    return sets.select("set_id", "hashes").mapInArrow(_among(bitmap), "set_id long, hashes binary")
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    pairs = materialize(pairs, "pairs")
+    sets = sets_among(sets, pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")))
     left = sets.select(F.col("set_id").alias("a"), F.col("hashes").alias("x"))
     right = sets.select(F.col("set_id").alias("b"), F.col("hashes").alias("y"))
     found = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(_overlap, "a long, b long, common long, both long")
     return found.where(F.col("common") * 100 >= percent * (F.col("both") - F.col("common"))).select("a", "b")
 
 
+def _pieces(length: Column) -> Column:
+    """Into how many pieces a list of that length is dealt."""
+    return F.ceil(length / SPLIT).cast("int")
+
+
+def _dealt(lists: DataFrame) -> DataFrame:
+    """A row of lists (token, length, ...) for every piece of its list."""
+    return lists.withColumn("piece", F.explode(F.sequence(F.lit(0), _pieces(F.col("length")) - 1)))
+
+
 def _possible(percent: int, n: Column, rest: Column, m: Column, last: Column) -> Column:
     """Whether sets of n and m shingles that meet first with rest and last shingles still to come can be linked."""
     return (F.least(n, m) * 100 >= percent * F.greatest(n, m)) & (F.least(rest, last) * (100 + percent) >= percent * (n + m))
@@ -225,26 +260,28 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     counts = materialize(postings.groupBy("token").agg(F.count("*").alias("df"), F.min("set_id").alias("only")), "counts")
     private = counts.where("df = 1").groupBy(F.col("only").alias("set_id")).agg(F.count("*").alias("private"))
     misses = F.floor(F.col("n") * (100 - percent) / 100)
-    open_sets = sets.join(private, "set_id", "left").withColumn("private", F.coalesce("private", F.lit(0))).where(F.col("private") <= misses)
+    open_sets = kept.select("set_id", "n").join(private, "set_id", "left").withColumn("private", F.coalesce("private", F.lit(0))).where(F.col("private") <= misses)
     open_sets = materialize(open_sets, "open")
-    postings = open_sets.select("set_id", "hashes").mapInArrow(_postings, "token long, set_id long")
+    postings = sets_among(sets, open_sets).mapInArrow(_postings, "token long, set_id long")
     ranked = postings.join(counts.where("df > 1").select("token", "df"), "token").groupBy("set_id").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens"))
     prefix = (misses + 1 - F.col("private")).cast("int")
-    heads = open_sets.select("set_id", "n", "private").join(ranked, "set_id").select("set_id", "n", "private", F.slice("tokens.token", 1, prefix).alias("head"))
-    heads = materialize(heads, "heads")
+    heads = open_sets.join(ranked, "set_id").select("set_id", "n", "private", F.slice("tokens.token", 1, prefix).alias("head"))
     entries = heads.select("set_id", "n", "private", F.posexplode("head").alias("pos", "token")).select("token", "set_id", "n", (F.col("n") - F.col("private") - F.col("pos")).alias("rest"))
-    lengths = entries.groupBy("token").agg(F.count("*").alias("length"), F.min(F.struct("set_id", "n", "rest")).alias("lead")).where("length > 1")
-    entries = materialize(entries.join(lengths, "token"), "lists")
+    entries = materialize(entries.withColumn("salt", F.pmod(F.xxhash64("set_id"), F.lit(SALTS))), "entries")
+    counted = entries.groupBy("token", "salt").agg(F.count("*").alias("length"), F.min("set_id").alias("lead_id"), F.min_by("n", "set_id").alias("lead_n"), F.min_by("rest", "set_id").alias("lead_rest"))
+    lengths = counted.groupBy("token").agg(F.sum("length").alias("length"), F.min("lead_id").alias("lead_id"), F.min_by("lead_n", "lead_id").alias("lead_n"), F.min_by("lead_rest", "lead_id").alias("lead_rest")).where("length > 1")
+    entries = entries.join(counted.select("token", "salt").join(lengths, "token"), ["token", "salt"]).drop("salt")
+    entries = materialize(entries.withColumn("piece", F.pmod(F.xxhash64("set_id"), _pieces(F.col("length"))).cast("int")), "lists")
     home = entries.groupBy("set_id").agg(F.max(F.struct("length", "token")).alias("home"))
-    piece = F.pmod(F.xxhash64("set_id"), F.ceil(F.col("home.length") / HOME))
-    home = materialize(home.select("set_id", F.xxhash64("home.token", piece).alias("home")), "homes")
+    part = F.pmod(F.xxhash64("set_id"), F.ceil(F.col("home.length") / HOME))
+    home = materialize(home.select("set_id", F.xxhash64("home.token", part).alias("home")), "homes")
 
-    at_home = home.join(sets, "set_id").select("home", "set_id", "hashes").repartition("home").sortWithinPartitions("home").mapInArrow(_home_links(percent), "a long, b long")
+    at_home = home.join(sets_among(sets, home), "set_id").select("home", "set_id", "hashes").repartition("home").sortWithinPartitions("home").mapInArrow(_home_links(percent), "a long, b long")
     lead = home.select(F.col("set_id").alias("lead_id"), F.col("home").alias("lead_home"))
     led = (
-        entries.where(F.col("set_id") != F.col("lead.set_id"))
-        .where(_possible(percent, F.col("n"), F.col("rest"), F.col("lead.n"), F.col("lead.rest")))
-        .select(F.col("lead.set_id").alias("lead_id"), "set_id")
+        entries.where(F.col("set_id") != F.col("lead_id"))
+        .where(_possible(percent, F.col("n"), F.col("rest"), F.col("lead_n"), F.col("lead_rest")))
+        .select("lead_id", "set_id")
         .distinct()
         .join(home, "set_id")
         .join(lead, "lead_id")
@@ -253,10 +290,11 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     )
     first = components(at_home.union(_verified(led, sets, percent)))
 
-    labelled = entries.select("token", "set_id", "n", "rest").join(home, "set_id").join(first.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
-    mixed = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("home").alias("here"), F.max("home").alias("there")).where("low < high and here < there").select("token")
-    labelled = labelled.join(mixed, "token", "left_semi").join(heads.select("set_id", "head"), "set_id")
-    labelled = materialize(labelled.withColumn("block", F.floor(F.col("rest") / BLOCK)), "mixed")
+    labelled = entries.drop("lead_id", "lead_n", "lead_rest").join(home, "set_id").join(first.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+    labelled = materialize(labelled.withColumn("block", F.floor(F.col("rest") / BLOCK)), "labelled")
+    mixed = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("home").alias("here"), F.max("home").alias("there"), F.first("length").alias("length"))
+    mixed = _dealt(mixed.where("low < high and here < there").select("token", "length")).drop("length")
+    labelled = materialize(labelled.join(mixed, ["token", "piece"], "left_semi"), "mixed")
     name = lambda df, tag: df.select(*[F.col(c).alias(f"{c}_{tag}") for c in df.columns])
     blocks = labelled.groupBy("token", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest"))
     bound = (
@@ -265,20 +303,21 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
         & (F.least("rest_x", "rest_y") * (100 + percent) >= (F.col("least_x") + F.col("least_y")) * percent)
     )
     open_blocks = name(blocks, "x").join(name(blocks, "y"), bound).groupBy(F.col("token_x").alias("token"), F.col("block_x").alias("block")).agg(F.collect_set("block_y").alias("open"))
-    sizes = labelled.groupBy("token", "label").agg(F.count("*").alias("size"))
-    largest = sizes.groupBy("token").agg(F.max_by("label", F.struct("size", "label")).alias("largest"))
-    outside = labelled.join(largest, "token").where("label <> largest").join(open_blocks, ["token", "block"])
+    sizes = labelled.groupBy("token", "label").agg(F.count("*").alias("size"), F.first("length").alias("length"))
+    largest = _dealt(sizes.groupBy("token").agg(F.max_by("label", F.struct("size", "label")).alias("largest"), F.first("length").alias("length"))).drop("length")
+    outside = labelled.join(largest, ["token", "piece"]).where("label <> largest").join(open_blocks, ["token", "block"]).drop("block", "piece")
+    outside = _dealt(outside.withColumn("block", F.explode("open")).drop("open")).drop("length")
     rest = (
         name(outside, "x")
         .join(
-            name(labelled, "y"),
+            name(labelled.drop("length"), "y"),
             (F.col("token_x") == F.col("token_y"))
+            & (F.col("block_x") == F.col("block_y"))
+            & (F.col("piece_x") == F.col("piece_y"))
             & (F.col("label_x") != F.col("label_y"))
             & (F.col("home_x") != F.col("home_y"))
             & ((F.col("label_y") == F.col("largest_x")) | (F.col("set_id_x") < F.col("set_id_y")))
-            & F.array_contains("open_x", F.col("block_y"))
-            & _possible(percent, F.col("n_x"), F.col("rest_x"), F.col("n_y"), F.col("rest_y"))
-            & (F.array_intersect("head_x", "head_y")[0] == F.col("token_x")),
+            & _possible(percent, F.col("n_x"), F.col("rest_x"), F.col("n_y"), F.col("rest_y")),
         )
         .select(F.least("set_id_x", "set_id_y").alias("a"), F.greatest("set_id_x", "set_id_y").alias("b"))
         .distinct()
