@@ -7,8 +7,9 @@ Baum-Welch: expected counts are taken per partition and summed by Spark. Inside
 its add-one share of the class's training tokens, looked up in the count table of all words, which
 stays distributed. The likelihood of a text is the product of both, exactly.
 
-Words are identified by 64-bit hashes (low 4 bits: length class). Count and score tables are dealt
-by hash in packed rows; a frequent word, which would fill one bucket, is in the broadcast list.
+Words are identified by 64-bit hashes (low 4 bits: length class). Counting them and looking their
+counts up are an aggregate and a join by hash; a frequent word, which would fill one task, is in the
+broadcast list, and of texts that a batch holds more than once the words are looked up once.
 """
 
 from __future__ import annotations
@@ -17,100 +18,31 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_views, is_bucket, materialize, parts, text_key, words_of
+from .common import batch_words, is_bucket, materialize, parts, text_key
 
 CLASSES = 16
 END = np.uint64(0)
 STRETCH = 512
 CELLS = 400_000
-ENTRIES_PER_BUCKET = 4_000_000
-LEAST_BITS = 5
-
-
-def token_hashes(data: np.ndarray) -> np.ndarray:
-    """The text's word hashes, low 4 bits being min(bytes, 15), and then the end."""
-    value, starts, ends = words_of(data)
-    size = np.minimum(ends - starts, CLASSES - 1).astype(np.uint64)
-    return np.append(value & ~np.uint64(15) | size, END)
-
-
-def _packed(keys: list[tuple[int, np.ndarray, np.ndarray]], bits: int) -> Iterator[tuple]:
-    """Rows (bucket, owners, lengths, hashes, counts) of (owner, hashes, counts); counts over 255 repeat their hash."""
-    owner = np.array([k for k, _, _ in keys], np.int64)
-    length = np.array([len(h) for _, h, _ in keys])
-    hashes = np.concatenate([h for _, h, _ in keys])
-    counts = np.concatenate([c for _, _, c in keys])
-    who = np.repeat(np.arange(len(keys)), length)
-    if len(counts) and counts.max() > 255:
-        times = (counts + 254) // 255
-        last = counts - (times - 1) * 255
-        hashes, who = np.repeat(hashes, times), np.repeat(who, times)
-        full = np.full(len(hashes), 255)
-        full[np.cumsum(times) - 1] = last
-        counts = full
-    bucket = (hashes >> np.uint64(64 - bits)).astype(np.uint16)
-    order = np.argsort(bucket, kind="stable")
-    cut = np.searchsorted(bucket[order], np.arange((1 << bits) + 1))
-    hashes, counts, who = hashes[order], counts[order].astype(np.uint8), who[order]
-    for k in range(1 << bits):
-        at = slice(cut[k], cut[k + 1])
-        if at.stop > at.start:
-            own, n = np.unique(who[at], return_counts=True)
-            yield k, owner[own].tobytes(), n.astype(np.uint32).tobytes(), hashes[at].tobytes(), counts[at].tobytes()
-
-
-PACKED = "bucket int, owners binary, lengths binary, hashes binary, counts binary"
-
-
-def _packed_batch(rows: list[tuple]) -> pa.RecordBatch:
-    types = (pa.int32(), *[pa.binary()] * 4)
-    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types, strict=True)], ["bucket", "owners", "lengths", "hashes", "counts"])
-
-
-def _count(bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts(batches, 0):
-            every = [token_hashes(x) for x in byte_views(batch.column(0))]
-            if every:
-                hashes, counts = np.unique(np.concatenate(every), return_counts=True)
-                yield _packed_batch(list(_packed([(0, hashes, counts)], bits)))
 
-    return run
 
+def batch_tokens(column: pa.Array) -> Iterator[np.ndarray]:
+    """For each text its word hashes, low 4 bits being min(bytes, 15), and then the end."""
+    for value, size in batch_words(column):
+        size = np.minimum(size, CLASSES - 1).astype(np.uint64)
+        yield np.append(value & ~np.uint64(15) | size, END)
 
-def _read(pdf: pd.DataFrame, column: str, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(pdf[column]), kind)
 
-
-def _total(pdf: pd.DataFrame) -> pd.DataFrame:
-    hashes, where = np.unique(_read(pdf, "hashes", np.uint64), return_inverse=True)
-    counts = np.bincount(where, _read(pdf, "counts", np.uint8), len(hashes)).astype(np.int64)
-    kind = (hashes & np.uint64(15)).astype(np.int64)
-    return pd.DataFrame(
-        {
-            "bucket": [pdf["bucket"].iloc[0]],
-            "hashes": [hashes.tobytes()],
-            "counts": [counts.tobytes()],
-            "tokens": [np.bincount(kind, counts, CLASSES).astype(np.int64)],
-            "words": [np.bincount(kind, minlength=CLASSES)],
-        }
-    )
-
-
-def _frequent(least: float):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for h, c in zip(pdf["hashes"], pdf["counts"], strict=True):
-                h, c = np.frombuffer(h, np.uint64), np.frombuffer(c, np.int64)
-                take = (c >= least) | (h == END)
-                yield pd.DataFrame({"hash": h[take].view(np.int64), "n": c[take]})
-
-    return run
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in parts(batches, 0):
+        every = list(batch_tokens(batch.column(0)))
+        if every:
+            hashes, counts = np.unique(np.concatenate(every), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], ["hash", "n"])
 
 
 @dataclass
@@ -202,8 +134,8 @@ def expected_counts(model: Model, lengths: np.ndarray, symbols: np.ndarray, firs
 def _stretches(model: Model, texts: Iterator[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Groups of stretches of up to STRETCH tokens: lengths, symbols, whether each begins a text."""
     lengths, symbols, first, cells = [], [], [], 0
-    for data in texts:
-        whole = model.symbols(token_hashes(data))
+    for hashes in texts:
+        whole = model.symbols(hashes)
         for at in range(0, len(whole), STRETCH):
             part = whole[at : at + STRETCH]
             lengths.append(len(part))
@@ -220,8 +152,8 @@ def _stretches(model: Model, texts: Iterator[np.ndarray]) -> Iterator[tuple[np.n
 def _expect(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, sums = shared.value, None
-        for batch in batches:
-            for group in _stretches(model, byte_views(batch.column(0))):
+        for batch in parts(batches, 0):
+            for group in _stretches(model, batch_tokens(batch.column(0))):
                 got = np.concatenate([x.ravel() for x in expected_counts(model, *group)])
                 sums = got if sums is None else sums + got
         if sums is not None:
@@ -236,10 +168,13 @@ def _normal(x: np.ndarray) -> np.ndarray:
 
 
 def _first_model(counts: DataFrame, states: int, rare_below: int, seed: int) -> Model:
-    sums = counts.select(*[F.sum(F.col(c)[k]).alias(f"{c}{k}") for c in ("tokens", "words") for k in range(CLASSES)]).first()
-    by = {c: np.array([sums[f"{c}{k}"] or 0 for k in range(CLASSES)], np.int64) for c in ("tokens", "words")}
+    sums = counts.groupBy(F.col("hash").bitwiseAND(CLASSES - 1).alias("kind")).agg(F.sum("n").alias("tokens"), F.count("*").alias("words")).collect()
+    by = {c: np.zeros(CLASSES, np.int64) for c in ("tokens", "words")}
+    for row in sums:
+        for c, values in by.items():
+            values[row["kind"]] = row[c]
     tokens, words = int(by["tokens"].sum()), int(by["words"].sum())
-    top = counts.select("hashes", "counts").mapInPandas(_frequent(max(1, tokens / rare_below)), "hash long, n long").toPandas()
+    top = counts.where((F.col("n") >= max(1, tokens / rare_below)) | (F.col("hash") == int(END))).toPandas()
     heavy = top["hash"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(heavy)
     heavy, n = heavy[order], top["n"].to_numpy(np.int64)[order]
@@ -274,8 +209,8 @@ def _forward(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         base = np.log10((model.heavy_counts + 1) / (model.tokens + model.words + 1))
-        for batch in parts(batches, 0, 1 << 24):
-            hashes = [token_hashes(x) for x in byte_views(batch.column(0))]
+        for batch in parts(batches, 0):
+            hashes = list(batch_tokens(batch.column(0)))
             lengths = np.array([len(x) for x in hashes], np.int64)
             symbols = model.symbols(np.concatenate(hashes)) if hashes else np.zeros(0, np.int64)
             heavy = symbols < len(base)
@@ -289,45 +224,51 @@ def _forward(shared):
     return run
 
 
-def _entries(shared, bits: int):
+def _entries(shared):
+    """(key, hash, times) of the words of each text that are not in the frequent list, and (key, end, 1)
+    for every time that its words are listed: once for all its copies in a batch."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for batch in parts(batches, 1):
-            keys = {}
-            for key, data in zip(batch.column(0).to_pylist(), byte_views(batch.column(1)), strict=True):
-                if key not in keys:
-                    hashes = token_hashes(data)
-                    rare = hashes[model.symbols(hashes) >= len(model.heavy)]
-                    keys[key] = (key, *np.unique(rare, return_counts=True))
-            if rows := list(_packed(list(keys.values()), bits)) if keys else []:
-                yield _packed_batch(rows)
+        for batch in parts(batches, 1, 1 << 22):
+            keys = batch.column(0).to_numpy()
+            first = np.zeros(len(keys), bool)
+            first[np.unique(keys, return_index=True)[1]] = True
+            batch = batch.filter(pa.array(first))
+            owners, hashes, times = [], [], []
+            for key, tokens in zip(batch.column(0).to_pylist(), batch_tokens(batch.column(1)), strict=True):
+                words, n = np.unique(tokens[model.symbols(tokens) >= len(model.heavy)], return_counts=True)
+                if len(words):
+                    owners.append(np.full(len(words) + 1, key, np.int64))
+                    hashes += [words, np.array([END])]
+                    times += [n, np.ones(1, np.int64)]
+            if owners:
+                columns = [np.concatenate(owners), np.concatenate(hashes).view(np.int64), np.concatenate(times).astype(np.int64)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["key", "hash", "times"])
 
     return run
 
 
-def _looked_up(shared):
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        model = shared.value
-        owners, lengths = _read(left, "owners", np.int64), _read(left, "lengths", np.uint32)
-        hashes, n = _read(left, "hashes", np.uint64), _read(left, "counts", np.uint8)
-        values, first = np.unique(owners, return_index=True)
-        keep = np.zeros(len(owners), bool)
-        keep[first] = True
-        take = np.repeat(keep, lengths)
-        hashes, n, who = hashes[take], n[take], np.searchsorted(values, np.repeat(owners, lengths)[take])
-        known, counts = _read(right, "hashes", np.uint64), _read(right, "counts", np.int64)
-        at = np.minimum(np.searchsorted(known, hashes), max(0, len(known) - 1))
-        c = np.where(known[at] == hashes, counts[at], 0) if len(known) else np.zeros(len(hashes), np.int64)
-        kind = (hashes & np.uint64(15)).astype(np.int64)
-        whole = np.log10((c + 1) / (model.tokens + model.words + 1))
-        inside = np.log10((c + 1) / (model.rare_tokens + model.rare_words + 1)[kind])
-        add = lambda x: np.bincount(who, x * n, len(values))
-        return pd.DataFrame({"key": values, "rare_base": add(whole), "rare_in": add(inside), "rare_known": add((c > 0).astype(float)).astype(np.int64)})
+def _rare_sums(entries: DataFrame, counts: DataFrame, model: Model) -> DataFrame:
+    """For each text key the sums over its words outside the frequent list: rare_base, rare_in, rare_known.
 
-    return run
+    A text that was listed several times has each sum as often, so the sums are shared out again.
+    """
+    c = F.coalesce("n", F.lit(0))
+    inside = F.lit(float(model.rare_tokens[0] + model.rare_words[0] + 1))
+    for kind in range(1, CLASSES):
+        inside = F.when(F.col("hash").bitwiseAND(CLASSES - 1) == kind, F.lit(float(model.rare_tokens[kind] + model.rare_words[kind] + 1))).otherwise(inside)
+    word = F.col("hash") != int(END)
+    log = lambda of: F.sum(F.when(word, F.col("times") * F.log10((c + 1) / of)).otherwise(0.0))
+    sums = (
+        entries.join(counts.where(F.col("hash") != int(END)), "hash", "left")
+        .groupBy("key")
+        .agg(log(F.lit(float(model.tokens + model.words + 1))).alias("base"), log(inside).alias("inside"), F.sum(F.when(word & (c > 0), F.col("times")).otherwise(0)).alias("known"), F.count_if(~word).alias("listed"))
+    )
+    return sums.select("key", (F.col("base") / F.col("listed")).alias("rare_base"), (F.col("inside") / F.col("listed")).alias("rare_in"), F.expr("known div listed").alias("rare_known"))
 
 
-def hmm_scores(docs: DataFrame, held_out_modulus: int = 7, held_out_remainder: int = 2, states: int = 4, rounds: int = 3, rare_below: int = 5000, seed: int = 10) -> DataFrame:
+def hmm_scores(docs: DataFrame, held_out_modulus: int = 7, held_out_remainder: int = 2, states: int = 4, rounds: int = 3, rare_below: int = 50_000, seed: int = 10) -> DataFrame:
     """Score every row's whole text under a model of the rows that are not held out.
 
     ``docs`` has doc_id and text; more columns are ignored. Returns for every row doc_id, held_out,
@@ -343,18 +284,14 @@ def hmm_scores(docs: DataFrame, held_out_modulus: int = 7, held_out_remainder: i
     rows = docs.select("doc_id", "text", is_bucket(F.col("doc_id"), held_out_modulus, held_out_remainder).alias("held_out"))
     spark = docs.sparkSession
     training = rows.where(~F.col("held_out")).select("text")
-    chars = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    bits = min(14, max(LEAST_BITS, int(np.ceil(np.log2(max(1, chars / 7 / ENTRIES_PER_BUCKET))))))
-
-    counts = training.mapInArrow(_count(bits), PACKED).groupBy("bucket").applyInPandas(_total, "bucket int, hashes binary, counts binary, tokens array<long>, words array<long>")
+    counts = training.mapInArrow(_count, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
     counts = materialize(counts, "counts")
     model = _trained(training, _first_model(counts, states, rare_below, seed), rounds)
     shared = spark.sparkContext.broadcast(model)
 
     keyed = rows.withColumn("key", text_key(F.col("text")))
-    entries = keyed.select("key", "text").mapInArrow(_entries(shared, bits), PACKED)
-    rare = entries.groupBy("bucket").cogroup(counts.select("bucket", "hashes", "counts").groupBy("bucket")).applyInPandas(_looked_up(shared), "key long, rare_base double, rare_in double, rare_known long")
-    rare = materialize(rare.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("rare_base", "rare_in", "rare_known")]), "rare")
+    entries = keyed.select("key", "text").mapInArrow(_entries(shared), "key long, hash long, times long")
+    rare = materialize(_rare_sums(entries, counts, model), "rare")
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     scored = keyed.select("text", "doc_id", "held_out", "key").mapInArrow(_forward(shared), f"doc_id {id_type}, held_out boolean, key long, n_tokens long, known long, base double, states double")

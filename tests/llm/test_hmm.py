@@ -83,3 +83,32 @@ def test_odd_rows(odd, empty):
     assert hmm.hmm_scores(empty).count() == 0
     alone = hmm.hmm_scores(odd, held_out_modulus=1, held_out_remainder=0).collect()
     assert {r.train_tokens for r in alone} == {0} and all(math.isfinite(r.score) for r in alone)
+
+
+def test_scores_by_hand(spark, monkeypatch):
+    """Whole scores from the trained model by a plain forward recursion: frequent words, classes, unknown words and copies."""
+    kept, original = [], hmm._trained
+    monkeypatch.setattr(hmm, "_trained", lambda *a: kept.append(original(*a)) or kept[-1])
+    rng = np.random.default_rng(8)
+    common, rare = ["the", "of", "And"], [f"w{'x' * int(k % 20)}{k}" for k in range(60)]
+    texts = [" ".join(rng.choice(common, 6)) + " " + " ".join(rng.choice(rare, 4)) for _ in range(40)]
+    texts += [texts[0], texts[0], None, "the new" + "y" * 40, "of \t the\nof"]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    rows = {r.doc_id: r for r in hmm.hmm_scores(frame, rare_below=20).collect()}
+    model, docs = kept[0], {k: tokens(t) for k, t in enumerate(texts)}
+    counts = Counter(w for k, ws in docs.items() if zlib.crc32(str(k).encode()) % 7 != 2 for w in ws)
+    number = lambda w: int(hmm.END) if w == "\n" else int(next(hmm.batch_tokens(hmm.pa.array([w])))[0])
+    place = {int(h): k for k, h in enumerate(model.heavy)}
+    assert {w for w in counts if number(w) in place} >= {"the", "of", "and", "\n"}
+    kind = lambda w: min(len(w.encode()), 15)
+    others = [(w, c) for w, c in counts.items() if number(w) not in place]
+    room = {k: sum(c + 1 for w, c in others if kind(w) == k) + 1 for k in range(16)}
+    for k, ws in docs.items():
+        total, alpha = 0.0, None
+        for w in ws:
+            symbol, share = (place[number(w)], 1.0) if number(w) in place else (len(place) + kind(w), (counts[w] + 1) / room[kind(w)])
+            alpha = model.start[0] * model.emit[:, symbol] if alpha is None else (alpha @ model.move) * model.emit[:, symbol]
+            total += math.log10(alpha.sum() * share)
+            alpha = alpha / alpha.sum()
+        assert rows[k].score == pytest.approx(total, abs=1e-6)
+        assert rows[k].n_known == sum(counts[w] > 0 for w in ws)
