@@ -48,6 +48,41 @@ def text_key(column: Column) -> Column:
     return F.xxhash64(F.coalesce(column, F.lit("")))
 
 
+BROADCAST_KEYS = 1_000_000
+SALTS = 32
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that df does not have, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def with_keyed(docs: DataFrame, key: Column, values: DataFrame, how: str) -> DataFrame:
+    """docs joined with ``values`` (key and, for a left join, one value column) on a key of their rows.
+
+    Few keys are broadcast, after they have been counted. More are repeated for each of some salts, so that
+    even a key that a third of all rows have is dealt over that many tasks. The value column comes last.
+    """
+    name, salt = free_name(docs, "_key"), free_name(docs, "_salt")
+    extra = [c for c in values.columns if c != "key"]
+    renamed = values.select(F.col("key").alias(name), *[F.col(c).alias(free_name(docs, f"_{c}")) for c in extra])
+    keep = [F.col(f"`{c}`") for c in docs.columns] + ([F.col(free_name(docs, f"_{c}")) for c in extra] if how == "left" else [])
+    keyed = docs.withColumn(name, key)
+    if values.count() <= BROADCAST_KEYS:
+        return keyed.join(F.broadcast(renamed), name, how).select(*keep)
+    keyed = keyed.withColumn(salt, F.floor(F.rand(7) * SALTS).cast("int"))
+    spread = renamed.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return keyed.join(spread, [name, salt], how).select(*keep)
+
+
+def without_keys(docs: DataFrame, key: Column, keys: DataFrame) -> DataFrame:
+    """The rows of docs whose key is not among ``keys`` (key)."""
+    return with_keyed(docs, key, keys, "left_anti")
+
+
 # Word hashes ------------------------------------------------------------------------------------
 
 _BASE = 0x9E3779B97F4A7C15 | 1

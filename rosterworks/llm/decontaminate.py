@@ -6,6 +6,9 @@ each round by comparing Karp-Rabin hashes that roll over the unmarked words. An
 leaked into a document when tiles cover the threshold's share of the item's words; since tiles may
 lie in any order, a passage with its sentences moved about is caught too.
 
+Items are known by a key of their own, so ids may repeat or be null; items of equal words are tiled once.
+An item of fewer words than ``least`` is in no pair: so few words in a row say nothing about a leak.
+
 The benchmark's runs set bits in a bitmap of fixed size, with which one pass over the documents
 keeps only words that can lie in a tile. Those pieces, not the texts, are joined with the items.
 """
@@ -19,15 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_views, materialize, parts, shingle_hashes, words_of
+from .common import batch_words, distinct, materialize, parts, shingle_hashes, text_key, without_keys
 from .jaccard import BITMAP_BITS, bitmap_of
 
 
 def _item_runs(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = [words_of(x)[0] for x in byte_views(batch.column(1))]
-            runs = [np.unique(shingle_hashes(w, least)) if len(w) >= least else w[:0] for w in words]
+        for batch in parts(batches, 1):
+            words = [w for w, _ in batch_words(batch.column(1))]
+            runs = [distinct(shingle_hashes(w, least)) if len(w) >= least else w[:0] for w in words]
             columns = [pa.array([x.view(np.int64).tolist() for x in part], pa.list_(pa.int64())) for part in (words, runs)]
             yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["item_id", "words", "runs"])
 
@@ -42,8 +45,7 @@ def _pieces(least: int, bitmap):
         bits = np.frombuffer(bitmap.value, np.uint64)
         for batch in parts(batches, 2):
             ids, keys, found, kept = [], [], [], []
-            for doc_id, key, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), byte_views(batch.column(2)), strict=True):
-                words = words_of(data)[0]
+            for doc_id, key, (words, _) in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch_words(batch.column(2)), strict=True):
                 if len(words) < least:
                     continue
                 runs = shingle_hashes(words, least)
@@ -54,12 +56,11 @@ def _pieces(least: int, bitmap):
                 inside = np.zeros(len(words) + 1, np.int64)
                 np.add.at(inside, hit, 1)
                 np.add.at(inside, hit + least, -1)
-                inside = np.cumsum(inside)[:-1] > 0
-                at = np.flatnonzero(inside)
+                at = np.flatnonzero(np.cumsum(inside)[:-1] > 0)
                 gaps = np.flatnonzero(np.diff(at) > 1) + 1
                 ids.append(doc_id)
                 keys.append(key)
-                found.append(np.unique(runs[hit]).view(np.int64).tolist())
+                found.append(distinct(runs[hit]).view(np.int64).tolist())
                 kept.append(np.insert(words[at], gaps, 0).view(np.int64).tolist())
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(ids, batch.schema.field(0).type), pa.array(keys, pa.int64()), pa.array(found, longs), pa.array(kept, longs)], ["doc_id", "key", "runs", "words"])
@@ -124,12 +125,12 @@ def _tiled(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             got, total = [], []
-            for item, words in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+            for item, words in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 item = np.array(item, np.int64).view(np.uint64)
                 got.append(tile(item, np.array(words, np.int64).view(np.uint64), least))
                 total.append(len(item))
             columns = [pa.array(total, pa.int64()), *[pa.array([x[k] for x in got], pa.int64()) for k in (0, 1)]]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *columns], ["doc_id", "key", "item_id", "item_words", "covered_words", "tiles"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *columns], ["piece", "item", "item_words", "covered_words", "tiles"])
 
     return run
 
@@ -138,24 +139,31 @@ def tiled_pairs(docs: DataFrame, benchmark: DataFrame, least: int = 5) -> DataFr
     """doc_id, key (of the text), item_id, item_words, covered_words, tiles, coverage for each pair
     of a document and an item (item_id, text) that share a run of ``least`` words.
 
-    Words are runs of non-space characters with A-Z lower-cased. Items and documents with fewer
-    than ``least`` words, empty or null texts are in no pair. Rows that repeat doc_id and text give
-    one row. Null ids are kept as ids. More columns are ignored; empty tables give an empty table.
+    Words are runs of non-space characters with A-Z lower-cased. Items and documents with fewer than
+    ``least`` words, empty or null texts are in no pair.
+    Rows that repeat doc_id and text, or item_id and the item's words, give one row; items of one id
+    and different words, and null ids, are items each. More columns are ignored; empty tables give
+    an empty table.
     """
     kinds = {c: df.schema[c].dataType.simpleString() for df, c in ((docs, "doc_id"), (benchmark, "item_id"))}
-    items = materialize(benchmark.select("item_id", "text").mapInArrow(_item_runs(least), f"item_id {kinds['item_id']}, words array<long>, runs array<long>"), "items")
-    seeds = items.select("item_id", F.explode("runs").alias("run")).distinct()
+    items = benchmark.select("item_id", "text").mapInArrow(_item_runs(least), f"item_id {kinds['item_id']}, words array<long>, runs array<long>").where(F.size("words") >= least)
+    items = materialize(items.withColumn("item", F.xxhash64("words")).dropDuplicates(["item_id", "item"]), "items")
+    wordings = materialize(items.dropDuplicates(["item"]).select("item", "words", "runs"), "wordings")
+    seeds = wordings.select("item", F.explode("runs").alias("run"))
     bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(seeds, "run"))
     rows = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("key"), "text")
-    pieces = rows.mapInArrow(_pieces(least, bitmap), f"doc_id {kinds['doc_id']}, key long, runs array<long>, words array<long>").dropDuplicates(["doc_id", "key"])
-    pieces = materialize(pieces, "pieces").withColumn("row", F.xxhash64("doc_id", "key"))
-    pairs = pieces.select("row", F.explode("runs").alias("run")).join(seeds, "run").select("row", "item_id").distinct()
-    work = pairs.join(pieces.select("row", "doc_id", "key", F.col("words").alias("piece_words")), "row")
-    work = work.withColumn("item", F.coalesce(F.col("item_id").cast("string"), F.lit("")))
-    named = items.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), "words")
-    work = work.join(named, "item").select("doc_id", "key", "item_id", "words", "piece_words")
-    schema = f"doc_id {kinds['doc_id']}, key long, item_id {kinds['item_id']}, item_words long, covered_words long, tiles long"
-    return work.mapInArrow(_tiled(least), schema).withColumn("coverage", F.col("covered_words") / F.col("item_words"))
+    pieces = rows.mapInArrow(_pieces(least, bitmap), f"doc_id {kinds['doc_id']}, key long, runs array<long>, words array<long>")
+    pieces = materialize(pieces.withColumn("piece", F.xxhash64("words")), "pieces")
+
+    # Texts whose possible tiles are equal are tiled once, however many copies there are.
+    distinct_pieces = pieces.groupBy("piece").agg(F.first("runs").alias("runs"), F.first("words").alias("piece_words"))
+    distinct_pieces = materialize(distinct_pieces, "distinct")
+    pairs = distinct_pieces.select("piece", F.explode("runs").alias("run")).join(seeds, "run").select("piece", "item").distinct()
+    work = pairs.join(distinct_pieces.select("piece", "piece_words"), "piece").join(wordings.select("item", "words"), "item")
+    schema = "piece long, item long, item_words long, covered_words long, tiles long"
+    tiled = materialize(work.select("piece", "item", "words", "piece_words").mapInArrow(_tiled(least), schema), "tiled")
+    found = pieces.select("doc_id", "key", "piece").distinct().join(tiled, "piece").join(items.select("item", "item_id"), "item")
+    return found.select("doc_id", "key", "item_id", "item_words", "covered_words", "tiles").withColumn("coverage", F.col("covered_words") / F.col("item_words"))
 
 
 def leaked_pairs(docs: DataFrame, benchmark: DataFrame, least: int = 5, threshold: float = 0.6) -> DataFrame:
@@ -165,6 +173,5 @@ def leaked_pairs(docs: DataFrame, benchmark: DataFrame, least: int = 5, threshol
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, least: int = 5, threshold: float = 0.6) -> DataFrame:
     """docs without the rows that an item leaked into; columns and other rows stay."""
-    bad = materialize(leaked_pairs(docs, benchmark, least, threshold).select(F.col("key").alias("_leak_key")).distinct(), "leaks")
-    keyed = docs.withColumn("_leak_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    return keyed.join(bad, "_leak_key", "left_anti").select(*[docs[c] for c in docs.columns])
+    bad = leaked_pairs(docs, benchmark, least, threshold).select("key").distinct()
+    return without_keys(docs, text_key(F.col("text")), materialize(bad, "leaks"))
