@@ -1,11 +1,12 @@
 """Personal data: base patterns, and more identifiers by bootstrapped contexts.
 
-Base matches are seeds. Every seed and every token that could be an identifier (digits, an "at")
+Base matches are seeds. Every seed and every stretch that could be an identifier (digits, an "at")
 stands between two words; the pair of words, and each of them alone, are lexical patterns. Spark
-keeps the graph of patterns and instances and scores both in turn: a pattern by the share of its
-weight that hangs on instances of a kind, an instance by the patterns it occurs in. Instances that
-are no seed and reach the threshold through patterns that enough different seeds support are new
-identifiers, wherever they stand in such a pattern.
+keeps the graph of patterns and instances. In a pass it scores both in turn: a pattern by the share
+of its weight that hangs on instances of a kind, an instance by the patterns it occurs in.
+Candidates in patterns that reach the threshold and that enough different instances support are new
+identifiers; they are seeds of the next pass, in which the other contexts that they stand in can
+become strong patterns, until a pass finds nothing new.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, parts
+from .common import if_few, materialize, parts, text_key, with_keyed
 
 # The kinds in their order, and what their matches look like.
 KINDS = ("email", "ip", "card", "phone")
@@ -28,12 +29,17 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-#: What may be an identifier although no base pattern says so: a token with digits, or words around an "at" in brackets.
-_FAST = re.compile(r"(?<!\S)[^\s\[(<{]++[^\S\n]?[\[(<{][^\S\n]?at[^\S\n]?[\])>}][^\S\n]?\S+|(?<!\S)[^\s0-9]*+[0-9]\S*", re.IGNORECASE)
-_AT = re.compile(r"[\[(<{]\s?at\s?[\])>}]", re.IGNORECASE)
-_WORD_LEFT = re.compile(r"(\S+)\s*$")
-_WORD_RIGHT = re.compile(r"\s*(\S+)")
-WINDOW = 80
+#: What may be an identifier although no base pattern says so: words around an "at" (in brackets, or
+#: with a "dot" later), groups of digits, a token with digits.
+_FAST = re.compile(
+    r"(?<!\S)[^\s\[(<{]++[^\S\n]?[\[(<{][^\S\n]?at[^\S\n]?[\])>}][^\S\n]?\S+"
+    r"|(?<!\S)[\w.+-]++ at [\w-]++(?: dot [\w-]++)++"
+    r"|(?<!\S)[(+]?[0-9][0-9()./-]*+(?:[^\S\n]\(?[0-9][0-9()./-]*+)+(?![^\s.,;:?!])"
+    r"|(?<!\S)[^\s0-9]*+[0-9]\S*",
+    re.IGNORECASE,
+)
+_AT = re.compile(r"[\[(<{]\s?at\s?[\])>}]| at .* dot ", re.IGNORECASE)
+_EDGE = ".,;:?!\"'()[]<>"
 
 
 def _luhn(digits: str) -> bool:
@@ -82,15 +88,25 @@ def written(spans: list[tuple[str, int, int]]) -> str:
     return ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
 
 
-def _context(text: str, start: int, end: int) -> tuple[str, str]:
-    left = _WORD_LEFT.search(text[max(0, start - WINDOW) : start])
-    right = _WORD_RIGHT.match(text[end : end + WINDOW])
-    tidy = lambda m: m[1].lower().strip(".,;:?!\"'()[]<>")[-32:] if m else ""
-    return tidy(left), tidy(right)
+def contexts(text: str, spans: list[tuple[int, int]]) -> list[tuple[str, str]]:
+    """The words before and after each of the spans, without marks at their edges.
+
+    A word ends where another span begins, so a text is read at most twice however long its words are;
+    next to another span and at the ends of the text there is none ("").
+    """
+    order = sorted(range(len(spans)), key=lambda k: spans[k])
+    out, begun, reach = [("", "")] * len(spans), 0, 0
+    following = [*(spans[k][0] for k in order[1:]), len(text)][: len(order)]
+    for k, stop in zip(order, following, strict=True):
+        start, end = spans[k]
+        before, after = text[max(begun, reach) : start].rsplit(None, 1), text[end : max(end, stop)].split(None, 1)
+        out[k] = (before[-1].lower().strip(_EDGE) if before else "", after[0].lower().strip(_EDGE) if after else "")
+        begun, reach = start, max(reach, end)
+    return out
 
 
 def candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
-    """Tokens that may be identifiers and touch no base match."""
+    """Stretches that may be identifiers and touch no base match."""
     taken = sorted((s, e) for _, s, e in spans)
     ends = [e for _, e in taken]
     out = []
@@ -102,7 +118,7 @@ def candidates(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[int,
         start, end = match.start(), match.end()
         while end > start and text[end - 1] in ".,;:?!\"')]>}":
             end -= 1
-        while start < end and text[start] in "\"'([<{":
+        while start < end and text[start] in "\"'([<{" and not (text[start] == "(" and ")" in text[start:end]):
             start += 1
         k = int(np.searchsorted(ends, start, side="right")) if ends else 0
         if end > start and not (k < len(taken) and taken[k][0] < end):
@@ -125,8 +141,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             spans.append([{"kind": k, "start": s, "end": e} for k, s, e in base])
             seen = [*base, *(("", s, e) for s, e in candidates(text, base))]
             row = []
-            for kind, s, e in seen:
-                left, right = _context(text, s, e)
+            for (kind, s, e), (left, right) in zip(seen, contexts(text, [(s, e) for _, s, e in seen]), strict=True):
                 row.append({"kind": kind, "instance": hashlib.blake2b(text[s:e].lower().encode(), digest_size=8).hexdigest(), "left": left, "right": right, "start": s, "end": e})
             sights.append(row)
         yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(spans, pa.list_(_SPAN)), pa.array(sights, pa.list_(_SIGHT))], [*batch.schema.names[1:], "base", "sights"])
@@ -139,40 +154,62 @@ def scan(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(_scan, f"doc_id {id_type}, key long, base {SPAN_SQL}, sights {SIGHT_SQL}")
 
 
-def discover(scanned: DataFrame, rounds: int = 3, min_seeds: int = 5, threshold: float = 0.8) -> DataFrame:
-    """New identifiers of a scanned table: key, kind, start, end (distinct).
+NONE = "instance string, kind string"
 
-    Patterns are (left word, right word), (left word, any) and (any, right word). In each round a
-    pattern's score for a kind is the weight of its instances times their scores over its whole
-    weight plus one; an instance's score is the mean over its patterns by weight; seeds keep score 1
-    for their kind. Sightings are counted once per text, so copies of a document add nothing.
-    Accepted are candidates with a score of ``threshold`` by patterns that themselves reach it and
-    have ``min_seeds`` different seeds of the kind.
-    """
-    sight = scanned.select("key", F.explode("sights").alias("s")).select("key", "s.*").distinct()
-    sight = sight.withColumn("pattern", F.explode(F.array(F.struct("left", "right"), F.struct("left", F.lit(None).cast("string").alias("right")), F.struct(F.lit(None).cast("string").alias("left"), "right"))))
-    sight = sight.where((F.coalesce(F.col("pattern.left"), F.lit("")) != "") | (F.coalesce(F.col("pattern.right"), F.lit("")) != ""))
-    sight = materialize(sight.select("key", "kind", "instance", "start", "end", F.xxhash64("pattern.left", "pattern.right", F.col("pattern.left").isNull()).alias("pattern")), "sights")
-    edges = sight.groupBy("pattern", "instance", "kind").agg(F.count("*").cast("double").alias("n"))
+
+def _labelled(edges: DataFrame, accepted: DataFrame) -> DataFrame:
+    """Edges with the kind that is known of their instance: that of a base match, else the accepted one, else ''."""
+    known = accepted.select("instance", F.col("kind").alias("learned"))
+    return edges.join(known, "instance", "left").withColumn("kind", F.when(F.col("kind") != "", F.col("kind")).otherwise(F.coalesce("learned", F.lit("")))).drop("learned")
+
+
+def _good_patterns(edges: DataFrame, rounds: int, min_seeds: int, threshold: float) -> DataFrame:
+    """pattern, kind, score of the patterns that reach the threshold, from labelled edges."""
     seeds = edges.where("kind <> ''").groupBy("pattern", "kind").agg(F.count("*").alias("seeds"), F.sum("n").alias("weight"))
-    strong = seeds.where(F.col("seeds") >= min_seeds).select("pattern").distinct()
-    edges = materialize(edges.join(strong, "pattern", "left_semi"), "edges")
     seeds = materialize(seeds.where(F.col("seeds") >= min_seeds), "seeds")
-    whole = edges.groupBy("pattern").agg(F.sum("n").alias("whole"))
-    open_edges = edges.where("kind = ''").select("pattern", "instance", "n")
-    scores = seeds.join(whole, "pattern").select("pattern", F.col("kind").alias("as_kind"), "seeds", "weight", "whole", (F.col("weight") / (F.col("whole") + 1)).alias("score"))
+    met = edges.join(if_few(seeds.select("pattern").distinct()), "pattern", "left_semi")
+    whole = met.groupBy("pattern").agg(F.sum("n").alias("whole"))
+    scores = seeds.join(whole, "pattern").select("pattern", F.col("kind").alias("as_kind"), "weight", "whole", (F.col("weight") / (F.col("whole") + 1)).alias("score"))
     scores = materialize(scores, "patterns")
+    open_edges = materialize(met.where("kind = ''").select("pattern", "instance", "n"), "open")
+    weight = open_edges.groupBy("instance").agg(F.sum("n").alias("all"))
     for _ in range(rounds - 1):
-        weight = open_edges.groupBy("instance").agg(F.sum("n").alias("all"))
-        instances = open_edges.join(scores, "pattern").groupBy("instance", "as_kind").agg(F.sum(F.col("n") * F.col("score")).alias("part"))
-        instances = instances.join(weight, "instance").select("instance", "as_kind", (F.col("part") / F.col("all")).alias("belief"))
-        gain = open_edges.join(instances, "instance").groupBy("pattern", "as_kind").agg(F.sum(F.col("n") * F.col("belief")).alias("gain"))
+        part = open_edges.join(if_few(scores), "pattern").groupBy("instance", "as_kind").agg(F.sum(F.col("n") * F.col("score")).alias("part"))
+        belief = part.join(weight, "instance").select("instance", "as_kind", (F.col("part") / F.col("all")).alias("belief"))
+        gain = open_edges.join(belief, "instance").groupBy("pattern", "as_kind").agg(F.sum(F.col("n") * F.col("belief")).alias("gain"))
         scores = scores.drop("score").join(gain, ["pattern", "as_kind"], "left").withColumn("score", (F.col("weight") + F.coalesce("gain", F.lit(0.0))) / (F.col("whole") + 1)).drop("gain")
         scores = materialize(scores, "patterns")
-    good = scores.where(F.col("score") >= threshold).select("pattern", F.col("as_kind").alias("found"), "score")
-    spots = sight.where("kind = ''").select("key", "instance", "start", "end", "pattern")
-    hits = spots.join(good, "pattern").groupBy("key", "start", "end", "found").agg(F.max("score").alias("score"))
-    return hits.groupBy("key", "start", "end").agg(F.max(F.struct("score", "found")).alias("top")).select("key", F.col("top.found").alias("kind"), "start", "end")
+    return materialize(scores.where(F.col("score") >= threshold).select("pattern", F.col("as_kind").alias("kind"), "score"), "good")
+
+
+def discover(scanned: DataFrame, rounds: int = 4, passes: int = 4, min_seeds: int = 5, threshold: float = 0.8) -> DataFrame:
+    """New identifiers of a scanned table: key, kind, start, end (distinct).
+
+    Patterns are (left word, right word), (left word, any) and (any, right word). In each of the
+    ``rounds`` of a pass a pattern's score for a kind is the weight of its instances times their scores
+    over its whole weight plus one; an instance's score is the mean over its patterns with seeds by weight; seeds
+    keep score 1 for their kind. Sightings are counted once per text, so copies of a document add nothing.
+    A candidate is accepted wherever it stands in a pattern with a score of ``threshold`` and at least
+    ``min_seeds`` different seeds of the kind; of several kinds the one with the surest pattern counts.
+    Accepted ones are seeds of the next pass, at most ``passes`` in all.
+    """
+    sight = scanned.select("key", F.explode("sights").alias("s")).select("key", "s.*").distinct()
+    sight = sight.withColumn("pattern", F.explode(F.array(F.struct("left", "right"), F.struct("left", F.lit(None).cast("string").alias("right")), F.struct(F.lit(None).cast("string").alias("left"), "right"))))
+    sight = sight.where((F.coalesce(F.col("pattern.left"), F.lit("")) != "") | (F.coalesce(F.col("pattern.right"), F.lit("")) != ""))
+    sight = materialize(sight.select("key", "kind", "instance", "start", "end", F.xxhash64("pattern.left", "pattern.right", F.col("pattern.left").isNull()).alias("pattern")), "sights")
+    edges = materialize(sight.groupBy("pattern", "instance", "kind").agg(F.count("*").cast("double").alias("n")), "edges")
+    accepted = scanned.sparkSession.createDataFrame([], NONE)
+    for _ in range(passes):
+        good = _good_patterns(_labelled(edges, accepted), rounds, min_seeds, threshold)
+        hits = edges.where("kind = ''").select("pattern", "instance").join(if_few(good), "pattern")
+        now = hits.groupBy("instance").agg(F.max(F.struct("score", "kind")).alias("top")).select("instance", F.col("top.kind").alias("kind"))
+        now = materialize(accepted.union(now.join(accepted, "instance", "left_anti")), "accepted")
+        grown = now.count() > accepted.count()
+        accepted = now
+        if not grown:
+            break
+    spots = sight.where("kind = ''").select("key", "instance", "start", "end", "pattern").join(if_few(good), "pattern")
+    return spots.groupBy("key", "start", "end").agg(F.max(F.struct("score", "kind")).alias("top")).select("key", F.col("top.kind").alias("kind"), "start", "end")
 
 
 def _joined(spans):
@@ -226,7 +263,6 @@ def redact(docs: DataFrame, **options) -> DataFrame:
     Overlapping spans become the bracket of the first. Null texts stay null.
     """
     scanned = materialize(scan(docs), "scan")
-    added = materialize(discover(scanned, **options).groupBy(F.col("key").alias("_pii_key")).agg(F.collect_list(F.struct("kind", "start", "end")).alias("_pii_more")), "added")
-    keyed = docs.withColumn("_pii_key", F.xxhash64(F.coalesce("text", F.lit(""))))
-    rows = keyed.join(added, "_pii_key", "left").select(*[docs[c] for c in docs.columns], "_pii_more")
+    added = materialize(discover(scanned, **options).groupBy("key").agg(F.collect_list(F.struct("kind", "start", "end")).alias("more")), "added")
+    rows = with_keyed(docs, text_key(F.col("text")), added, "left")
     return rows.mapInArrow(_redact(docs.columns.index("text")), docs.schema)

@@ -69,6 +69,38 @@ def test_contexts_discover(spark):
     assert cleaned[50] == "well contact me at [EMAIL] now please" and cleaned[3] == "word0 contact me at [EMAIL] now please" and cleaned[100] == "room 1000 in house"
 
 
+def test_finds_seed_further_finds(spark):
+    """What the first pass finds stands in a context without base matches too, which the second pass learns."""
+    rows = [f"word{k % 3} contact me at user{k}@mail.com now please" for k in range(12)]
+    rows += [f"well contact me at found{k} [at] mail.com now please" for k in range(8)]
+    rows += [f"deliver parcels to found{k} [at] mail.com every single day" for k in range(8)]
+    rows += [f"deliver parcels to unseen{k} [at] mail.com every single day" for k in range(8)]
+    frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    once = {r.doc_id for r in pii.find_pii(frame, passes=1).collect() if r.doc_id >= 12 and r.spans}
+    more = {r.doc_id for r in pii.find_pii(frame).collect() if r.doc_id >= 12 and r.spans}
+    assert once == set(range(12, 20)) and more == set(range(12, 36))
+
+
+@pytest.mark.parametrize(("text", "found"), [("call 020 7946 0958 today", "020 7946 0958"), ("call (0207) 946-0958.", "(0207) 946-0958"), ("write john at mail dot com now", "john at mail dot com"), ("code A1234.", "A1234"), ("see 12 of 30", None)])
+def test_candidates(text, found):
+    assert [text[s:e] for s, e in pii.candidates(text, [])] == ([found] if found else [])
+
+
+def test_contexts_are_whole_words():
+    long = "x" * 500
+    text = f"{long} a@b.cc, {long}d@e.ff"
+    spans = [(s, e) for _, s, e in pii.base_spans(text)]
+    assert pii.contexts(text, spans) == [(long, ""), ("", "")] or pii.contexts(text, spans)[0][0] == long
+    started = "a@b.cc," * 50_000
+    assert len(pii.contexts(started, [(s, e) for _, s, e in pii.base_spans(started)])) == 50_000
+
+
+def test_clashing_columns(spark):
+    rows = [(1, "mail a@b.cc", "k", "m")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _pii_key string, _MORE string")
+    assert [tuple(r) for r in pii.redact(frame).collect()] == [(1, "mail [EMAIL]", "k", "m")]
+
+
 def test_odd_rows(odd, empty):
     assert pii.find_pii(odd).count() == odd.count() and pii.find_pii(empty).count() == 0
     assert pii.redact(odd).columns == odd.columns and sorted(map(str, pii.redact(odd).collect())) == sorted(map(str, odd.collect()))
