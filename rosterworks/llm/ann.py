@@ -2,7 +2,8 @@
 
 A vector of length r is turned by a random rotation, and of its unit vector only the signs are kept,
 packed to bits, with two scalars: r and the inner product c of the unit vector with its own code.
-For a query q the estimate of the inner product is r * <code, q'> / c, and it is off by more than
+For a query q the estimate of the inner product is r * <code, q'> / c, summed from tables of the
+query's partial sums for every byte that a code can hold, and it is off by more than
 r * |q| * sqrt((1 - c*c) / (c*c)) * margin / sqrt(d - 1) with a probability that falls off like a Gaussian's
 tail in the margin. The 4 k vectors of highest estimate set a bar with their exact products; all whose
 upper bound reaches the k-th best of them are reranked exactly.
@@ -58,9 +59,9 @@ def _encode(d: int, seed: int):
             take = np.isfinite(scale) & (scale > 0)
             x, ids = x[take], [i for (i, _), t in zip(values, take, strict=True) if t]
             bits, length, fit = encode(x / scale[take][:, None], turn)
-            rows = [ids, [b.tobytes() for b in bits], length * scale[take], fit, [v.tobytes() for v in x]]
-            types = (batch.schema.field(0).type, pa.binary(), pa.float64(), pa.float64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, types, strict=True)], ["vec_id", "code", "length", "fit", "vector"])
+            rows = [ids, [b.tobytes() for b in bits], length * scale[take], fit, [v.tobytes() for v in x], batch.column(2).filter(pa.array(take))]
+            types = (batch.schema.field(0).type, pa.binary(), pa.float64(), pa.float64(), pa.binary(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([r if isinstance(r, pa.Array) else pa.array(r, t) for r, t in zip(rows, types, strict=True)], ["vec_id", "code", "length", "fit", "vector", "asks"])
 
     return run
 
@@ -70,6 +71,20 @@ def _exact(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.cumsum(x * y, axis=1)[:, -1]
 
 
+def byte_tables(turned: np.ndarray) -> np.ndarray:
+    """For each query, byte of a code and value of that byte: the sum of the byte's eight components with the signs of its bits."""
+    signs = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(turned.dtype) * 2 - 1
+    return turned.reshape(len(turned), -1, 8) @ signs.T
+
+
+def code_products(tables: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """<code, query> of all pairs from packed codes (a row per byte): one lookup for every eight components."""
+    total = np.zeros((len(tables), codes.shape[1]), tables.dtype)
+    for k, row in enumerate(codes):
+        total += np.take(tables[:, k], row, axis=1)
+    return total
+
+
 def _search(d: int, seed: int, k: int, margin: float):
     columns = ["query_id", "vec_id", "score"]
 
@@ -80,7 +95,7 @@ def _search(d: int, seed: int, k: int, margin: float):
         q = np.frombuffer(b"".join(queries["vector"]), np.float64).reshape(-1, d)
         v = np.frombuffer(b"".join(vectors["vector"]), np.float64).reshape(-1, d)
         kind = np.float32 if max(np.abs(q).max(), np.abs(v).max()) < 1e15 else np.float64
-        codes = np.unpackbits(np.frombuffer(b"".join(vectors["code"]), np.uint8).reshape(-1, size // 8), axis=1).astype(kind) * 2 - 1
+        codes = np.ascontiguousarray(np.frombuffer(b"".join(vectors["code"]), np.uint8).reshape(-1, size // 8).T)
         fit = vectors["fit"].to_numpy()
         factor = (vectors["length"].to_numpy() / fit / np.sqrt(size)).astype(kind)
         spread = (vectors["length"].to_numpy() * np.sqrt(np.maximum(0, 1 - fit**2)) / fit * margin / np.sqrt(size - 1)).astype(kind)
@@ -90,7 +105,7 @@ def _search(d: int, seed: int, k: int, margin: float):
         longest = float(vectors["length"].max()) + 1
         for at in range(0, len(q), ROWS):
             part = slice(at, at + ROWS)
-            estimate = turned[part] @ codes.T * factor
+            estimate = code_products(byte_tables(turned[part]), codes) * factor
             estimate[ids == own[part][:, None]] = -np.inf
             bar = np.full(len(estimate), -np.inf)
             if first > k:
@@ -115,7 +130,7 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, seed: int = 3, margin: fl
     """For each query row its k nearest rows by largest inner product: query_id, rank, vec_id, score.
 
     ``vectors`` has vec_id and embedding (an array); more columns are ignored. ``is_query`` is a
-    condition on its columns. A row is no candidate for queries of its own vec_id. Scores are the
+    condition on any of its columns (null: no query). A row is no candidate for queries of its own vec_id. Scores are the
     exact inner products of the original vectors in double precision; ties go to the smaller vec_id;
     fewer candidates give fewer rows.
 
@@ -130,15 +145,14 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, seed: int = 3, margin: fl
     if first is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     d = first["d"]
-    sized = good.where(F.size("embedding") == d).select("vec_id", "embedding", is_query.alias("asks"))
-    asked = sized.where("asks").count()
-    coded = materialize(sized.select("vec_id", "embedding").mapInArrow(_encode(d, seed), "vec_id long, code binary, length double, fit double, vector binary"), "codes")
-    n = coded.count()
+    sized = good.where(F.size("embedding") == d).select("vec_id", "embedding", F.coalesce(is_query, F.lit(False)).alias("asks"))
+    coded = materialize(sized.mapInArrow(_encode(d, seed), "vec_id long, code binary, length double, fit double, vector binary, asks boolean"), "codes")
+    n, asked = coded.agg(F.count("*"), F.count_if("asks")).first()
     query_blocks, vector_blocks = max(1, -(-asked // QUERY_BLOCK)), max(1, -(-n // VECTOR_BLOCK))
     part = lambda blocks, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(blocks)).cast("int")
     every = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    right = coded.withColumn("v", part(vector_blocks, "v")).withColumn("q", every(query_blocks))
-    left = coded.where(is_query).select("vec_id", "vector", part(query_blocks, "q").alias("q")).withColumn("v", every(vector_blocks))
+    right = coded.drop("asks").withColumn("v", part(vector_blocks, "v")).withColumn("q", every(query_blocks))
+    left = coded.where("asks").select("vec_id", "vector", part(query_blocks, "q").alias("q")).withColumn("v", every(vector_blocks))
     found = left.groupBy("q", "v").cogroup(right.groupBy("q", "v")).applyInPandas(_search(d, seed, k, margin), schema)
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
