@@ -42,7 +42,7 @@ EDGE_SIGNS = "".join(c for c in EDGE if c in LOOKALIKES)
 _BARE_EDGE = "".join(c for c in EDGE if c not in LOOKALIKES)
 _TWICE = re.compile(r"(.)\1")
 GRAM, SIZE = 4, 27
-MEMO = 200_000
+MEMO = 100_000
 
 
 def _letter_table() -> np.ndarray:
@@ -279,13 +279,13 @@ class ToxicityModel:
         return score
 
 
-def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, max_rows: int = 20_000, min_docs: int = 5, min_lift: float = 4.0, min_gain: float = 30.0, max_words: int = 2_000) -> ToxicityModel:
+def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, max_rows: int = 20_000, min_docs: int = 5, min_lift: float = 4.0, min_gain: float = 30.0) -> ToxicityModel:
     """Fit the model: letter statistics on all texts, word weights on labelled rows that are not held out.
 
     ``max_rows`` bounds the labelled rows (in expectation; rows are chosen by a hash of doc_id), so
     the sample and with it the vocabulary can be sent to every executor. Listed are words in at
     least ``min_docs`` toxic rows, ``min_lift`` times as common there, with a log-likelihood ratio
-    (G) of ``min_gain``; at most ``max_words``, the best. A doc_id with several
+    (G) of ``min_gain``, all of them: the sample bounds their number. A doc_id with several
     labels is toxic if one of them says so; rows without a label (null) are not used. With no labelled
     row of either kind the scores are 0.5 everywhere.
     """
@@ -310,7 +310,6 @@ def train(docs: DataFrame, labels: DataFrame, modulus: int = 5, max_rows: int =
     gain = 2 * (part(F.col("toxic"), n1) + part(F.col("clean"), n0) + rest(F.col("toxic"), n1) + rest(F.col("clean"), n0))
     lift = (F.col("toxic") + 0.5) / (n1 + 1) * (n0 + 1) / (F.col("clean") + 0.5)
     listed = words.where((F.col("toxic") >= min_docs) & (lift >= min_lift)).withColumn("gain", gain).where(F.col("gain") >= min_gain)
-    listed = listed.orderBy(F.col("gain").desc(), "word").limit(max_words)
     vocabulary = frozenset(r.word for r in listed.select("word").collect())
 
     shared = spark.sparkContext.broadcast((chars, vocabulary))
