@@ -52,6 +52,11 @@ BROADCAST_KEYS = 1_000_000
 SALTS = 32
 
 
+def if_few(df: DataFrame) -> DataFrame:
+    """df, to be broadcast if it has been counted to be small enough; a larger one is joined by shuffling."""
+    return F.broadcast(df) if df.count() <= BROADCAST_KEYS else df
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that df does not have, whatever the case of its letters."""
     taken = {c.lower() for c in df.columns}

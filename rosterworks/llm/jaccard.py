@@ -2,11 +2,11 @@
 
 Stages, each a Spark job over the whole table:
 
-1. *Profile*: one pass shingles every text and gives its set size, a 64-bit identity of its set and
-   the shingles whose hash lies in a fixed third of all hashes. Documents with equal sets form one
-   class, so copies are never compared with each other.
-2. *Support*: a set with a partner can miss at most a fifth of its shingles there, so it has at
-   most as many of the third that no other class has. An aggregate by shingle, combined before the
+1. *Profile*: every text gets its set size and a 64-bit identity of its set. Documents with equal
+   sets form one class, so copies are never compared with each other.
+2. *Support*: a set with a partner can miss at most a fifth of its shingles there, so of those whose
+   hash lies in a fixed third of all hashes it has at most as many that no other class has. A second
+   pass over the texts (cheaper than keeping a third of all shingles) and an aggregate by shingle, combined before the
    shuffle however common a shingle is, finds those and drops sets with too many of them.
 3. *Index lists*: the sets left are ordered rarest shingle first and only their prefixes enter the
    lists. Lists are cut into blocks by position; a pair of blocks whose best positional bound is
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_int64, batch_shingles, materialize, mix, parts
+from .common import as_int64, batch_shingles, free_name, materialize, mix, parts, text_key, with_keyed, without_keys
 from .graph import components
 
 BITMAP_BITS = 24
@@ -52,15 +52,25 @@ def set_identity(hashes: np.ndarray) -> int:
 def _profile(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts(batches, 1, 1 << 21):
-            keys, sizes, samples = [], [], []
-            for hashes in batch_shingles(batch.column(1), size):
-                keys.append(set_identity(hashes))
-                sizes.append(len(hashes))
-                samples.append(hashes[: np.searchsorted(hashes, SAMPLED)])
-            offsets = np.concatenate(([0], np.cumsum([len(x) for x in samples]))).astype(np.int32)
-            flat = as_int64(np.concatenate(samples)) if samples else np.zeros(0, np.int64)
-            sampled = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), sampled], ["doc_id", "set_id", "n_shingles", "sampled"])
+            sets = [(set_identity(x), len(x)) for x in batch_shingles(batch.column(1), size)]
+            columns = [pa.array([x[k] for x in sets], pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), *columns], ["doc_id", "key", "set_id", "n_shingles"])
+
+    return run
+
+
+def _sampled(size: int):
+    """(token, set_id) for the shingles of each text that lie in the sampled third."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches, 0, 1 << 21):
+            tokens, keys = [], []
+            for hashes in batch_shingles(batch.column(0), size):
+                own = hashes[: np.searchsorted(hashes, SAMPLED)]
+                tokens.append(own)
+                keys.append(np.full(len(own), set_identity(hashes), np.int64))
+            if tokens:
+                yield pa.RecordBatch.from_arrays([pa.array(as_int64(np.concatenate(tokens))), pa.array(np.concatenate(keys))], ["token", "set_id"])
 
     return run
 
@@ -240,11 +250,17 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     kept, each with the same component. A row with null doc_id links as others do and never names a
     component unless all its members are null. An empty table gives an empty table.
     """
+    return rows_with_components(docs, size, percent).drop("key")
+
+
+def rows_with_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """doc_id, key (of the text), n_shingles, component_id: what :func:`jaccard_components` says of every row."""
     text = docs.select("doc_id", "text")
     id_type = text.schema["doc_id"].dataType.simpleString()
-    profile = materialize(text.mapInArrow(_profile(size), f"doc_id {id_type}, set_id long, n_shingles long, sampled array<long>"), "profile")
+    keyed = docs.select("doc_id", "text", text_key(F.col("text")).alias("key"))
+    profile = materialize(keyed.mapInArrow(_profile(size), f"doc_id {id_type}, key long, set_id long, n_shingles long"), "profile")
     classes = profile.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
-    holders = profile.select("set_id", F.explode("sampled").alias("token")).groupBy("token").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"))
+    holders = docs.select("text").mapInArrow(_sampled(size), "token long, set_id long").groupBy("token").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"))
     alone = holders.where("low = high").groupBy(F.col("low").alias("set_id")).agg(F.count("*").alias("alone"))
     kept = classes.join(alone, "set_id", "left").where(F.coalesce("alone", F.lit(0)) * 100 <= F.col("n") * (100 - percent))
     kept = materialize(kept.select("set_id", "doc_id", "n"), "kept")
@@ -253,7 +269,9 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(kept.select(mark), "mark"))
     found = text.select("doc_id", "text", mark).mapInArrow(_sets(size, bitmap), f"doc_id {id_type}, set_id long, hashes binary")
     own = kept.select("set_id", F.col("doc_id").alias("own"), "n")
-    sets = found.join(own, (found.set_id == own.set_id) & found.doc_id.eqNullSafe(own.own)).select(found.set_id, "n", "hashes").dropDuplicates(["set_id"])
+    sets = found.join(own, (found.set_id == own.set_id) & found.doc_id.eqNullSafe(own.own)).select(found.set_id, "n", "hashes")
+    if not profile.groupBy("set_id", "doc_id").count().where("count > 1").isEmpty():
+        sets = sets.dropDuplicates(["set_id"])
     sets = materialize(sets, "sets")
 
     postings = sets.select("set_id", "hashes").mapInArrow(_postings, "token long, set_id long")
@@ -337,14 +355,26 @@ def jaccard_components(docs: DataFrame, size: int = 5, percent: int = 80) -> Dat
     lowest = final.groupBy("label").agg(F.min("doc_id").alias("component_id"))
     answer = final.select("set_id", "label").join(lowest, "label").select("set_id", "component_id")
     rows = profile.join(answer, "set_id", "left")
-    return rows.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return rows.select("doc_id", "key", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def keep_first(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each component: the row whose doc_id names it. Columns stay as they are.
+    """One document of each component: a row whose doc_id names it. Columns stay as they are.
 
-    Of rows that repeat such a doc_id every one stays, since their ids do not tell them apart;
-    rows with null doc_id stay.
+    Of several such rows (a doc_id that repeats) one stays. Texts without shingles are components of
+    their own, one for each doc_id. Rows with null doc_id name no component and all stay.
     """
-    gone = jaccard_components(docs, size, percent).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti")
+    found = rows_with_components(docs, size, percent).where("doc_id IS NOT NULL").withColumn("row", F.xxhash64("doc_id", "key"))
+    found = materialize(found, "found")
+    first = found.where("component_id = doc_id").groupBy("doc_id", F.col("n_shingles") > 0).agg(F.min("key").alias("key"))
+    stay = materialize(first.select(F.xxhash64("doc_id", "key").alias("row")), "stay")
+    gone = found.join(stay, "row", "left_anti").select(F.col("row").alias("key")).distinct()
+    row = F.xxhash64("doc_id", text_key(F.col("text")))
+    left = without_keys(docs, row, materialize(gone, "gone"))
+    again = found.join(stay, "row", "left_semi").groupBy(F.col("row").alias("key")).agg(F.count("*").alias("n")).where("n > 1").select("key")
+    again = materialize(again, "again")
+    if again.isEmpty():
+        return left
+    name = free_name(docs, "_row")
+    once = with_keyed(left, row, again, "left_semi").withColumn(name, row).dropDuplicates([name]).drop(name)
+    return without_keys(left, row, again).unionByName(once)
