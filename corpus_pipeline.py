@@ -2,7 +2,7 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns
 of documents. SQL can express neither decoding, tiling nor the iterated pattern scores, so there is no
-ORACLE_SQL; tests hold each stage and the whole against brute force on small tables.
+ORACLE_SQL; tests hold each stage against brute force on small tables.
 """
 
 from __future__ import annotations
@@ -19,27 +19,33 @@ from rosterworks.llm.toxicity import drop_toxic, train
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose restored text scores below 0.5."""
+    """Documents whose restored text scores below 0.5; null and empty texts hold no word, and rows repeat as they come."""
     return drop_toxic(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of documents linked by shingle sets, the one with the smallest doc_id."""
+    """Of every group of documents linked by shingle sets, the one with the smallest doc_id.
+
+    Of rows that repeat it one stays; null, empty and blank texts are linked with nothing; rows without doc_id stay.
+    """
     return keep_first(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no benchmark item leaked into."""
+    """Documents that no benchmark item leaked into; null and empty texts hold none, copies go together."""
     return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with personal data replaced by its kind."""
+    """All documents, with personal data replaced by its kind; null texts stay null, equal texts stay equal."""
     return redact(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The weighted mixture: documents by epoch, the last of a leaf cut to its budget."""
+    """The weighted mixture: documents by epoch, the last of a leaf cut to its budget.
+
+    Null sources and languages are groups of their own; documents without words cost nothing.
+    """
     return mix(docs, total_share=0.6, weights=MIX_WEIGHTS)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,10 +69,17 @@ def claimable(as_of: Column, reclaim_expired: bool = True) -> Column:
     return open_now & due & free
 
 
-def batch(items: DataFrame, size: int, as_of: Column, reclaim_expired: bool = True) -> DataFrame:
-    """The next ``size`` items of every task type in one pass: by priority, age and id."""
+def batch(items: DataFrame, size: int | Mapping[str, int], as_of: Column, reclaim_expired: bool = True) -> DataFrame:
+    """The next ``size`` items of every task type in one pass: by priority, age and id.
+
+    With a mapping every task type has a size of its own, 0 if it is not listed.
+    """
+    if not isinstance(size, int):
+        most = F.coalesce(*[F.when(F.col("task_type") == t, n) for t, n in size.items()], F.lit(0))
+    else:
+        most = F.lit(size)
     order = Window.partitionBy("task_type").orderBy(F.col("priority").desc(), F.col("created_at").asc_nulls_first(), "work_item_id")
-    return items.where(claimable(as_of, reclaim_expired)).withColumn("position", F.row_number().over(order)).where(F.col("position") <= size)
+    return items.where(claimable(as_of, reclaim_expired)).withColumn("position", F.row_number().over(order)).where(F.col("position") <= most)
 
 
 def extraction_batch(accounts: DataFrame, relationships: DataFrame, size: int) -> DataFrame:
@@ -86,7 +93,7 @@ def extraction_batch(accounts: DataFrame, relationships: DataFrame, size: int) -
     return ready.orderBy(tier, verified, "account_key").limit(size)
 
 
-def claim(items: DataFrame, size: int, as_of: Column, lease_minutes: int = 30) -> DataFrame:
+def claim(items: DataFrame, size: int | Mapping[str, int], as_of: Column, lease_minutes: int = 30) -> DataFrame:
     """items with the next batch in progress, leased and counted as an attempt."""
     picked = batch(items, size, as_of).select("work_item_id", F.lit(True).alias("picked"))
     joined = items.join(picked, "work_item_id", "left")

@@ -149,3 +149,5 @@ TASKS = {"validate": 100, "enrich": 80, "extract_contacts": 60, "retry_blocked":
 # Where rows came from.
 WEB_CONTACTS = "website_contact_extraction"
 WEB_SOURCES = ("website_enrichment", "website_resolution", WEB_CONTACTS)
+# Items claimed of each task type in a cycle.
+BATCHES = {"validate": 50, "enrich": 25, "extract_contacts": 25, "retry_blocked": 10}
