@@ -16,7 +16,7 @@ Stages, each a Spark job over the whole table:
    similar set's follow from them by the lists of the few shingles in which the two differ. Every
    list also has a leader, to which its other sets are compared. A set that is linked to another
    takes over the answers found for it, so only pairs of different components and home blocks are
-   left.
+   left, each looked at in the first list that both sets are in.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_int64, batch_shingles, free_name, materialize, mix, parts, text_key, with_keyed, without_keys
+from .common import as_int64, batch_shingles, free_name, if_few, materialize, mix, parts, text_key, with_keyed, without_keys
 from .graph import components
 
 BITMAP_BITS = 24
@@ -284,6 +284,7 @@ def rows_with_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     ranked = postings.join(counts.where("df > 1").select("token", "df"), "token").groupBy("set_id").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens"))
     prefix = (misses + 1 - F.col("private")).cast("int")
     heads = open_sets.join(ranked, "set_id").select("set_id", "n", "private", F.slice("tokens.token", 1, prefix).alias("head"))
+    heads = materialize(heads, "heads")
     entries = heads.select("set_id", "n", "private", F.posexplode("head").alias("pos", "token")).select("token", "set_id", "n", (F.col("n") - F.col("private") - F.col("pos")).alias("rest"))
     entries = materialize(entries.withColumn("salt", F.pmod(F.xxhash64("set_id"), F.lit(SALTS))), "entries")
     counted = entries.groupBy("token", "salt").agg(F.count("*").alias("length"), F.min("set_id").alias("lead_id"), F.min_by("n", "set_id").alias("lead_n"), F.min_by("rest", "set_id").alias("lead_rest"))
@@ -311,8 +312,10 @@ def rows_with_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     labelled = entries.drop("lead_id", "lead_n", "lead_rest").join(home, "set_id").join(first.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
     labelled = materialize(labelled.withColumn("block", F.floor(F.col("rest") / BLOCK)), "labelled")
     mixed = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.min("home").alias("here"), F.max("home").alias("there"), F.first("length").alias("length"))
-    mixed = _dealt(mixed.where("low < high and here < there").select("token", "length")).drop("length")
-    labelled = materialize(labelled.join(mixed, ["token", "piece"], "left_semi"), "mixed")
+    mixed = materialize(_dealt(mixed.where("low < high and here < there").select("token", "length")).drop("length"), "mixed")
+    labelled = labelled.join(if_few(mixed), ["token", "piece"], "left_semi").join(heads.select("set_id", "private", "head"), "set_id")
+    before = F.slice("head", F.lit(1), (F.col("n") - F.col("private") - F.col("rest")).cast("int"))
+    labelled = materialize(labelled.withColumn("before", before).drop("head", "private"), "labelled")
     name = lambda df, tag: df.select(*[F.col(c).alias(f"{c}_{tag}") for c in df.columns])
     blocks = labelled.groupBy("token", "block").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("rest"))
     bound = (
@@ -323,7 +326,8 @@ def rows_with_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     open_blocks = name(blocks, "x").join(name(blocks, "y"), bound).groupBy(F.col("token_x").alias("token"), F.col("block_x").alias("block")).agg(F.collect_set("block_y").alias("open"))
     sizes = labelled.groupBy("token", "label").agg(F.count("*").alias("size"), F.first("length").alias("length"))
     largest = _dealt(sizes.groupBy("token").agg(F.max_by("label", F.struct("size", "label")).alias("largest"), F.first("length").alias("length"))).drop("length")
-    outside = labelled.join(largest, ["token", "piece"]).where("label <> largest").join(open_blocks, ["token", "block"]).drop("block", "piece")
+    largest, open_blocks = materialize(largest, "largest"), materialize(open_blocks, "blocks")
+    outside = labelled.join(if_few(largest), ["token", "piece"]).where("label <> largest").join(if_few(open_blocks), ["token", "block"]).drop("block", "piece")
     outside = _dealt(outside.withColumn("block", F.explode("open")).drop("open")).drop("length")
     rest = (
         name(outside, "x")
@@ -335,7 +339,8 @@ def rows_with_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
             & (F.col("label_x") != F.col("label_y"))
             & (F.col("home_x") != F.col("home_y"))
             & ((F.col("label_y") == F.col("largest_x")) | (F.col("set_id_x") < F.col("set_id_y")))
-            & _possible(percent, F.col("n_x"), F.col("rest_x"), F.col("n_y"), F.col("rest_y")),
+            & _possible(percent, F.col("n_x"), F.col("rest_x"), F.col("n_y"), F.col("rest_y"))
+            & ~F.arrays_overlap("before_x", "before_y"),
         )
         .select(F.least("set_id_x", "set_id_y").alias("a"), F.greatest("set_id_x", "set_id_y").alias("b"))
         .distinct()
