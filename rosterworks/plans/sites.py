@@ -227,9 +227,9 @@ def cycle_items(spark, root):
 
 @query(
     "accounts work_items sites",
-    f"""WITH taken AS (SELECT DISTINCT s.account_key FROM ({SEEDED}) s JOIN ({PICKED.format(items=SEEDED)}) p ON s.work_item_id = p.work_item_id WHERE s.task_type = 'enrich')
- SELECT a.account_key, CASE WHEN t.account_key IS NULL THEN a.account_name ELSE coalesce(p.name, a.account_name) END AS account_name, CASE WHEN t.account_key IS NULL THEN a.inferred_brand ELSE coalesce(p.brand, a.inferred_brand) END AS inferred_brand
- FROM accounts_v a LEFT JOIN taken t ON a.account_key = t.account_key LEFT JOIN ({TOLD}) p ON a.account_key = p.account_key""",
+    f"""SELECT a.account_key, CASE WHEN t.account_key IS NULL THEN a.account_name ELSE coalesce(p.name, a.account_name) END AS account_name, CASE WHEN t.account_key IS NULL THEN a.inferred_brand ELSE coalesce(p.brand, a.inferred_brand) END AS inferred_brand
+ FROM accounts_v a LEFT JOIN (SELECT DISTINCT s.account_key FROM ({SEEDED}) s JOIN ({PICKED.format(items=SEEDED)}) p ON s.work_item_id = p.work_item_id WHERE s.task_type = 'enrich') t ON a.account_key = t.account_key
+ LEFT JOIN ({TOLD}) p ON a.account_key = p.account_key""",
 )
 def cycle_accounts(spark, root):
     return cycled(spark, root)["accounts"].select("account_key", "account_name", "inferred_brand")
