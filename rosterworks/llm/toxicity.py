@@ -40,9 +40,9 @@ SPACED = re.compile(rf"(?<!\S)[^\W_]?[\w{_SIGNS}](?:[\s._*~-]+[\w{_SIGNS}]){{2,}
 #: Edge signs that stand for letters; the rest of EDGE is stripped from both ends of a token in any case.
 EDGE_SIGNS = "".join(c for c in EDGE if c in LOOKALIKES)
 _BARE_EDGE = "".join(c for c in EDGE if c not in LOOKALIKES)
-_TWICE = re.compile(r"(.)\1")
+_TWICE, _AGAIN = re.compile(r"(.)\1", re.DOTALL), re.compile(r"(.)\1+", re.DOTALL)
 GRAM, SIZE = 4, 27
-MEMO = 100_000
+MEMO = 200_000
 
 
 def _letter_table() -> np.ndarray:
@@ -139,7 +139,7 @@ class CharModel:
 
 def once(word: str) -> str:
     """The word without repeats of a letter."""
-    return "".join(c for k, c in enumerate(word) if not k or c != word[k - 1])
+    return _AGAIN.sub(r"\1", word) if _TWICE.search(word) else word
 
 
 def shape(token: str) -> str:
@@ -204,6 +204,13 @@ class Restorer:
         for token in set(lower.split()):
             got = memo.get(token)
             if got is None:
+                if token.isalpha() and not _TWICE.search(token):
+                    # What _read says of plain words, most of which are too rare to be remembered.
+                    if token in self.words:
+                        found.add(token)
+                    elif token in self.plain:
+                        found.add(self.plain[token])
+                    continue
                 if len(memo) > MEMO:
                     memo.clear()
                 got = memo[token] = self._read(token)
