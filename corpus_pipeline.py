@@ -2,7 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns
 of documents. SQL can express neither decoding, tiling nor the iterated pattern scores, so there is no
-ORACLE_SQL; tests hold each stage against brute force on small tables.
+ORACLE_SQL; tests hold the
+stages against plain versions on small tables, toxicity against its own scorer text by text.
 """
 
 from __future__ import annotations
