@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid
+from . import langid, quality
 from .ann import nearest
+from .collocations import collocations
 from .decontaminate import leaked_pairs
+from .divergence import source_divergences
 from .hmm import hmm_scores
 from .jaccard import jaccard_components
 from .licenses import LICENCE_FILE, STOP, TEMPLATES, scan_licenses, template_terms, visible_lines
@@ -112,6 +116,28 @@ def op8_licenses(spark: SparkSession, root: str) -> DataFrame:
 QUERIES["op8_licenses"] = op8_licenses
 
 
+def op11_quality_rules(spark: SparkSession, root: str) -> DataFrame:
+    kept = quality.judge(table(spark, root, "documents"))
+    return kept.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "quality", "kept")
+
+
+QUERIES["op11_quality_rules"] = op11_quality_rules
+
+
+def op12_source_divergence(spark: SparkSession, root: str) -> DataFrame:
+    return source_divergences(table(spark, root, "documents"))
+
+
+QUERIES["op12_source_divergence"] = op12_source_divergence
+
+
+def op13_collocations(spark: SparkSession, root: str) -> DataFrame:
+    return collocations(table(spark, root, "documents"))
+
+
+QUERIES["op13_collocations"] = op13_collocations
+
+
 # SQL for DuckDB ---------------------------------------------------------------------------------
 
 WORDS = "regexp_extract_all({c}, '[^\\x20\\x09-\\x0D]+')".format
@@ -198,3 +224,71 @@ SELECT p.page_id, p.directory, own_license, own_score, coalesce(own_license, inh
  CASE WHEN own_license IS NOT NULL THEN p.directory ELSE license_directory END AS license_directory
 FROM placed p LEFT JOIN near n ON p.directory = n.directory
 """
+
+
+def _quality_sql() -> str:
+    """The measures, the votes and every round of the estimates, one table expression after the other."""
+    rules = ", ".join(f"CASE WHEN {against} THEN -1 WHEN {for_it} THEN 1 ELSE 0 END" for against, for_it in quality.RULES.values())
+    probability = "1 / (1 + exp(-(w[1] + list_sum(list_transform(votes, lambda v, i: w[3 * i + v])))))"
+    first = [math.log(quality.PRIOR / (1 - quality.PRIOR))] + [math.log((1 - quality.GOOD) / quality.BAD), 0.0, math.log(quality.GOOD / (1 - quality.BAD))] * len(quality.RULES)
+    share = "(coalesce({0}, 0) + CAST({2} AS DOUBLE)) / (coalesce({0}, 0) + coalesce({1}, 0) + {3})".format
+    begun, k = quality.BEFORE, 0
+    rounds = [f"m0 AS MATERIALIZED (SELECT [{', '.join(f'CAST({x!r} AS DOUBLE)' for x in first)}] AS w)"]
+    for k in range(1, quality.ROUNDS + 1):
+        rounds.append(f"""s{k} AS MATERIALIZED (SELECT rule, sum(good) AS g, sum(n - good) AS b, sum(good) FILTER (vote = 1) AS g1, sum(good) FILTER (vote = -1) AS g0, sum(n - good) FILTER (vote = -1) AS b0, sum(n - good) FILTER (vote = 1) AS b1
+  FROM (SELECT unnest(votes) AS vote, generate_subscripts(votes, 1) AS rule, n, n * p AS good FROM (SELECT votes, n, {probability} AS p FROM pattern CROSS JOIN m{k - 1}) x) y GROUP BY rule),
+r{k} AS (SELECT rule, {share("g", "b", begun * quality.PRIOR, begun)} AS prior, {share("b0", "b1", begun * quality.BAD, begun)} AS bad, {share("g1", "g0", begun * quality.GOOD, begun)} AS good FROM s{k}),
+m{k} AS MATERIALIZED (SELECT list_concat([min(ln(prior / (1 - prior))) FILTER (rule = 1)], flatten(list([ln((1 - good) / bad), 0, ln(good / (1 - bad))] ORDER BY rule))) AS w FROM (SELECT rule, prior, bad, greatest(1 - bad, good) AS good FROM r{k}) x)""")
+    return f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text, {WORDS(c="coalesce(text, '')")} AS words,
+  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM documents),
+spot AS (SELECT row, i, array_to_string(words[i:i + 2], ' ') AS three FROM (SELECT row, words, unnest(range(1, len(words) - 1)) AS i FROM d WHERE len(words) > 2) x),
+often AS (SELECT row, three FROM spot GROUP BY row, three HAVING count(*) > 1),
+again AS (SELECT row, count(DISTINCT place) AS n FROM (SELECT spot.row, unnest([i, i + 1, i + 2]) AS place FROM spot JOIN often ON spot.row = often.row AND spot.three = often.three) x GROUP BY row),
+f AS MATERIALIZED (SELECT d.row, doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars, CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+  CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, coalesce(again.n, 0) AS n_repeat_words, len(lines) AS n_lines,
+  len(list_filter(lines, lambda x: regexp_matches(x, '[.!?\\x22][\\x20\\x09-\\x0D]*\\z'))) AS n_ended, length(regexp_replace(text, '[\\pL\\pN\\x20\\x09-\\x0D]+', '', 'g')) AS n_marks,
+  len(list_distinct(words)) AS n_distinct, length(regexp_replace(text, '[^A-Z]+', '', 'g')) AS n_capitals FROM d LEFT JOIN again ON d.row = again.row),
+voted AS MATERIALIZED (SELECT *, [{rules}] AS votes FROM f),
+pattern AS MATERIALIZED (SELECT votes, CAST(count(*) AS DOUBLE) AS n FROM voted GROUP BY votes),
+{(","+chr(10)).join(rounds)}
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, round(p, 6) AS quality, NOT base_failed AND round(p, 6) >= 0.5 AS kept
+FROM (SELECT *, {quality.BASE_FAILED} AS base_failed, {probability} AS p FROM voted CROSS JOIN m{k}) x
+"""
+
+
+ORACLES["op11_quality_rules"] = _quality_sql()
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_P = "1 + CAST(CAST(1000000000 AS HUGEINT) * ({0} + 2) // ({1} + 2 * v) AS BIGINT)".format
+_APART = "(p - q) * (p - q) // (p + q)"
+ORACLES["op12_source_divergence"] = f"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_LOWER} AS text FROM documents),
+seen AS (SELECT row, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term FROM seen GROUP BY lang, term HAVING count(DISTINCT row) >= 10),
+c AS (SELECT lang, source, term, count(*) AS n FROM seen GROUP BY lang, source, term),
+cell AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n FROM (SELECT DISTINCT lang, source FROM d) g JOIN kept k ON g.lang = k.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+share AS (SELECT lang, source, term, n, {_P("n", "total")} AS p, {_P("whole", "everything")} AS q FROM (
+  SELECT *, sum(n) OVER (PARTITION BY lang, source) AS total, sum(n) OVER (PARTITION BY lang, term) AS whole, sum(n) OVER (PARTITION BY lang) AS everything, count(*) OVER (PARTITION BY lang, source) AS v FROM cell) x),
+pair AS (SELECT a.lang, a.source, b.source AS item, sum({_APART}) AS value FROM (SELECT lang, source, term, p FROM share) a JOIN (SELECT lang, source, term, p AS q FROM share) b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+best AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value FROM (SELECT DISTINCT lang, source FROM d) a JOIN (SELECT DISTINCT lang, source FROM d) b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, CAST({_APART} AS BIGINT) FROM share WHERE n > 0 AND p > q)
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM best) x WHERE part = 'pair' OR rank <= 10
+"""
+ORACLES["op13_collocations"] = f"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM piece),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase FROM w CROSS JOIN (VALUES (1), (2), (3)) s(k) WHERE len(w) >= k),
+f AS MATERIALIZED (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, count(*) AS a FROM g GROUP BY lang, k, phrase),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT * FROM f WHERE k > 1 AND a >= 10),
+cut AS (SELECT c.lang, c.phrase, c.a, l.a AS l, r.a AS r, c.j, CAST(CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(l.a AS HUGEINT) * r.a) AS BIGINT) AS score FROM (SELECT *, unnest(range(1, k)) AS j FROM cand) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:j], ' ') JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[j + 1:], ' ')),
+scored AS (SELECT lang, phrase, a, l, r, score FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS rn FROM cut) x WHERE rn = 1),
+longer AS (SELECT lang, phrase, max(a) AS a FROM (SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a FROM cand WHERE k = 3 UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM cand WHERE k = 3) x GROUP BY lang, phrase)
+SELECT lang, CAST(rank AS INTEGER) AS rank, phrase, a, l, r, n, score FROM (
+  SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, s.a DESC, s.phrase) AS rank, s.phrase, s.a, l, r, n.n, score FROM scored s JOIN n ON n.lang = s.lang LEFT JOIN longer ON longer.lang = s.lang AND longer.phrase = s.phrase
+  WHERE longer.a IS NULL OR 100 * longer.a < 50 * s.a) x WHERE rank <= 2000
+"""
