@@ -223,10 +223,10 @@ def site_pages(accounts: DataFrame, pages: DataFrame, paths=params.SITE_PATHS) -
     return first.select("account_key", "p.*", "final_url")
 
 
-def fetch_outcome(pages: DataFrame) -> DataFrame:
-    """Per host: success if a page is usable, else blocked with its first marker, else unavailable.
+def fetch_outcome(pages: DataFrame, by: str = "host", nothing: str = "no_public_html") -> DataFrame:
+    """Per host (or another column): success if a page is usable, else blocked with its first marker, else unavailable.
 
     pages: host, page_id, usable, marker.
     """
-    grouped = pages.groupBy("host").agg(F.bool_or("usable").alias("ok"), F.min_by("marker", F.when(F.col("marker").isNotNull(), F.col("page_id"))).alias("marker"))
-    return grouped.select("host", F.when(F.col("ok"), "success").when(F.col("marker").isNotNull(), "blocked").otherwise("unavailable").alias("fetch_status"), F.when(~F.col("ok"), F.coalesce("marker", F.lit("no_public_html"))).alias("reason"))
+    grouped = pages.groupBy(by).agg(F.bool_or("usable").alias("ok"), F.min_by("marker", F.when(F.col("marker").isNotNull(), F.col("page_id"))).alias("marker"))
+    return grouped.select(by, F.when(F.col("ok"), "success").when(F.col("marker").isNotNull(), "blocked").otherwise("unavailable").alias("fetch_status"), F.when(~F.col("ok"), F.coalesce("marker", F.lit(nothing))).alias("reason"))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import params
 from ..functions.exprs import any_of, cooldown_over, is_blank, stable_id
+from .ranking import top_per_key
 
 
 def not_personal() -> Column:
@@ -72,14 +73,16 @@ def claimable(as_of: Column, reclaim_expired: bool = True) -> Column:
 def batch(items: DataFrame, size: int | Mapping[str, int], as_of: Column, reclaim_expired: bool = True) -> DataFrame:
     """The next ``size`` items of every task type in one pass: by priority, age and id.
 
-    With a mapping every task type has a size of its own, 0 if it is not listed.
+    With a mapping every task type has a size of its own, 0 if it is not listed. The ranking is cut at the largest size,
+    a constant, so that no task type is sorted whole in one task.
     """
-    if not isinstance(size, int):
-        most = F.coalesce(*[F.when(F.col("task_type") == t, n) for t, n in size.items()], F.lit(0))
-    else:
-        most = F.lit(size)
-    order = Window.partitionBy("task_type").orderBy(F.col("priority").desc(), F.col("created_at").asc_nulls_first(), "work_item_id")
-    return items.where(claimable(as_of, reclaim_expired)).withColumn("position", F.row_number().over(order)).where(F.col("position") <= most)
+    open_items = items.where(claimable(as_of, reclaim_expired))
+    order = [F.col("priority").desc(), F.col("created_at").asc_nulls_first(), F.col("work_item_id")]
+    if isinstance(size, int):
+        return top_per_key(open_items, ["task_type"], order, size, "position", ["work_item_id"])
+    wanted = {t: n for t, n in size.items() if n > 0}
+    first = top_per_key(open_items.where(F.col("task_type").isin(*wanted)), ["task_type"], order, max(wanted.values(), default=0), "position", ["work_item_id"])
+    return first.where(F.col("position") <= F.coalesce(*[F.when(F.col("task_type") == t, n) for t, n in wanted.items()], F.lit(0)))
 
 
 def extraction_batch(accounts: DataFrame, relationships: DataFrame, size: int) -> DataFrame:

@@ -239,22 +239,33 @@ _ROOFTOP = " OR ".join(f"(contains({_LABEL}, {quoted(w)}) AND {_LABEL} <> {quote
 EVIDENCE = f"""SELECT a.account_key, p.source_url, lower(concat_ws(' ', a.account_key, coalesce(account_name, ''), coalesce(inferred_brand, ''), p.source_url, substr(p.text, 1, 12000),
  CASE WHEN {_word('a.account_key', params.BRAND_WORDS)} THEN 'account_key_brand_hint' ELSE '' END, CASE WHEN p.inventory_link THEN 'inventory_page_detected' ELSE '' END, CASE WHEN p.refused_page THEN 'blocked_site' ELSE '' END)) AS e
  FROM accounts_v a LEFT JOIN account_pages_v p ON a.account_key = p.account_key"""
-SIGNALS = f"""SELECT *, {_listed('h', params.VENDOR_HOSTS)} AS vendor_host, {MAKER(h='h')} AS oem_host, {_listed('told', params.VENDOR_HOSTS)} AS told_vendor_host, {MAKER(h='told')} AS told_oem_host, {_matches('e', params.VENDOR_PATTERNS)} AS vendor, {_matches('e', params.NON_DEALER_PATTERNS)} AS non_dealer,
+
+
+def signals_sql(evidence: str) -> str:
+    """The signals of rows (source_url, e)."""
+    return f"""SELECT *, {_listed('h', params.VENDOR_HOSTS)} AS vendor_host, {MAKER(h='h')} AS oem_host, {_listed('told', params.VENDOR_HOSTS)} AS told_vendor_host, {MAKER(h='told')} AS told_oem_host, {_matches('e', params.VENDOR_PATTERNS)} AS vendor, {_matches('e', params.NON_DEALER_PATTERNS)} AS non_dealer,
  {_matches('e', params.GROUP_PATTERNS)} AS group_words, {_matches('e', params.DEALER_PATTERNS)} AS dealer_words, {_matches('e', params.INDUSTRY_PATTERNS)} AS industry, {_matches('e', params.OEM_PATTERNS)} AS oem_words,
  {_matches('e', params.CONTEXT_PATTERNS)} AS context, {_word('e', params.BRAND_WORDS)} AS brand, {_word('e', params.INDEPENDENT_WORDS)} AS independent,
  {_token(f"regexp_matches(t, {quoted(_ALIAS)})")} AS alias_domain, {_token(f"{has_any('t', params.BRAND_WORDS)} AND {has_any('t', params.DOMAIN_WORDS)}")} AS brand_domain,
  {_token(f"NOT {_listed(_BARE_HOST, params.VENDOR_HOSTS)} AND NOT {MAKER(h=_BARE_HOST)} AND ({_ROOFTOP})")} AS rooftop_domain,
  contains(e, 'account_key_brand_hint') AS key_hint, contains(e, 'inventory_page_detected') AS inventory, contains(e, 'blocked_site') AS refused, {has_any('e', params.SHOPPING_WORDS)} AS shopping,
  {has_any('h', params.VENDOR_HOST_WORDS)} AS vendor_host_word, {has_any('e', params.TITLE_WORDS)} AND contains(e, 'dealership') AS title_work, {has_any('e', params.SPECIALTY_WORDS)} AS specialty, {has_any('h', params.CARE_HOST_WORDS)} AS care_host
- FROM (SELECT *, {HOST(c="source_url")} AS h, {HOST(c="regexp_extract(e, 'https?://[^" + chr(92) + "s]+', 0)")} AS told, regexp_extract_all(e, '[a-z0-9.-]+\\.[a-z]{{2,}}') AS tokens FROM ({EVIDENCE}) v) w"""
+ FROM (SELECT *, {HOST(c="source_url")} AS h, {HOST(c="regexp_extract(e, 'https?://[^" + chr(92) + "s]+', 0)")} AS told, regexp_extract_all(e, '[a-z0-9.-]+\\.[a-z]{{2,}}') AS tokens FROM ({evidence}) v) w"""
+
+
+SIGNALS = signals_sql(EVIDENCE)
 
 
 def _case(values) -> str:
     return "CASE " + " ".join(f"WHEN {rule} THEN {value}" for rule, value in values) + " END"
 
 
-DECIDED = f"""SELECT account_key, CAST({_case((r, k + 1) for k, (r, _, _) in enumerate(C.RULES))} AS INTEGER) AS rule_id, {_case((r, quoted(label)) for r, label, _ in C.RULES)} AS classification,
- CAST({_case((r, score) for r, _, score in C.RULES)} AS DOUBLE) AS confidence FROM ({SIGNALS}) s"""
+def decided_sql(signals: str) -> str:
+    return f"""SELECT account_key, CAST({_case((r, k + 1) for k, (r, _, _) in enumerate(C.RULES))} AS INTEGER) AS rule_id, {_case((r, quoted(label)) for r, label, _ in C.RULES)} AS classification,
+ CAST({_case((r, score) for r, _, score in C.RULES)} AS DOUBLE) AS confidence FROM ({signals}) s"""
+
+
+DECIDED = decided_sql(SIGNALS)
 
 
 def told(spark, root):

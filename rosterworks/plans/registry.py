@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import normalize, pages, report, sites, work  # noqa: F401
+from . import cycle, normalize, pages, report, sites, work  # noqa: F401
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

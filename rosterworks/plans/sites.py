@@ -9,14 +9,13 @@ from pyspark.sql import functions as F
 
 from .. import params
 from ..functions import exprs as X
-from ..operators import cycle as Y
 from ..operators import enrich as E
 from ..operators import pages as P
 from ..operators import people as H
 from ..sources.views import view
-from .base import NOW, now, query
-from .pages import PRIORITY, has_any, quoted
-from .work import OPEN, SEEDS, accounts
+from .base import query
+from .pages import PRIORITY, quoted
+from .work import accounts
 
 K = "page_id"
 TITLE = f"'Acct' || {K} || CASE WHEN {K} % 2 = 0 THEN ' Honda' ELSE '' END"
@@ -190,46 +189,3 @@ def apply_enrichment(spark, root):
     home = found.select("account_key", F.col("name_source_url").alias("website_url"), F.lit(0.95).alias("website_confidence_score"))
     columns = ["account_key", "account_name", "inferred_brand", "account_city", "account_state", "brand_confidence", "website_url", "website_source_url", "website_confidence_score", "confidence_score", "source_type"]
     return E.apply_enrichment(stored, found, home).select(*columns)
-
-
-# One cycle -------------------------------------------------------------------------------------
-
-SIZE = "CASE task_type WHEN 'validate' THEN 50 WHEN 'enrich' THEN 25 WHEN 'extract_contacts' THEN 25 ELSE 10 END"
-PICKED = f"SELECT work_item_id FROM (SELECT *, row_number() OVER (PARTITION BY task_type ORDER BY priority DESC, created_at NULLS FIRST, work_item_id) AS position FROM ({{items}}) i WHERE {OPEN}) b WHERE position <= {SIZE}"
-SEEDED = f"""SELECT CAST(work_item_id AS VARCHAR) AS work_item_id, account_key, task_type, status, priority, next_attempt_at, lease_expires_at, created_at FROM work_items_v
- UNION ALL SELECT sha256(s.task_type || '|' || s.account_key), s.account_key, s.task_type, 'pending', s.priority, {NOW}, NULL, {NOW} FROM ({SEEDS}) s WHERE NOT EXISTS (SELECT 1 FROM work_items_v w WHERE w.task_type = s.task_type AND w.account_key = s.account_key)"""
-
-
-@query(
-    "work_items",
-    f"""SELECT w.task_type, count(*) FILTER (status = 'pending') AS pending, count(*) FILTER (status = 'in_progress') AS in_progress, count(*) FILTER (status = 'completed') AS completed, count(*) FILTER (status = 'failed') AS failed, count(p.work_item_id) AS claimable
- FROM work_items_v w LEFT JOIN ({PICKED.format(items='SELECT * FROM work_items_v')}) p ON w.work_item_id = p.work_item_id GROUP BY w.task_type""",
-)
-def cycle_preview(spark, root):
-    return Y.preview(view(spark, root, "work_items"), as_of=now())
-
-
-def cycled(spark, root):
-    """The tables after one cycle over the sites."""
-    seen = features(spark, root).withColumn("page_ord", F.lit(0))
-    contacts = view(spark, root, "contacts").withColumns({c: F.lit(None).cast("string") for c in ("role_type", "source_url", "source_type")})
-    return Y.run_cycle(accounts(spark, root), contacts, view(spark, root, "relationships"), view(spark, root, "work_items"), seen, now())
-
-
-@query(
-    "accounts work_items",
-    f"""SELECT s.work_item_id, s.account_key, s.task_type, CASE WHEN p.work_item_id IS NULL THEN s.status ELSE 'completed' END AS status, s.priority, CASE WHEN p.work_item_id IS NULL THEN s.lease_expires_at END AS lease_expires_at, CASE WHEN p.work_item_id IS NOT NULL THEN {NOW} END AS completed_at
- FROM ({SEEDED}) s LEFT JOIN ({PICKED.format(items=SEEDED)}) p ON s.work_item_id = p.work_item_id""",
-)
-def cycle_items(spark, root):
-    return cycled(spark, root)["work_items"].select("work_item_id", "account_key", "task_type", "status", "priority", "lease_expires_at", "completed_at")
-
-
-@query(
-    "accounts work_items sites",
-    f"""SELECT a.account_key, CASE WHEN t.account_key IS NULL THEN a.account_name ELSE coalesce(p.name, a.account_name) END AS account_name, CASE WHEN t.account_key IS NULL THEN a.inferred_brand ELSE coalesce(p.brand, a.inferred_brand) END AS inferred_brand
- FROM accounts_v a LEFT JOIN (SELECT DISTINCT s.account_key FROM ({SEEDED}) s JOIN ({PICKED.format(items=SEEDED)}) p ON s.work_item_id = p.work_item_id WHERE s.task_type = 'enrich') t ON a.account_key = t.account_key
- LEFT JOIN ({TOLD}) p ON a.account_key = p.account_key""",
-)
-def cycle_accounts(spark, root):
-    return cycled(spark, root)["accounts"].select("account_key", "account_name", "inferred_brand")

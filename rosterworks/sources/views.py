@@ -130,6 +130,20 @@ SELECT c_custkey AS page_id, concat(CASE c_custkey % 4 WHEN 0 THEN 'honda-town'
  CAST(CASE WHEN c_custkey % 5 = 0 THEN 403 ELSE 200 END AS INT) AS status_code,
  CASE WHEN c_custkey % 7 = 0 THEN 'https://elsewhere.example/honda/vehicle' WHEN c_custkey % 7 = 1 THEN 'https://elsewhere.example/' ELSE concat('https://', CASE c_custkey % 4 WHEN 0 THEN 'honda-town' WHEN 1 THEN 'smith-autos' WHEN 2 THEN 'plain' ELSE 'jeepland' END, CAST(c_custkey AS STRING), '.example.net/all-used') END AS final_url
 FROM {customer}""",
+    "visits": """
+SELECT k * 10 + p AS page_id, concat('acct', CAST(k AS STRING), '.example.net') AS account_key,
+ CASE p WHEN 0 THEN CASE WHEN k % 5 = 0 THEN concat('http://acct', CAST(k AS STRING), '.example.net') ELSE concat('https://acct', CAST(k AS STRING), '.example.net/') END WHEN 1 THEN concat(base, 'meet-our-staff') ELSE concat(base, 'new-inventory') END AS url,
+ CAST(CASE WHEN p = 0 AND k % 4 = 1 OR p = 1 AND k % 8 = 1 OR p = 2 AND k % 4 = 1 THEN 403 WHEN k % 11 = 0 AND p < 2 THEN 404 ELSE 200 END AS INT) AS status_code,
+ CASE p WHEN 0 THEN base WHEN 1 THEN concat(base, 'meet-our-staff') ELSE concat(base, 'new-inventory') END AS final_url,
+ CASE WHEN p = 2 OR k % 11 = 0 AND NOT (p = 0 AND k % 4 = 1) THEN NULL WHEN p = 1 AND k % 8 = 1 THEN '<p>Access Denied</p>'
+  WHEN p = 1 THEN concat('<html><head><title>Staff of Acct', CAST(k AS STRING), '</title></head><body><div><p>', chr(CAST(65 + k % 26 AS INT)), 'ames ', chr(CAST(65 + k * 7 % 26 AS INT)), 'mith, ', CASE k % 3 WHEN 0 THEN 'General Manager' WHEN 1 THEN 'Sales Manager' ELSE 'Gardener' END,
+   '</p><a href="mailto:boss', CAST(k AS STRING), '@acct', CAST(k AS STRING), '.example.net">Mail</a> <span>glad to hear from you at any hour</span></div></body></html>')
+  ELSE concat('<html><head><title>Acct', CAST(k AS STRING), ' Welcome</title></head><body><p>', said, '<p><a href="', CASE WHEN k % 6 = 2 THEN '/inventory/new' ELSE '/map' END, '">Look</a></body></html>') END AS html,
+ CASE WHEN k % 11 = 0 AND k % 4 <> 1 THEN '' ELSE concat('Acct', CAST(k AS STRING), ' Welcome   Acct', CAST(k AS STRING), ' Welcome ', said, ' Look') END AS shown
+FROM (SELECT c_custkey AS k, concat('https://acct', CAST(c_custkey AS STRING), '.example.net/', CASE c_custkey % 3 WHEN 0 THEN 'honda/' WHEN 1 THEN 'autos/' ELSE '' END) AS base,
+  CASE WHEN c_custkey % 4 = 1 THEN 'Access Denied. Vehicles of all kinds' ELSE CASE c_custkey % 10 WHEN 0 THEN 'Cox Automotive software for dealers' WHEN 2 THEN 'Family medical clinic' WHEN 3 THEN 'Smith Auto Group new inventory' WHEN 4 THEN 'See www.hondasales.com for offers'
+   WHEN 6 THEN 'Vehicle wraps and more' WHEN 7 THEN 'Used vehicles, car lot' WHEN 8 THEN 'Ford truck finance' ELSE 'Nothing here' END END AS said FROM {customer}) c
+ CROSS JOIN (SELECT 0 AS p UNION ALL SELECT 1 AS p UNION ALL SELECT 2 AS p) n WHERE p < 2 OR k % 2 = 1""",
     "page_rows": """
 SELECT page_id, url, html, 200 AS status_code, url AS final_url FROM {pages}""",
 }
