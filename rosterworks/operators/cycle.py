@@ -183,6 +183,7 @@ def write_cycle(spark: SparkSession, folder: str, pages: DataFrame, as_of: Colum
     """
     tables = {t: store.read(spark, folder, t).drop(store.PART) for t in ("accounts", "contacts", "relationships", "work_items")}
     changes = cycle_changes(tables["accounts"], tables["contacts"], tables["relationships"], tables["work_items"], pages, as_of, sizes)
+    changes = {t: store.staged(rows, f"{t}-changes") for t, rows in changes.items()}  # they read what is about to be rewritten
     keys = {t: ["work_item_id"] if t == "work_items" else list(KEYS[t]) for t in tables}
     counts = {t: store.upsert(folder, t, changes[t], keys=keys[t], parts=parts) for t in tables}
     counts["runs"] = {"inserted": store.append(folder, "runs", changes["runs"])}

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import merge as M
 from ..operators import rollups as R
+from ..sources import store
 
 MERGES = (
     ("accounts", R.account_rollup, ("account_id",), M.ACCOUNT_RULES),
@@ -19,38 +20,46 @@ MERGES = (
 
 
 def current(spark: SparkSession, folder: str, table: str) -> DataFrame | None:
-    """The newest whole snapshot of a table, by batch number; None before the first."""
+    """The table as the merged batches have left it; None before the first."""
     try:
-        log = spark.read.option("recursiveFileLookup", "true").schema("batch bigint").json(f"{folder}/{table}_log")
+        return spark.read.parquet(f"{folder}/{table}").drop(store.PART)
     except Exception as error:
         if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
             raise
         return None
-    last = log.agg(F.max("batch")).first()[0]
-    return None if last is None else spark.read.parquet(f"{folder}/{table}/batch={last}")
 
 
-def merge_batch(folder: str, as_of: Column) -> Callable[[DataFrame, int], None]:
+def _merged_before(spark: SparkSession, log: str) -> bool:
+    try:
+        return spark.read.schema("batch bigint").json(log).first() is not None
+    except Exception as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return False
+
+
+def merge_batch(folder: str, as_of: Column, parts: int = store.PARTS) -> Callable[[DataFrame, int], dict]:
     """A foreachBatch function: merges a batch of raw contacts into the three tables below ``folder``.
 
-    Each batch writes a new snapshot folder and then a log line that names it, so a batch that is
-    replayed after a failure overwrites its own snapshot and changes nothing else.
+    Only the partitions that the batch's keys fall into are read and written. A log line closes each table's merge: a replayed
+    batch skips tables that have it, and one that broke off before it is merged again, which changes nothing that was done.
+    Returns what became of the rows of each table.
     """
 
-    def run(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
+    def run(batch: DataFrame, number: int) -> dict:
+        spark, counts = batch.sparkSession, {}
         rows = R.normalized(batch, as_of).persist()
         try:
             for table, rollup, keys, rules in MERGES:
-                seen = None
-                if number > 0:
-                    seen = current(spark, folder, table)
+                log = f"{folder}/{table}_log/batch_{number}"
+                if _merged_before(spark, log):
+                    continue
                 source = rollup(rows, as_of)
-                merged = source if seen is None else M.merge_upsert(seen, source, list(keys), rules)
-                merged.write.mode("overwrite").parquet(f"{folder}/{table}/batch={number}")
-                spark.createDataFrame([(number,)], "batch bigint").coalesce(1).write.mode("overwrite").json(f"{folder}/{table}_log/batch_{number}")
+                counts[table] = store.upsert(folder, table, source, rules, keys, parts, source.schema)
+                spark.createDataFrame([(number,)], "batch bigint").coalesce(1).write.mode("overwrite").json(log)
         finally:
             rows.unpersist()
+        return counts
 
     return run
 
@@ -58,7 +67,7 @@ def merge_batch(folder: str, as_of: Column) -> Callable[[DataFrame, int], None]:
 def normalize_landed(spark: SparkSession, landing: str, folder: str, schema, as_of: Column) -> StreamingQuery:
     """Merge all contact files that have landed and stop: the periodic job of the library."""
     stream = spark.readStream.schema(schema).parquet(landing)
-    return stream.writeStream.foreachBatch(merge_batch(folder, as_of)).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
+    return stream.writeStream.foreachBatch(lambda batch, number: merge_batch(folder, as_of)(batch, number) and None).option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
 
 
 def running_status(attempts: DataFrame) -> DataFrame:
