@@ -147,7 +147,7 @@ def cycle_changes(accounts: DataFrame, contacts: DataFrame, relationships: DataF
     listed = homes.select("account_key", F.col("source_url").alias("url")).join(listed.select("url", "target", "rank"), "url").select("account_key", F.col("rank").alias("page_ord"), _rooted(F.col("target")).alias("url"))
     reached = listed.join(met, "url").select("account_key", "page_ord", "page_id", "final_url").unionByName(usable.select("account_key", F.lit(0).alias("page_ord"), "page_id", F.col("source_url").alias("final_url")))
     reached = reached.groupBy("account_key", "final_url").agg(F.min(F.struct("page_ord", "page_id")).alias("p")).select("account_key", "p.*")
-    on_pages = reached.join(chosen("extract_contacts"), "account_key", "left_semi").join(seen.select("page_id", F.col("final_url").alias("url"), "email_contexts"), "page_id")
+    on_pages = reached.join(chosen("extract_contacts"), "account_key", "left_semi").join(seen.select("page_id", F.col("final_url").alias("url"), "email_contexts", "text"), "page_id")
     best = people.best_candidates(people.page_candidates(on_pages, mine))
     fresh = people.as_contacts(best)
     old = contacts.join(F.broadcast(fresh.select("contact_id").distinct()), "contact_id", "left_semi")

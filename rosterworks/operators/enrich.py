@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,10 +39,23 @@ def page_name(json_ld: Column, site_name: Column, title: Column) -> Column:
     return F.coalesce(_valued(clean_title(json_name(json_ld)), 0.95), _valued(clean_title(site_name), 0.90), _valued(clean_title(title), 0.78))
 
 
+def least_word(text: Column, words: Sequence[str]) -> Column:
+    """The place in the list (from 0) of the first listed word that stands in the text; null if none does.
+
+    One scan meets every word, also those that overlap: the pattern looks ahead without moving, at each place for the longest
+    word. A shorter one that the longest begins with stands there too, so a hit counts as the least of these.
+    """
+    begins = lambda short, word: word == short or re.match(rf"{re.escape(short)}\b", word)
+    least = {w: min(k for k, short in enumerate(words) if begins(short, w)) for w in words}
+    longest = "|".join(re.escape(w) for w in sorted(words, key=len, reverse=True))
+    hits = F.regexp_extract_all(text, F.lit(rf"\b(?=({longest})\b)"), F.lit(1))
+    ranks = F.create_map(*[F.lit(x) for pair in least.items() for x in pair])
+    return F.array_min(F.transform(hits, lambda w: F.element_at(ranks, w)))
+
+
 def brand_in(text: Column, brands: dict[str, str] = params.BRANDS) -> Column:
-    """The first brand of the list whose word is in the text."""
-    lower = F.lower(text)
-    return F.coalesce(*[F.when(lower.rlike(rf"\b{word}\b"), F.lit(name)) for word, name in brands.items()])
+    """The first brand of the list whose word is in the text: one scan."""
+    return F.get(F.array(*map(F.lit, brands.values())), least_word(F.lower(text), list(brands)))
 
 
 def page_brand(name: Column, title: Column, site_name: Column, description: Column, url: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -23,105 +24,168 @@ LEVELS, LEAST_CONTEXT = 5, 40
 
 FEATURES = (
     "page_id bigint, url string, title string, meta_description string, og_site_name string, text string,"
-    " anchors array<struct<pos:int,href:string,text:string>>, json_ld array<string>, email_contexts array<struct<pos:int,email:string,context:string>>"
+    " anchors array<struct<pos:int,href:string,text:string>>, json_ld array<string>, email_contexts array<struct<pos:int,email:string,start:int,length:int>>"
 )
+_PARSED = ("title", "meta_description", "og_site_name", "text", "anchors", "json_ld", "email_contexts")
 
 
 class _Node:
-    __slots__ = ("tag", "attrs", "parent", "parts")
+    """An element, with the stretch of the page's pieces of text that lies inside it."""
 
-    def __init__(self, tag: str, attrs: dict[str, str], parent: _Node | None) -> None:
-        self.tag, self.attrs, self.parent, self.parts = tag, attrs, parent, []
+    __slots__ = ("tag", "attrs", "parent", "start", "end", "own")
 
-    def text(self) -> str:
-        """Visible text below the node, in document order, joined by spaces."""
-        out, stack = [], [iter(self.parts)]
-        while stack:
-            part = next(stack[-1], None)
-            if part is None:
-                stack.pop()
-            elif isinstance(part, str):
-                if bare := part.strip():
-                    out.append(bare)
-            elif part.tag not in _SILENT:
-                stack.append(iter(part.parts))
-        return " ".join(out)
+    def __init__(self, tag: str, attrs: dict[str, str], parent: _Node | None, start: int) -> None:
+        self.tag, self.attrs, self.parent, self.start, self.end = tag, attrs, parent, start, start
+        self.own = [] if tag in _SILENT else None
 
 
 class _Tree(HTMLParser):
-    """Builds nodes; an end tag closes the nearest open node of its name, unknown ones are ignored."""
+    """Reads a page in one pass; an end tag closes the nearest open node of its name, unknown ones are ignored.
+
+    Visible text is a list of stripped pieces. A node knows where its pieces begin and end, so the length of
+    any node's text is a difference of two sums, and only texts that are asked for are put together.
+    """
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.root = self.now = _Node("", {}, None)
-        self.nodes, self.texts = [], []
+        self.root = self.now = _Node("", {}, None, 0)
+        self.nodes, self.pieces, self.sums, self.mailed = [], [], [0], []
+        self.open = Counter()
 
     def handle_starttag(self, tag, attrs):
-        node = _Node(tag, {k: v or "" for k, v in attrs}, self.now)
-        self.now.parts.append(node)
+        node = _Node(tag, {k: v or "" for k, v in attrs}, self.now, len(self.pieces))
         self.nodes.append(node)
         if tag not in _VOID:
             self.now = node
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
         if tag not in _VOID:
-            self.now = self.now.parent
+            self._leave()
 
     def handle_endtag(self, tag):
-        node = self.now
-        while node is not None and node.tag != tag:
-            node = node.parent
-        if node is not None and node.parent is not None:
-            self.now = node.parent
-
-    def handle_data(self, data):
-        self.now.parts.append(data)
-        self.texts.append((self.now, data))
-
+        if self.open[tag]:
+            while self.now.tag != tag:
+                self._leave()
+            self._leave()
 
-def _nearby(node: _Node | None, fallback: str) -> str:
-    """The text of the nearest of five nodes upwards that has at least 40 characters."""
-    for _ in range(LEVELS):
-        if node is None:
-            break
-        text = node.text()
-        if len(text) >= LEAST_CONTEXT:
-            return text
-        node = node.parent
-    return fallback
+    def _leave(self):
+        self.now.end = len(self.pieces)
+        self.open[self.now.tag] -= 1
+        self.now = self.now.parent
 
-
-def parse_page(html: str) -> dict:
-    """The features of one page; an empty page has empty ones."""
+    def handle_data(self, data):
+        if self.now.own is not None:
+            self.now.own.append(data)
+            return
+        if bare := data.strip():
+            self.pieces.append(bare)
+            self.sums.append(self.sums[-1] + len(bare) + 1)
+            if "@" in bare:
+                self.mailed.append((self.now, len(self.pieces) - 1))
+
+    def close(self):
+        super().close()
+        while self.now is not self.root:
+            self._leave()
+        self.root.end = len(self.pieces)
+
+    def span(self, start: int, end: int) -> tuple[int, int]:
+        """Where pieces start to end stand in the page's text: first character and length."""
+        return self.sums[start], max(0, self.sums[end] - self.sums[start] - 1)
+
+    def text(self, node: _Node) -> str:
+        """Visible text below the node, in document order, joined by spaces."""
+        return " ".join(self.pieces[node.start : node.end])
+
+    def nearby(self, node: _Node | None, fallback: tuple[int, int]) -> tuple[int, int]:
+        """The span of the nearest of five nodes upwards that has at least 40 characters."""
+        for _ in range(LEVELS):
+            if node is None:
+                break
+            span = self.span(node.start, node.end)
+            if span[1] >= LEAST_CONTEXT:
+                return span
+            node = node.parent
+        return fallback
+
+
+_LEFT, _RIGHT = re.compile(r"[A-Z0-9._%+\-]*\Z", re.IGNORECASE), re.compile(r"@[A-Z0-9.\-]+\.[A-Z]{2,}", re.IGNORECASE)
+_WIDE = 256
+
+
+def first_email(text: str) -> str | None:
+    """The first address in a text; looks around each @ alone, so that long runs without one cost nothing."""
+    at = text.find("@")
+    while at >= 0:
+        if _RIGHT.match(text, at):
+            wide = _WIDE
+            while (start := _LEFT.search(text[max(0, at - wide) : at]).start()) == 0 and wide < at:
+                wide *= 4
+            if match := _EMAIL.search(text, max(0, at - wide) + start):
+                return match[1]
+        at = text.find("@", at + 1)
+    return None
+
+
+def _distinct(text: str, mails: list[tuple[str, tuple[int, int]]]) -> list[tuple[str, tuple[int, int]]]:
+    """Addresses with their spans, each pair of address and context once, the first one."""
+    met: dict[tuple[str, int], tuple[set[int], set[str]]] = {}
+    kept = []
+    for email, (start, length) in mails:
+        starts, texts = met.setdefault((email, length), (set(), set()))
+        if start in starts:
+            continue
+        if starts:
+            # Only now texts are cut: different nodes with texts of one length lie apart, so together they are no longer than the page.
+            if not texts:
+                texts.update(text[k : k + length] for k in starts)
+            if text[start : start + length] in texts:
+                continue
+            texts.add(text[start : start + length])
+        starts.add(start)
+        kept.append((email, (start, length)))
+    return kept
+
+
+def parse_spans(html: str) -> dict:
+    """The features of one page, contexts of addresses as spans of its text; time and memory grow with the page alone."""
     tree = _Tree()
     tree.feed(html)
     tree.close()
     meta = lambda key, name: next((n.attrs["content"] for n in tree.nodes if n.tag == "meta" and n.attrs.get(key) == name and n.attrs.get("content")), "")
-    title = next((n.text() for n in tree.nodes if n.tag == "title"), "")
+    title = next((tree.text(n) for n in tree.nodes if n.tag == "title"), "")
     anchors = [n for n in tree.nodes if n.tag == "a" and "href" in n.attrs]
-    contexts: dict[tuple[str, str], None] = {}
-    for a in anchors:
-        if match := _MAILTO.search(a.attrs["href"]):
-            contexts[match[1].lower(), _nearby(a.parent, a.text())] = None
-    for node, data in tree.texts:
-        if node.tag not in _SILENT and (match := _EMAIL.search(data)):
-            contexts[match[1].lower(), _nearby(node, data.strip())] = None
+    mails = [(match[1].lower(), tree.nearby(a.parent, tree.span(a.start, a.end))) for a in anchors if (match := _MAILTO.search(a.attrs["href"]))]
+    mails += [(email.lower(), tree.nearby(node, tree.span(k, k + 1))) for node, k in tree.mailed if (email := first_email(tree.pieces[k]))]
+    text = tree.text(tree.root)
     return {
         "title": title,
         "meta_description": meta("name", "description"),
         "og_site_name": meta("property", "og:site_name"),
-        "text": tree.root.text(),
-        "anchors": [{"pos": k, "href": a.attrs["href"].strip(), "text": a.text()} for k, a in enumerate(anchors)],
-        "json_ld": ["".join(p for p in n.parts if isinstance(p, str)) for n in tree.nodes if n.tag == "script" and n.attrs.get("type") == "application/ld+json"],
-        "email_contexts": [{"pos": k, "email": e, "context": c} for k, (e, c) in enumerate(contexts)],
+        "text": text,
+        "anchors": [{"pos": k, "href": a.attrs["href"].strip(), "text": tree.text(a)} for k, a in enumerate(anchors)],
+        "json_ld": ["".join(n.own) for n in tree.nodes if n.tag == "script" and n.attrs.get("type") == "application/ld+json"],
+        "email_contexts": [{"pos": k, "email": e, "start": start, "length": n} for k, (e, (start, n)) in enumerate(_distinct(text, mails))],
     }
 
 
+def parse_page(html: str) -> dict:
+    """The features of one page, contexts of addresses as text; an empty page has empty ones."""
+    page = parse_spans(html)
+    return {**page, "email_contexts": [{"pos": m["pos"], "email": m["email"], "context": page["text"][m["start"] : m["start"] + m["length"]]} for m in page["email_contexts"]]}
+
+
+def with_contexts(mails: Column, text: Column) -> Column:
+    """Addresses of a parsed page with their contexts as text: array<struct<pos, email, context>>."""
+    return F.transform(mails, lambda c: F.struct(c["pos"].alias("pos"), c["email"].alias("email"), F.substring(text, c["start"] + 1, c["length"]).alias("context")))
+
+
 def _features(kept: tuple[str, ...]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            parsed = pd.DataFrame([parse_page(h or "") for h in pdf["html"]], columns=["title", "meta_description", "og_site_name", "text", "anchors", "json_ld", "email_contexts"])
+            parsed = pd.DataFrame([parse_spans(h or "") for h in pdf["html"]], columns=list(_PARSED))
             yield pd.concat([pdf[["page_id", "url"]].reset_index(drop=True), parsed, pdf[list(kept)].reset_index(drop=True)], axis=1)
 
     return run
@@ -230,3 +294,28 @@ def fetch_outcome(pages: DataFrame, by: str = "host", nothing: str = "no_public_
     """
     grouped = pages.groupBy(by).agg(F.bool_or("usable").alias("ok"), F.min_by("marker", F.when(F.col("marker").isNotNull(), F.col("page_id"))).alias("marker"))
     return grouped.select(by, F.when(F.col("ok"), "success").when(F.col("marker").isNotNull(), "blocked").otherwise("unavailable").alias("fetch_status"), F.when(~F.col("ok"), F.coalesce("marker", F.lit(nothing))).alias("reason"))
+
+
+#: A table of so many hosts (of at most 255 bytes each) is broadcast; a larger one is joined by shuffling.
+FEW_HOSTS = 200_000
+
+
+def host_suffixes(host: Column) -> Column:
+    """The host itself and every domain above it: a.b.c, b.c, c."""
+    return F.transform(F.sequence(F.lit(1), F.size(F.split(host, r"\."))), lambda k: F.array_join(F.slice(F.split(host, r"\."), k, F.size(F.split(host, r"\."))), "."))
+
+
+def in_host_table(df: DataFrame, host: Column, hosts: DataFrame, name: str) -> DataFrame:
+    """df with the boolean column ``name``: whether a row's host is in the table (host) or below a host of it.
+
+    Each distinct host is looked up once, by its suffixes, with a hash join; so the list may have millions of entries, and a host
+    that many rows share costs no more than another.
+    """
+    listed = hosts.select(F.lower("host").alias("_suffix")).distinct()
+    if listed.count() <= FEW_HOSTS:
+        listed = F.broadcast(listed)
+    keyed = df.withColumn("_host", F.lower(host))
+    known = keyed.select("_host").distinct()
+    met = known.select("_host", F.explode(host_suffixes(F.col("_host"))).alias("_suffix")).join(listed, "_suffix", "left_semi")
+    met = met.select("_host").distinct().withColumn(name, F.lit(True))
+    return keyed.join(met, "_host", "left").withColumn(name, F.coalesce(name, F.lit(False))).drop("_host")

@@ -5,24 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import PLAIN_NAME, contact_score, email_domain, host_of, person_near, role_of, same_site_domain, split_name, stable_id
+from ..functions.exprs import PLAIN_NAME, any_of, contact_score, email_domain, host_of, person_near, role_of, same_site_domain, split_name, stable_id
+from .pages import with_contexts
 
 
 def page_candidates(features: DataFrame, accounts: DataFrame, name_pattern: str = PLAIN_NAME) -> DataFrame:
     """Contact candidates of pages (account_key, page_ord, url, email_contexts) of accounts (account_key, website_url).
 
-    An address counts if its domain belongs to the account's key, website or page; a candidate needs
+    Contexts are texts, or spans of the column text as parsed pages have them. An address counts if its domain belongs
+    to the account's key, website or page: others are dropped before any context is cut. A candidate needs
     a role and a name near the address; ``name_pattern`` says what a name looks like.
     """
-    seen = features.select("account_key", "page_ord", "url", F.explode("email_contexts").alias("c")).select("account_key", "page_ord", "url", F.col("c.pos").alias("ctx_ord"), F.col("c.email").alias("email"), F.col("c.context").alias("context"))
-    known = seen.join(accounts.select("account_key", "website_url"), "account_key")
+    spans = "start" in features.schema["email_contexts"].dataType.elementType.names
+    known = features.select("account_key", "page_ord", "url", "email_contexts", *(["text"] if spans else [])).join(accounts.select("account_key", "website_url"), "account_key")
+    hosts = {f"_host{k}": host_of(F.col(c)) for k, c in enumerate(("account_key", "website_url", "url"))}
+
+    def own(mail: Column) -> Column:
+        domain = email_domain(mail["email"])
+        return any_of([F.coalesce((F.length(F.col(h)) > 0) & same_site_domain(domain, F.col(h)), F.lit(False)) for h in hosts])
+
+    mails = F.filter("email_contexts", own)
+    seen = known.withColumns(hosts).select("account_key", "page_ord", "url", F.explode(with_contexts(mails, F.col("text")) if spans else mails).alias("c"))
+    known = seen.select("account_key", "page_ord", "url", F.col("c.pos").alias("ctx_ord"), F.col("c.email").alias("email"), F.col("c.context").alias("context"))
     domain = email_domain(F.col("email"))
-    allowed = [host_of(F.col(c)) for c in ("account_key", "website_url", "url")]
-    own = F.lit(False)
-    for host in allowed:
-        own = own | F.coalesce((F.length(host) > 0) & same_site_domain(domain, host), F.lit(False))
     once = lambda c: F.explode(F.array_compact(F.array(c)))  # noqa: E731  (drops nulls; an exploded value is not computed again)
-    named = known.where(own).withColumn("role", once(role_of(F.col("context"))))
+    named = known.withColumn("role", once(role_of(F.col("context"))))
     named = named.withColumn("full_name", once(person_near(F.col("context"), F.col("email"), F.col("role.role_title"), name_pattern)))
     first, last = split_name(F.col("full_name"))
     score = contact_score(F.col("email"), F.col("full_name"), F.col("role.role_title"), F.col("url"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import is_blank, norm_key
+from ..sources import store
 from .work import in_target, missing_field, not_personal, retry_due
 
 OPEN_STATUSES = ("pending", "retry", "in_progress", "completed", "failed")
@@ -142,15 +143,39 @@ def audience(accounts: DataFrame, contacts: DataFrame, relationships: DataFrame,
     return joined.withColumn("_rank", F.row_number().over(order)).where("_rank = 1").drop("_rank")
 
 
-def numbered(df: DataFrame, order: str, name: str, prefix: int = 4) -> DataFrame:
-    """df with a row number from 0 in the order of a text column, without sorting all rows in one task:
-    rows are numbered within equal beginnings of the text, whose counts are summed in order."""
-    start = F.coalesce(F.substring(order, 1, prefix), F.lit(""))
-    counts = df.groupBy(start.alias("_start")).agg(F.count("*").alias("_n"))
-    before = Window.orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    placed = df.withColumn("_start", start).withColumn("_place", F.row_number().over(Window.partitionBy("_start").orderBy(order)))
-    return placed.join(offsets, "_start").withColumn(name, F.col("_offset") + F.col("_place") - 1).drop("_start", "_offset", "_place")
+def next_audience(audience_rows: DataFrame, ledger: DataFrame, limit: int, system: str, after: tuple | None = None) -> DataFrame:
+    """The next ``limit`` rows of the audience by brand, name and address that the ledger has not sent to ``system``.
+
+    ledger: target_system, source_record_id (an address), sync_status; failed rows are sent again. With ``after``, the brand, name and
+    address of the last row sent, only rows behind it are looked at, so that a long campaign need not rank those before.
+    """
+    sent = ledger.where((F.col("target_system") == system) & ~F.coalesce(F.lower("sync_status").isin("failed", "error"), F.lit(False))).select(norm_key(F.col("source_record_id")).alias("_email")).distinct()
+    rows = audience_rows.withColumn("_email", norm_key(F.col("email")))
+    if after is not None:
+        brand, name, email = after
+        same_name = F.col("account_name").eqNullSafe(F.lit(name))
+        later = F.col("account_name").isNotNull() if name is None else F.coalesce(F.col("account_name") > name, F.lit(False))
+        rows = rows.where((F.col("inferred_brand") > brand) | ((F.col("inferred_brand") == brand) & (later | (same_name & (F.col("email") > email)))))
+    return rows.join(sent, "_email", "left_anti").drop("_email").orderBy("inferred_brand", F.col("account_name").asc_nulls_first(), "email").limit(limit)
+
+
+def sent_rows(batch: DataFrame, system: str, status: str, as_of: Column) -> DataFrame:
+    """Ledger rows of a batch that was handed over, in the form of sync_status."""
+    return batch.select(F.lit(system).alias("target_system"), F.lit("subscriber").alias("source_record_type"), norm_key(F.col("email")).alias("source_record_id"), F.lit(status).alias("sync_status"), as_of.alias("last_synced_at"), as_of.alias("updated_at"))
+
+
+def numbered(df: DataFrame, order: str, name: str) -> DataFrame:
+    """df with a row number from 0 in the order of a column, equal values in the order of a hash of the row.
+
+    Rows are sorted in ranges of the order, each range a task; what ranges before hold is added from their counts. The ranges are
+    written once, so that places and counts come from one and the same sort.
+    """
+    tie = F.xxhash64(*df.columns)
+    placed = df.withColumn("_tie", tie).repartitionByRange(order, "_tie").sortWithinPartitions(order, "_tie").drop("_tie")
+    placed = store.staged(placed.select("*", F.spark_partition_id().alias("_range"), F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1).alias("_place")), "ranges")
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    offsets = placed.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    return placed.join(F.broadcast(offsets), "_range").withColumn(name, F.col("_offset") + F.col("_place")).drop("_range", "_offset", "_place")
 
 
 def export_payload(audience_rows: DataFrame, fields: Sequence[tuple[str, str]], batch: int = 100) -> DataFrame:

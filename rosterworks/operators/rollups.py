@@ -94,17 +94,22 @@ def relationship_rollup(rows: DataFrame, as_of: Column) -> DataFrame:
 
 
 def source_preview(raw: DataFrame) -> DataFrame:
-    """Counts of rows and of distinct keys, as they are and normalised, in one pass."""
-    key, email = filled(norm_key(F.col("account_key"))), filled(norm_key(F.col("email")))
-    return raw.agg(
-        F.count("*").alias("rows"),
-        F.count_distinct("account_key").alias("raw_accounts"),
-        F.count_distinct("email").alias("raw_emails"),
-        F.count_distinct(key).alias("accounts"),
-        F.count_distinct(email).alias("emails"),
-        F.count_distinct(F.when(F.coalesce("is_personal_email", F.lit(False)), email)).alias("personal_emails"),
-        F.count_if(key.isNull()).alias("rows_without_account"),
+    """Counts of rows and of distinct keys, as they are and normalised.
+
+    Each key column is grouped once as it is, with its flags, and those groups once more by their normal form: partial aggregates
+    before every shuffle, no row is multiplied, and no set of distinct values is held in one task.
+    """
+
+    def grouped(column: str, flag) -> DataFrame:
+        as_is = raw.groupBy(column).agg(F.count("*").alias("n"), F.bool_or(flag).alias("flag"))
+        return as_is.groupBy(filled(norm_key(F.col(column))).alias("key")).agg(F.count(column).alias("raw"), F.sum("n").alias("n"), F.bool_or("flag").alias("flag"))
+
+    whole = lambda c, name: F.coalesce(c, F.lit(0)).cast("long").alias(name)
+    accounts = grouped("account_key", F.lit(False)).agg(
+        whole(F.sum("n"), "rows"), whole(F.sum("raw"), "raw_accounts"), F.count("key").alias("accounts"), whole(F.sum(F.when(F.col("key").isNull(), F.col("n"))), "rows_without_account")
     )
+    emails = grouped("email", F.coalesce("is_personal_email", F.lit(False))).agg(whole(F.sum("raw"), "raw_emails"), F.count("key").alias("emails"), F.count(F.when(F.col("flag"), F.col("key"))).alias("personal_emails"))
+    return accounts.crossJoin(emails).select("rows", "raw_accounts", "raw_emails", "accounts", "emails", "personal_emails", "rows_without_account")
 
 
 def with_keys(df: DataFrame, keys: Sequence[str], column: str = "account_key") -> DataFrame:

@@ -132,6 +132,17 @@ def host_list_match(spark, root):
     return view(spark, root, "account_pages").select("account_key", X.host_in(host, ("dealer.com", "adesa.com")).alias("listed"), X.maker_host(host).alias("maker"))
 
 
+HOST_TABLE = "SELECT 'dealer.com' AS host UNION ALL SELECT 'ford.com' UNION ALL SELECT 'acct' || c_custkey || '.example.net' FROM customer WHERE c_custkey % 7 = 0"
+
+
+@query("account_pages", f"SELECT account_key, source_url, EXISTS (SELECT 1 FROM ({HOST_TABLE}) t WHERE h = t.host OR ends_with(h, '.' || t.host)) AS listed FROM (SELECT *, {HOST(c='source_url')} AS h FROM account_pages_v) x")
+def host_table_match(spark, root):
+    known = read_table(spark, root, "customer").where("c_custkey % 7 = 0").select(F.concat(F.lit("acct"), F.col("c_custkey").cast("string"), F.lit(".example.net")).alias("host"))
+    hosts = known.unionByName(spark.createDataFrame([("dealer.com",), ("ford.com",)], "host string"))
+    seen = view(spark, root, "account_pages").select("account_key", "source_url")
+    return P.in_host_table(seen, X.host_of(F.col("source_url")), hosts, "listed")
+
+
 @query("", "SELECT doc_id, unnest(regexp_extract_all(text, '(?i)\\b[A-Z0-9._%+\\-]+@[A-Z0-9.\\-]+\\.[A-Z]{2,}\\b')) AS email FROM documents")
 def email_scan(spark, root):
     pattern = r"(?i)\b[A-Z0-9._%+\-]+@[A-Z0-9.\-]+\.[A-Z]{2,}\b"

@@ -213,3 +213,26 @@ def audience(spark, root):
 def audience_export(spark, root):
     rows = reached(spark, root).withColumn("display_name", F.lit(None).cast("string"))
     return R.export_payload(rows, [("brand", "inferred_brand"), ("account", "account_key")])
+
+
+SENT = "SELECT email FROM contacts_v WHERE CAST(substr(email, 2, instr(email, '@') - 2) AS BIGINT) % 4 = 1"
+
+
+def ledger(spark, root):
+    """Every fourth contact has been written to; of the others some have failed."""
+    number = F.regexp_extract("email", "^p([0-9]+)@", 1).cast("long") % 4
+    rows = view(spark, root, "contacts").where(number.isin(1, 2)).withColumn("failed", number == 2)
+    return R.sent_rows(rows.where("NOT failed"), "mail", "synced", now()).unionByName(R.sent_rows(rows.where("failed"), "mail", "failed", now()))
+
+
+@query("accounts contacts relationships", f"SELECT * FROM ({AUDIENCE_SQL}) y WHERE email NOT IN ({SENT}) ORDER BY inferred_brand, account_name NULLS FIRST, email LIMIT 100")
+def audience_next(spark, root):
+    return R.next_audience(reached(spark, root).select("email", "account_key", "inferred_brand", "account_name"), ledger(spark, root), 100, "mail")
+
+
+@query(
+    "accounts contacts relationships",
+    f"""SELECT * FROM ({AUDIENCE_SQL}) y WHERE email NOT IN ({SENT}) AND (inferred_brand > 'Brand12' OR (inferred_brand = 'Brand12' AND (account_name > 'Customer#000000500' OR (account_name = 'Customer#000000500' AND email > 'p2')))) ORDER BY inferred_brand, account_name NULLS FIRST, email LIMIT 100""",
+)
+def audience_after(spark, root):
+    return R.next_audience(reached(spark, root).select("email", "account_key", "inferred_brand", "account_name"), ledger(spark, root), 100, "mail", ("Brand12", "Customer#000000500", "p2"))

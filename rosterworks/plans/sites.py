@@ -42,16 +42,22 @@ def features(spark, root):
     return P.page_features(view(spark, root, "sites"), ("account_key", "html"))
 
 
-@query("sites", f"SELECT {K}, {TITLE} || ' | Used Vehicles and more' AS title, {ABOUT} AS meta_description, {SITE} AS og_site_name, CAST(5 AS INTEGER) AS anchors, CAST(1 AS INTEGER) AS json_ld, CAST(2 AS INTEGER) AS email_contexts, contains(html, 'hidden') AND false AS shows_hidden FROM sites_v")
+LINK = f"CASE {K} % 3 WHEN 0 THEN '/meet-our-staff' WHEN 1 THEN '/people' ELSE '/crew/lead' END"
+LINK_TEXT = f"CASE {K} % 3 WHEN 0 THEN 'Our Staff' WHEN 1 THEN 'Our team' ELSE 'Leadership' END"
+BOSS_TEXT = f"{PERSON} || ', ' || {JOB} || ' Mail glad to hear from you at any hour'"
+STATE_CODE = f"CASE {K} % 4 WHEN 0 THEN 'NY' WHEN 1 THEN 'ZZ' WHEN 2 THEN 'OR' ELSE 'ny' END"
+TEXT = f"{TITLE} || ' | Used Vehicles and more ' || {LINK_TEXT} || ' New inventory Our team elsewhere Map' || CASE WHEN {K} % 2 = 0 THEN ' Financing' ELSE '' END || ' North' || chr(CAST(97 + {K} % 26 AS INTEGER)) || 'ville, ' || {STATE_CODE} || ' 97301 ' || {BOSS_TEXT} || ' ' || {DESK_TEXT}"
+
+
+@query("sites", f"SELECT {K}, {TITLE} || ' | Used Vehicles and more' AS title, {ABOUT} AS meta_description, {SITE} AS og_site_name, {TEXT} AS text, CAST(5 + ({K} + 1) % 2 AS INTEGER) AS anchors, CAST(1 AS INTEGER) AS json_ld, CAST(2 AS INTEGER) AS email_contexts FROM sites_v")
 def page_features(spark, root):
     seen = features(spark, root)
-    hidden = F.contains("text", F.lit("hidden")) | F.contains("text", F.lit("comment"))
-    return seen.select("page_id", "title", "meta_description", "og_site_name", F.size("anchors").alias("anchors"), F.size("json_ld").alias("json_ld"), F.size("email_contexts").alias("email_contexts"), hidden.alias("shows_hidden"))
+    return seen.select("page_id", "title", "meta_description", "og_site_name", "text", F.size("anchors").alias("anchors"), F.size("json_ld").alias("json_ld"), F.size("email_contexts").alias("email_contexts"))
 
 
-@query("sites", f"SELECT {K}, CAST(p AS INTEGER) AS pos, 'https://acct' || {K} || '.example.net' || [CASE WHEN {K} % 11 = 0 THEN '/meet-our-staff' ELSE '/meet-our-staff' END, '/inventory/new', '/map'][p + 1] AS target FROM (SELECT *, unnest([0, 1, 3]) AS p FROM sites_v) x".replace("[p + 1]", "[CASE p WHEN 3 THEN 3 ELSE p + 1 END]"))
+@query("sites", f"SELECT {K}, CAST(p AS INTEGER) AS pos, 'https://acct' || {K} || '.example.net' || CASE p WHEN 0 THEN {LINK} WHEN 1 THEN '/inventory/new' WHEN 3 THEN '/map' ELSE '/finance' END AS target, CASE p WHEN 0 THEN {LINK_TEXT} WHEN 1 THEN 'New inventory' WHEN 3 THEN 'Map' ELSE 'Financing' END AS text FROM (SELECT *, unnest([0, 1, 3, 4]) AS p FROM sites_v) x WHERE p < 4 OR {K} % 2 = 0")
 def page_anchors(spark, root):
-    return site_links(spark, root).select("page_id", "pos", "target")
+    return site_links(spark, root).select("page_id", "pos", "target", "text")
 
 
 def site_links(spark, root):
@@ -89,14 +95,10 @@ def page_locations(spark, root):
     return valued(spark, root).where("place IS NOT NULL").select("page_id", "place.city", "place.state", "place.confidence")
 
 
-CONTEXTS = f"""SELECT {K}, {BOSS} AS email, CASE WHEN length({PERSON} || ', ' || {JOB} || ' Mail') >= 40 THEN {PERSON} || ', ' || {JOB} || ' Mail' END AS context FROM sites_v
- UNION ALL SELECT {K}, {DESK}, {DESK_TEXT} FROM sites_v"""
-
-
-@query("sites", f"SELECT {K}, email, CASE WHEN email LIKE 'desk%' THEN context ELSE person END AS context FROM (SELECT c.*, {PERSON} AS person FROM ({CONTEXTS}) c) x")
+@query("sites", f"SELECT {K}, CAST(p AS INTEGER) AS pos, CASE p WHEN 0 THEN {BOSS} ELSE {DESK} END AS email, CASE p WHEN 0 THEN {BOSS_TEXT} ELSE {DESK_TEXT} END AS context FROM (SELECT *, unnest([0, 1]) AS p FROM sites_v) x")
 def email_contexts(spark, root):
-    seen = features(spark, root).select("page_id", F.explode("email_contexts").alias("c")).select("page_id", "c.email", "c.context")
-    return seen.withColumn("context", F.when(F.col("email").startswith("desk"), F.col("context")).otherwise(F.regexp_extract("context", r"([A-Z]ames [A-Z]mith), ", 1)))
+    seen = features(spark, root).select("page_id", F.explode(P.with_contexts(F.col("email_contexts"), F.col("text"))).alias("c"))
+    return seen.select("page_id", "c.pos", "c.email", "c.context")
 
 
 SCORED = "least(CAST(0.7 AS DOUBLE) + CAST(0.1 AS DOUBLE) + CAST(0.1 AS DOUBLE) + CAST(0 AS DOUBLE) + CAST(0.03 AS DOUBLE), CAST(0.98 AS DOUBLE))"
@@ -112,9 +114,10 @@ def site_candidates(spark, root):
 # A site's pages --------------------------------------------------------------------------------
 
 HOMES = "(SELECT page_id, 'https://acct' || page_id || '.example.net' AS url FROM sites_v) h"
-GUESSES = f"SELECT url, url || path AS target, CAST({PRIORITY.replace('{c}', 'path')} AS INTEGER) AS priority FROM (SELECT url, unnest([{', '.join(quoted(p) for p in params.CONTACT_PATHS)}]) AS path FROM {HOMES}) g WHERE path <> '/meet-our-staff'"
-#: Every page links to /meet-our-staff, found there before it is guessed.
-TARGETS = f"{GUESSES} UNION ALL SELECT url, url || '/meet-our-staff', CAST(0 AS INTEGER) FROM {HOMES}"
+GUESSES = f"SELECT page_id, url, url || path AS target, CAST({PRIORITY.replace('{c}', 'path')} AS INTEGER) AS priority FROM (SELECT page_id, url, unnest([{', '.join(quoted(p) for p in params.CONTACT_PATHS)}]) AS path FROM {HOMES}) g WHERE path <> '/meet-our-staff' OR page_id % 3 <> 0"
+#: Links that are found, each kind on some of the sites: a page that is found is not guessed as well.
+FOUND = f"SELECT page_id, url, url || {LINK} AS target, CAST(CASE WHEN page_id % 3 = 2 THEN 1 ELSE 0 END AS INTEGER) AS priority FROM {HOMES} UNION ALL SELECT page_id, url, url || '/finance', CAST(3 AS INTEGER) FROM {HOMES} WHERE page_id % 2 = 0"
+TARGETS = f"SELECT url, target, priority FROM ({GUESSES} UNION ALL {FOUND}) t"
 
 
 def homes(spark, root):

@@ -110,8 +110,9 @@ SELECT c_custkey AS page_id, concat('acct', CAST(c_custkey AS STRING), '.example
   '<script type="application/ld+json">',
   CASE WHEN c_custkey % 5 = 0 THEN concat('{"name": "Legal', CAST(c_custkey AS STRING), CASE WHEN c_custkey % 10 = 0 THEN ' Jeep' ELSE '' END, ' Inc", "address": {"addressLocality": "port ', chr(CAST(97 + c_custkey % 26 AS INT)), 'ale", "addressRegion": "tx"}}')
        WHEN c_custkey % 7 = 0 THEN '{"name": 12}' ELSE '{broken' END,
-  '</script><script>var hidden = "x@hidden.example";</script></head><body><nav><a href="/meet-our-staff">Our Staff</a> <a href="inventory/new">New inventory</a>',
-  '<a href="https://other.example/team">Our team elsewhere</a> <a href="/map#where">Map</a></nav><!-- y@comment.example --><p>North', chr(CAST(97 + c_custkey % 26 AS INT)), 'ville, ',
+  '</script><script>var hidden = "x@hidden.example";</script></head><body><nav><a href="',
+  CASE c_custkey % 3 WHEN 0 THEN '/meet-our-staff">Our Staff' WHEN 1 THEN '/people"> <b>Our team' ELSE 'crew/lead">Leadership' END, '</a> <a href="inventory/new">New inventory</a>',
+  '<a href="https://other.example/team">Our team elsewhere</a> <a href="/map#where">Map</a>', CASE WHEN c_custkey % 2 = 0 THEN '<a class="x" href="/finance"><i>Financing</a></u>' ELSE '' END, '</nav><!-- y@comment.example --><p>North', chr(CAST(97 + c_custkey % 26 AS INT)), 'ville, ',
   CASE c_custkey % 4 WHEN 0 THEN 'NY' WHEN 1 THEN 'ZZ' WHEN 2 THEN 'OR' ELSE 'ny' END, ' 97301</p><div><p>', chr(CAST(65 + c_custkey % 26 AS INT)), 'ames ', chr(CAST(65 + c_custkey * 7 % 26 AS INT)), 'mith, ',
   CASE c_custkey % 3 WHEN 0 THEN 'General Manager' WHEN 1 THEN 'Sales Manager' ELSE 'Gardener' END, '</p><a href="mailto:boss', CAST(c_custkey AS STRING), '@acct', CAST(c_custkey AS STRING), '.example.net?subject=hi">Mail</a> <span>glad to hear from you at any hour</span></div>',
   '<p>Write to desk', CAST(c_custkey AS STRING), '@elsewhere.example for anything else that you need</p></body></html>') AS html
