@@ -150,3 +150,44 @@ def fetch_transition(accounts: DataFrame, folded: DataFrame) -> DataFrame:
         F.when(hit & (F.col("n.blocked_reason").isNotNull() | cleared), F.col("n.blocked_reason")).otherwise(F.col("blocked_reason")).alias("blocked_reason"),
         F.when(hit, F.col("n.last_fetch_attempt_at")).otherwise(F.col("last_fetch_attempt_at")).alias("last_fetch_attempt_at"),
     )
+
+
+LEASE_MINUTES, PAUSE_MINUTES = 30, 30
+
+
+def fold_work(events: DataFrame, lease_minutes: int = LEASE_MINUTES, pause_minutes: int = PAUSE_MINUTES) -> DataFrame:
+    """The state of each work item from its events (work_item_id, event_id, happened_at, kind, error), in whatever order they come.
+
+    kind: claim, complete or fail; of events at one time the larger id is the later one, and an event that comes twice
+    counts once. The last event gives the status. Failures, and the error, are those since the last completion: a
+    struct maximum that is joined back, so that both passes combine before their shuffle and no item's events are sorted in one task.
+    """
+    at = F.struct("happened_at", "event_id")
+    once = events.groupBy("work_item_id", "event_id").agg(F.min(F.struct("happened_at", "kind", "error")).alias("e")).select("work_item_id", "event_id", "e.*")
+    done = once.where("kind = 'complete'").groupBy("work_item_id").agg(F.max(at).alias("done"))
+    both = once.join(done, "work_item_id", "left")
+    lost = (F.col("kind") == "fail") & (F.col("done").isNull() | (at > F.col("done")))
+    folded = both.groupBy("work_item_id").agg(
+        F.max(F.struct("happened_at", "event_id", "kind")).alias("last"),
+        F.count_if(F.col("kind") == "claim").alias("attempt_count"),
+        F.count_if(lost).alias("failures"),
+        F.max_by("error", F.when(lost, at)).alias("last_error"),
+        F.max(F.when(F.col("kind") == "claim", F.col("happened_at"))).alias("last_attempt_at"),
+        F.max("done.happened_at").alias("completed_at"),
+    )
+    is_last = lambda kind: F.col("last.kind") == kind
+    later = lambda minutes: F.col("last.happened_at") + F.make_dt_interval(mins=F.lit(minutes))
+    return folded.select(
+        "work_item_id", F.when(is_last("claim"), "in_progress").when(is_last("complete"), "completed").otherwise("retry").alias("status"), "attempt_count", "failures", "last_error", "last_attempt_at", "completed_at",
+        F.when(is_last("claim"), later(lease_minutes)).alias("lease_expires_at"), F.when(is_last("fail"), later(pause_minutes)).alias("next_attempt_at"),
+    )
+
+
+def work_transition(items: DataFrame, folded: DataFrame) -> DataFrame:
+    """items after folded events: one left join; attempts add up, items without events stay."""
+    new = folded.select("work_item_id", F.struct(*[c for c in folded.columns if c != "work_item_id"]).alias("n"))
+    joined, hit = items.join(new, "work_item_id", "left"), F.col("n").isNotNull()
+    put = {c: F.when(hit, F.col(f"n.{c}")).otherwise(F.col(c)) for c in ("status", "lease_expires_at", "last_error", "completed_at", "last_attempt_at", "next_attempt_at") if c in items.columns}
+    if "attempt_count" in items.columns:
+        put["attempt_count"] = F.coalesce("attempt_count", F.lit(0)) + F.coalesce("n.attempt_count", F.lit(0))
+    return joined.select(*[put.get(c, F.col(c)).alias(c) for c in items.columns])

@@ -185,3 +185,24 @@ def apply_updates(spark, root):
     table = accounts(spark, root).select("account_key", "website_url", "fetch_status", "inferred_brand")
     updates = table.where(number % 5 == 1).select("account_key", F.concat(F.lit("https://www."), F.col("account_key")).alias("website_url"), F.lit("Checked").alias("inferred_brand"))
     return M.apply_updates(table, updates, "account_key", {"website_url": M.overwrite, "inferred_brand": M.keep_old})
+
+
+WORK_FOLD = f"""SELECT work_item_id, CASE arg_max(kind, ord) WHEN 'claim' THEN 'in_progress' WHEN 'complete' THEN 'completed' ELSE 'retry' END AS status, count(*) FILTER (kind = 'claim') AS attempt_count, count(*) FILTER (lost) AS failures,
+ arg_max(error, ord) FILTER (lost) AS last_error, max(happened_at) FILTER (kind = 'claim') AS last_attempt_at, max(happened_at) FILTER (kind = 'complete') AS completed_at,
+ CASE WHEN arg_max(kind, ord) = 'claim' THEN max(happened_at) + INTERVAL 30 MINUTE END AS lease_expires_at, CASE WHEN arg_max(kind, ord) = 'fail' THEN max(happened_at) + INTERVAL 30 MINUTE END AS next_attempt_at
+ FROM (SELECT *, kind = 'fail' AND ord > coalesce(max(ord) FILTER (kind = 'complete') OVER (PARTITION BY work_item_id), 0) AS lost FROM (SELECT *, row_number() OVER (PARTITION BY work_item_id ORDER BY happened_at, event_id) AS ord FROM work_events_v) o) x GROUP BY work_item_id"""
+
+
+@query("work_events", WORK_FOLD)
+def work_fold(spark, root):
+    return W.fold_work(view(spark, root, "work_events"))
+
+
+@query(
+    "work_items work_events",
+    f"""SELECT w.work_item_id, coalesce(f.status, w.status) AS status, CASE WHEN f.status IS NULL THEN w.lease_expires_at ELSE f.lease_expires_at END AS lease_expires_at, CASE WHEN f.status IS NULL THEN w.next_attempt_at ELSE f.next_attempt_at END AS next_attempt_at, 1 + coalesce(f.attempt_count, 0) AS attempt_count
+ FROM (SELECT * REPLACE ('w' || work_item_id AS work_item_id) FROM work_items_v) w LEFT JOIN ({WORK_FOLD}) f ON w.work_item_id = f.work_item_id""",
+)
+def work_transition(spark, root):
+    named = items(spark, root).select(F.concat(F.lit("w"), F.col("work_item_id").cast("string")).alias("work_item_id"), "status", "lease_expires_at", "next_attempt_at", F.lit(1).cast("long").alias("attempt_count"))
+    return W.work_transition(named, W.fold_work(view(spark, root, "work_events")))

@@ -86,6 +86,11 @@ FROM (SELECT date_trunc('day', ts) AS d, count(*) AS n,
 SELECT concat('acct', CAST(user_id % 400 AS STRING), '.example.net') AS account_key, event_id AS attempt_id, ts AS attempted_at,
  CASE event_type WHEN 'error' THEN 'blocked' WHEN 'view' THEN 'unavailable' ELSE 'success' END AS status,
  CASE WHEN event_type = 'error' THEN CASE event_id % 2 WHEN 0 THEN 'captcha' ELSE 'access denied' END ELSE NULL END AS reason
+FROM {events}""",
+    "work_events": """
+SELECT concat('w', CAST(user_id % 300 AS STRING)) AS work_item_id, event_id, date_trunc('hour', ts) AS happened_at,
+ CASE WHEN event_type = 'error' THEN 'fail' WHEN user_id % 5 = 0 AND event_id % 3 = 0 OR event_id % 17 = 0 THEN 'complete' ELSE 'claim' END AS kind,
+ CASE WHEN event_type = 'error' THEN concat('error ', CAST(event_id % 4 AS STRING)) ELSE NULL END AS error
 FROM {events}""",
     "account_pages": """
 SELECT concat('acct', CAST(c_custkey AS STRING), '.example.net') AS account_key,
