@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import exprs as X
 from ..operators import merge as M
 from ..operators import rollups as R
+from ..sources import store
 from ..sources.schemas import SCHEMAS, conform
 from ..sources.views import view
+from ..streaming.incremental import current, merge_batch
 from .base import NOW, now, query
 
 ROWS = f"""SELECT contact_id, lower(trim(account_key)) AS account_key, lower(trim(email)) AS email, lower(trim(email_domain)) AS email_domain,
@@ -56,6 +60,7 @@ ACCOUNT_COLUMNS = ["account_id", "account_key", "email_domain", "account_name",
 CONTACT_COLUMNS = ["contact_id", "source_contact_id", "full_name", "first_name", "last_name", "email", "email_domain", "is_personal_email", "domain_type", "contact_status", "confidence_score", *SEEN]
 RELATIONSHIP_COLUMNS = ["relationship_id", "account_id", "contact_id", "relationship_type", "is_primary", "relationship_status", "confidence_score", *SEEN]
 SET = {"source_type": "set", "source_table": "set", "updated_at": "set", "first_seen_at": "min", "last_seen_at": "max", "confidence_score": "max"}
+ACCOUNTS_MERGED = merged_sql(accounts_sql, "account_id", ACCOUNT_COLUMNS, SET | {"email_domain": "old", "account_type": "old", "account_status": "new", "is_personal_domain": "or"})
 
 
 def rows(spark: SparkSession, root: str) -> DataFrame:
@@ -116,7 +121,7 @@ def source_preview(spark, root):
     return R.source_preview(view(spark, root, "contact_master"))
 
 
-@query("contact_master", merged_sql(accounts_sql, "account_id", ACCOUNT_COLUMNS, SET | {"email_domain": "old", "account_type": "old", "account_status": "new", "is_personal_domain": "or"}))
+@query("contact_master", ACCOUNTS_MERGED)
 def merge_accounts(spark, root):
     early, late = batches(spark, root)
     return M.merge_upsert(R.account_rollup(early, now()), R.account_rollup(late, now()), ["account_id"], M.ACCOUNT_RULES)
@@ -216,3 +221,33 @@ def sync_rows(spark, root, where: str) -> DataFrame:
 def merge_sync_status(spark, root):
     keys = ["target_system", "source_record_type", "source_record_id"]
     return M.merge_upsert(sync_rows(spark, root, "day(created_at) <= 20"), sync_rows(spark, root, "day(created_at) >= 10"), keys, M.SYNC_RULES)
+
+
+# Landed batches, written ------------------------------------------------------------------------
+
+
+def landed(spark: SparkSession, root: str) -> tuple[str, list[dict]]:
+    """The folder into which two overlapping batches were merged, and what each merge counted; the second batch comes twice."""
+    folder, raw = f"{store.scratch(spark)}/landed-{uuid.uuid4().hex}", view(spark, root, "contact_master")
+    day = F.dayofmonth(F.coalesce("last_seen_at", "created_at"))
+    merge = merge_batch(folder, now(), parts=8)
+    return folder, [merge(raw.where(day <= 20), 0), merge(raw.where(day >= 10), 1), merge(raw.where(day >= 10), 1)]
+
+
+@query("contact_master", ACCOUNTS_MERGED)
+def landed_accounts(spark, root):
+    folder, _ = landed(spark, root)
+    return current(spark, folder, "accounts").select(*ACCOUNT_COLUMNS)
+
+
+LANDED = """SELECT '{name}' AS table_name, CAST(0 AS BIGINT) AS batch, count(*) FILTER (t.{key} IS NOT NULL) AS inserted, CAST(0 AS BIGINT) AS updated FROM ({early}) t FULL OUTER JOIN ({late}) s ON t.{key} = s.{key}
+ UNION ALL SELECT '{name}', 1, count(*) FILTER (t.{key} IS NULL), count(*) FILTER (t.{key} IS NOT NULL AND s.{key} IS NOT NULL) FROM ({early}) t FULL OUTER JOIN ({late}) s ON t.{key} = s.{key}"""
+BUILDS = {"accounts": (accounts_sql, "account_id"), "contacts": (contacts_sql, "contact_id"), "relationships": (relationships_sql, "relationship_id")}
+
+
+@query("contact_master", " UNION ALL ".join(LANDED.format(name=name, key=key, early=build(EARLY), late=build(LATE)) for name, (build, key) in BUILDS.items()))
+def landed_counts(spark, root):
+    """Rows that the writes themselves inserted and updated."""
+    _, counts = landed(spark, root)
+    rows = [(table, batch, c["inserted"], c["updated"]) for batch, tables in enumerate(counts) for table, c in tables.items()]
+    return spark.createDataFrame(rows, "table_name string, batch long, inserted long, updated long")

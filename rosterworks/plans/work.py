@@ -206,3 +206,8 @@ def work_fold(spark, root):
 def work_transition(spark, root):
     named = items(spark, root).select(F.concat(F.lit("w"), F.col("work_item_id").cast("string")).alias("work_item_id"), "status", "lease_expires_at", "next_attempt_at", F.lit(1).cast("long").alias("attempt_count"))
     return W.work_transition(named, W.fold_work(view(spark, root, "work_events")))
+
+
+@query("failures", "SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'browser_connection_refused' WHEN 1 THEN 'browser_dns_error' WHEN 2 THEN 'browser_network_error' WHEN 5 THEN NULL ELSE 'browser_navigation_error' END AS reason FROM failures_v")
+def error_reasons(spark, root):
+    return view(spark, root, "failures").select("event_id", X.error_reason(F.col("message")).alias("reason"))

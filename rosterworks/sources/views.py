@@ -92,6 +92,9 @@ SELECT concat('w', CAST(user_id % 300 AS STRING)) AS work_item_id, event_id, dat
  CASE WHEN event_type = 'error' THEN 'fail' WHEN user_id % 5 = 0 AND event_id % 3 = 0 OR event_id % 17 = 0 THEN 'complete' ELSE 'claim' END AS kind,
  CASE WHEN event_type = 'error' THEN concat('error ', CAST(event_id % 4 AS STRING)) ELSE NULL END AS error
 FROM {events}""",
+    "failures": """
+SELECT event_id, CASE event_id % 6 WHEN 0 THEN concat('Page.goto: net::ERR_CONNECTION_REFUSED at https://h', CAST(user_id AS STRING)) WHEN 1 THEN 'NET::err_name_not_resolved' WHEN 2 THEN concat('net::ERR_TIMED_OUT after ', CAST(user_id AS STRING), ' ms')
+ WHEN 3 THEN concat('Timeout of ', CAST(user_id AS STRING), ' ms exceeded') WHEN 4 THEN '' ELSE NULL END AS message FROM {events}""",
     "account_pages": """
 SELECT concat('acct', CAST(c_custkey AS STRING), '.example.net') AS account_key,
  CASE c_custkey % 9 WHEN 0 THEN 'https://www.dealer.com/about' WHEN 1 THEN 'https://parts.ford.com' WHEN 2 THEN 'https://acme-marketing.example' WHEN 3 THEN 'https://homecare.example/x'
