@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -30,11 +31,30 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it again: its lineage ends there."""
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int | None):
+    """Within it Arrow batches have at most so many rows, so that neither side of a Python worker holds many texts at once."""
+    before = spark.conf.get(_BATCH)
+    if rows is not None and not 0 < int(before) <= rows:
+        spark.conf.set(_BATCH, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
+
+
+def materialize(df: DataFrame, tag: str, batch: int | None = None) -> DataFrame:
+    """Write ``df`` as a table in the shared folder and read it again: its lineage ends there.
+
+    ``batch`` bounds the rows of the Arrow batches in which the write hands texts to Python.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with batches_of(spark, batch):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

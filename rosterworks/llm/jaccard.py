@@ -33,7 +33,10 @@ from .graph import components
 
 BITMAP_BITS = 24
 BLOCK = 8
-HOME = 2_000
+#: A home block has so many sets, and so many shingles, at most in expectation; its task holds some 50 bytes for each shingle.
+HOME, HOME_SHINGLES = 2_000, 1_000_000
+#: Rows of the Arrow batches in which texts and sets reach Python.
+BATCH = 1_000
 #: A longer list is dealt over several tasks; until its length is known, any list over this many.
 SPLIT = 500
 SALTS = 32
@@ -258,12 +261,12 @@ def rows_with_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     text = docs.select("doc_id", "text")
     id_type = text.schema["doc_id"].dataType.simpleString()
     keyed = docs.select("doc_id", "text", text_key(F.col("text")).alias("key"))
-    profile = materialize(keyed.mapInArrow(_profile(size), f"doc_id {id_type}, key long, set_id long, n_shingles long"), "profile")
+    profile = materialize(keyed.mapInArrow(_profile(size), f"doc_id {id_type}, key long, set_id long, n_shingles long"), "profile", BATCH)
     classes = profile.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"))
     holders = docs.select("text").mapInArrow(_sampled(size), "token long, set_id long").groupBy("token").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"))
     alone = holders.where("low = high").groupBy(F.col("low").alias("set_id")).agg(F.count("*").alias("alone"))
     kept = classes.join(alone, "set_id", "left").where(F.coalesce("alone", F.lit(0)) * 100 <= F.col("n") * (100 - percent))
-    kept = materialize(kept.select("set_id", "doc_id", "n"), "kept")
+    kept = materialize(kept.select("set_id", "doc_id", "n"), "kept", BATCH)
 
     mark = F.xxhash64("doc_id").alias("mark")
     bitmap = docs.sparkSession.sparkContext.broadcast(bitmap_of(kept.select(mark), "mark"))
@@ -272,10 +275,10 @@ def rows_with_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     sets = found.join(own, (found.set_id == own.set_id) & found.doc_id.eqNullSafe(own.own)).select(found.set_id, "n", "hashes")
     if not profile.groupBy("set_id", "doc_id").count().where("count > 1").isEmpty():
         sets = sets.dropDuplicates(["set_id"])
-    sets = materialize(sets, "sets")
+    sets = materialize(sets, "sets", BATCH)
 
     postings = sets.select("set_id", "hashes").mapInArrow(_postings, "token long, set_id long")
-    counts = materialize(postings.groupBy("token").agg(F.count("*").alias("df"), F.min("set_id").alias("only")), "counts")
+    counts = materialize(postings.groupBy("token").agg(F.count("*").alias("df"), F.min("set_id").alias("only")), "counts", BATCH)
     private = counts.where("df = 1").groupBy(F.col("only").alias("set_id")).agg(F.count("*").alias("private"))
     misses = F.floor(F.col("n") * (100 - percent) / 100)
     open_sets = kept.select("set_id", "n").join(private, "set_id", "left").withColumn("private", F.coalesce("private", F.lit(0))).where(F.col("private") <= misses)
@@ -284,18 +287,20 @@ def rows_with_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     ranked = postings.join(counts.where("df > 1").select("token", "df"), "token").groupBy("set_id").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("tokens"))
     prefix = (misses + 1 - F.col("private")).cast("int")
     heads = open_sets.join(ranked, "set_id").select("set_id", "n", "private", F.slice("tokens.token", 1, prefix).alias("head"))
-    heads = materialize(heads, "heads")
+    heads = materialize(heads, "heads", BATCH)
     entries = heads.select("set_id", "n", "private", F.posexplode("head").alias("pos", "token")).select("token", "set_id", "n", (F.col("n") - F.col("private") - F.col("pos")).alias("rest"))
     entries = materialize(entries.withColumn("salt", F.pmod(F.xxhash64("set_id"), F.lit(SALTS))), "entries")
     counted = entries.groupBy("token", "salt").agg(F.count("*").alias("length"), F.min("set_id").alias("lead_id"), F.min_by("n", "set_id").alias("lead_n"), F.min_by("rest", "set_id").alias("lead_rest"))
     lengths = counted.groupBy("token").agg(F.sum("length").alias("length"), F.min("lead_id").alias("lead_id"), F.min_by("lead_n", "lead_id").alias("lead_n"), F.min_by("lead_rest", "lead_id").alias("lead_rest")).where("length > 1")
     entries = entries.join(counted.select("token", "salt").join(lengths, "token"), ["token", "salt"]).drop("salt")
     entries = materialize(entries.withColumn("piece", F.pmod(F.xxhash64("set_id"), _pieces(F.col("length"))).cast("int")), "lists")
-    home = entries.groupBy("set_id").agg(F.max(F.struct("length", "token")).alias("home"))
-    part = F.pmod(F.xxhash64("set_id"), F.ceil(F.col("home.length") / HOME))
-    home = materialize(home.select("set_id", F.xxhash64("home.token", part).alias("home")), "homes")
+    home = materialize(entries.groupBy("set_id").agg(F.max(F.struct("length", "token")).alias("home"), F.first("n").alias("n")).select("set_id", "home.*", "n"), "home")
+    weight = home.groupBy("token").agg(F.sum("n").alias("weight"))
+    blocks = F.greatest(F.ceil(F.col("length") / HOME), F.ceil(F.col("weight") / HOME_SHINGLES))
+    home = materialize(home.join(weight, "token").select("set_id", F.xxhash64("token", F.pmod(F.xxhash64("set_id"), blocks)).alias("home")), "homes")
 
     at_home = home.join(sets_among(sets, home), "set_id").select("home", "set_id", "hashes").repartition("home").sortWithinPartitions("home").mapInArrow(_home_links(percent), "a long, b long")
+    at_home = materialize(at_home, "at-home", BATCH)
     lead = home.select(F.col("set_id").alias("lead_id"), F.col("home").alias("lead_home"))
     led = (
         entries.where(F.col("set_id") != F.col("lead_id"))
