@@ -12,6 +12,7 @@ become strong patterns, until a pass finds nothing new.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -182,16 +183,17 @@ def _good_patterns(edges: DataFrame, rounds: int, min_seeds: int, threshold: flo
     return materialize(scores.where(F.col("score") >= threshold).select("pattern", F.col("as_kind").alias("kind"), "score"), "good")
 
 
-def discover(scanned: DataFrame, rounds: int = 4, passes: int = 4, min_seeds: int = 5, threshold: float = 0.8) -> DataFrame:
+def discover(scanned: DataFrame, rounds: int = 4, passes: int | None = None, min_seeds: int = 5, threshold: float = 0.8) -> DataFrame:
     """New identifiers of a scanned table: key, kind, start, end (distinct).
 
     Patterns are (left word, right word), (left word, any) and (any, right word). In each of the
     ``rounds`` of a pass a pattern's score for a kind is the weight of its instances times their scores
     over its whole weight plus one; an instance's score is the mean over its patterns with seeds by weight; seeds
     keep score 1 for their kind. Sightings are counted once per text, so copies of a document add nothing.
-    A candidate is accepted wherever it stands in a pattern with a score of ``threshold`` and at least
+    A candidate is accepted if it stands anywhere in a pattern with a score of ``threshold`` and at least
     ``min_seeds`` different seeds of the kind; of several kinds the one with the surest pattern counts.
-    Accepted ones are seeds of the next pass, at most ``passes`` in all.
+    Accepted ones are seeds of the next pass, until a pass accepts none (``passes`` ends it sooner); whatever was accepted is found wherever it
+    stands, in strong patterns and outside of them.
     """
     sight = scanned.select("key", F.explode("sights").alias("s")).select("key", "s.*").distinct()
     sight = sight.withColumn("pattern", F.explode(F.array(F.struct("left", "right"), F.struct("left", F.lit(None).cast("string").alias("right")), F.struct(F.lit(None).cast("string").alias("left"), "right"))))
@@ -199,7 +201,7 @@ def discover(scanned: DataFrame, rounds: int = 4, passes: int = 4, min_seeds: in
     sight = materialize(sight.select("key", "kind", "instance", "start", "end", F.xxhash64("pattern.left", "pattern.right", F.col("pattern.left").isNull()).alias("pattern")), "sights")
     edges = materialize(sight.groupBy("pattern", "instance", "kind").agg(F.count("*").cast("double").alias("n")), "edges")
     accepted = scanned.sparkSession.createDataFrame([], NONE)
-    for _ in range(passes):
+    for _ in itertools.count() if passes is None else range(passes):
         good = _good_patterns(_labelled(edges, accepted), rounds, min_seeds, threshold)
         hits = edges.where("kind = ''").select("pattern", "instance").join(if_few(good), "pattern")
         now = hits.groupBy("instance").agg(F.max(F.struct("score", "kind")).alias("top")).select("instance", F.col("top.kind").alias("kind"))
@@ -208,8 +210,8 @@ def discover(scanned: DataFrame, rounds: int = 4, passes: int = 4, min_seeds: in
         accepted = now
         if not grown:
             break
-    spots = sight.where("kind = ''").select("key", "instance", "start", "end", "pattern").join(if_few(good), "pattern")
-    return spots.groupBy("key", "start", "end").agg(F.max(F.struct("score", "kind")).alias("top")).select("key", F.col("top.kind").alias("kind"), "start", "end")
+    spots = scanned.select("key", F.explode(F.filter("sights", lambda s: s["kind"] == "")).alias("s")).select("key", "s.instance", "s.start", "s.end").distinct()
+    return spots.join(if_few(accepted), "instance").select("key", "kind", "start", "end")
 
 
 def _joined(spans):

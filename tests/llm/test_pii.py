@@ -70,7 +70,7 @@ def test_contexts_discover(spark):
 
 
 def test_finds_seed_further_finds(spark):
-    """What the first pass finds stands in a context without base matches too, which the second pass learns."""
+    """What the first pass finds also stands in a context without base matches: it is found there, and the second pass learns the context."""
     rows = [f"word{k % 3} contact me at user{k}@mail.com now please" for k in range(12)]
     rows += [f"well contact me at found{k} [at] mail.com now please" for k in range(8)]
     rows += [f"deliver parcels to found{k} [at] mail.com every single day" for k in range(8)]
@@ -78,7 +78,7 @@ def test_finds_seed_further_finds(spark):
     frame = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
     once = {r.doc_id for r in pii.find_pii(frame, passes=1).collect() if r.doc_id >= 12 and r.spans}
     more = {r.doc_id for r in pii.find_pii(frame).collect() if r.doc_id >= 12 and r.spans}
-    assert once == set(range(12, 20)) and more == set(range(12, 36))
+    assert once == set(range(12, 28)) and more == set(range(12, 36))
 
 
 @pytest.mark.parametrize(("text", "found"), [("call 020 7946 0958 today", "020 7946 0958"), ("call (0207) 946-0958.", "(0207) 946-0958"), ("write john at mail dot com now", "john at mail dot com"), ("code A1234.", "A1234"), ("see 12 of 30", None)])
@@ -105,3 +105,77 @@ def test_odd_rows(odd, empty):
     assert pii.find_pii(odd).count() == odd.count() and pii.find_pii(empty).count() == 0
     assert pii.redact(odd).columns == odd.columns and sorted(map(str, pii.redact(odd).collect())) == sorted(map(str, odd.collect()))
     assert pii.redact(empty).count() == 0
+
+
+def plain_discoveries(rows, rounds=4, min_seeds=5, threshold=0.8):
+    """The same graph in plain loops: rows of (key, sights); returns (key, kind, start, end)."""
+    sights = {(key, s.kind, s.instance, s.left, s.right, s.start, s.end) for key, found in rows for s in found}
+    weight = {}
+    for _, kind, instance, left, right, _, _ in sights:
+        for pattern in {(left, right), (left, None), (None, right)}:
+            if pattern[0] or pattern[1]:
+                weight[pattern, instance, kind] = weight.get((pattern, instance, kind), 0) + 1
+    accepted = {}
+    while True:
+        edges = {(p, i, k or accepted.get(i, "")): 0 for p, i, k in weight}
+        for (p, i, k), n in weight.items():
+            edges[p, i, k or accepted.get(i, "")] += n
+        seeds, mass, whole = {}, {}, {}
+        for (p, i, k), n in edges.items():
+            whole[p] = whole.get(p, 0) + n
+            if k:
+                seeds.setdefault((p, k), set()).add(i)
+                mass[p, k] = mass.get((p, k), 0) + n
+        seeded = {pk for pk, s in seeds.items() if len(s) >= min_seeds}
+        score = {pk: mass[pk] / (whole[pk[0]] + 1) for pk in seeded}
+        live = {p for p, _ in seeded}
+        free = [(p, i, n) for (p, i, k), n in edges.items() if not k and p in live]
+        total = {}
+        for _, i, n in free:
+            total[i] = total.get(i, 0) + n
+        for _ in range(rounds - 1):
+            belief = {}
+            for p, i, n in free:
+                for (q, k), v in score.items():
+                    if q == p:
+                        belief[i, k] = belief.get((i, k), 0) + n * v / total[i]
+            gain = {}
+            for p, i, n in free:
+                for (j, k), b in belief.items():
+                    if j == i:
+                        gain[p, k] = gain.get((p, k), 0) + n * b
+            score = {pk: (mass[pk] + gain.get(pk, 0)) / (whole[pk[0]] + 1) for pk in seeded}
+        best = {}
+        for (p, i, k), _ in weight.items():
+            for (q, kind), v in score.items():
+                if not k and q == p and v >= threshold and i not in accepted:
+                    best[i] = max(best.get(i, (0, "")), (v, kind))
+        if not best:
+            break
+        accepted |= {i: kind for i, (_, kind) in best.items()}
+    return {(key, accepted[i], start, end) for key, kind, i, _, _, start, end in sights if not kind and i in accepted}
+
+
+def test_discoveries_against_a_plain_graph(spark):
+    """Random sentences with identifiers in shared contexts: closure, kinds and places as in plain loops."""
+    import random
+
+    draw = random.Random(9)
+    frames = ["contact me at {} now", "call {} today please", "server {} is down", "order {} shipped", "write to {} soon", "{} is mine"]
+    things = [f"user{k}@mail.com" for k in range(12)] + [f"name{k} [at] mail.com" for k in range(8)] + [f"+44 20 7946 09{k}0" for k in range(10)] + [f"0207946{k}" for k in range(8)] + [f"10.0.0.{k}" for k in range(10)] + [f"A{1000 + k}" for k in range(20)]
+    bias = {0: things[:20], 1: things[20:38], 2: things[38:], 3: things[48:]}
+    rows = []
+    for k in range(300):
+        f = draw.randrange(len(frames))
+        rows.append((k, f"w{k % 7} " + frames[f].format(draw.choice(bias.get(f, things))) + "."))
+    scanned = pii.scan(spark.createDataFrame(rows, "doc_id long, text string")).cache()
+    want = plain_discoveries([(r.key, r.sights) for r in scanned.select("key", "sights").collect()])
+    got = {tuple(r) for r in pii.discover(scanned).collect()}
+    assert got == want and len(want) > 20
+
+
+def test_accepted_identifiers_go_everywhere(spark):
+    """An identifier that a strong context gave away is also taken where it stands in a context that says nothing."""
+    rows = [f"please call +44 20 7946 0{k:03d} before noon" for k in range(300, 312)] + ["please call 5550109999 before noon", "my locker is 5550109999 upstairs", "5550109999", "my locker is 5550108888 upstairs"]
+    cleaned = {r.doc_id: r.text for r in pii.redact(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    assert [cleaned[k] for k in range(12, 16)] == ["please call [PHONE] before noon", "my locker is [PHONE] upstairs", "[PHONE]", "my locker is 5550108888 upstairs"]
