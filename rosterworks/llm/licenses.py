@@ -34,21 +34,54 @@ TEMPLATES = {
     "MIT": ("Released under the MIT License.", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files."),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
 }
+_PROGRAM = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation; "
+_LIBRARY = "This library is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public License as published by the Free Software Foundation; "
+_ONLY, _LATER = "version {} of the License.", "either version {} of the License, or (at your option) any later version."
+
+
+def _gnu(name: str, adjective: str, version: str, dated: str) -> dict[str, tuple[str, ...]]:
+    """The usual headers and short notices of one version of a GNU licence, alone and with later ones."""
+    full, short = f"GNU {adjective}General Public License", {"": "GPL", "Lesser ": "LGPL", "Affero ": "AGPL"}[adjective]
+    only = (
+        f"{full} Version {version}, {dated}",
+        f"This work is licensed under the {full}, version {version}.",
+        f"Licensed under the {full} version {version} as published by the Free Software Foundation.",
+        f"Licensed under the {short} version {version}.",
+        f"Licensed under {short}v{version}.",
+        *(kind.format(adjective) + _ONLY.format(version) for kind in (_PROGRAM, _LIBRARY)),
+        f"This program is free software: you can redistribute it and/or modify it under the terms of the {full} version {version} as published by the Free Software Foundation.",
+        f"This file may be distributed under the terms of the {full} version {version}.",
+    )
+    later = (
+        *(kind.format(adjective) + _LATER.format(version) for kind in (_PROGRAM, _LIBRARY)),
+        f"Licensed under the {full} version {version} or later.",
+        f"Licensed under the {short} version {version} or later.",
+        f"Licensed under {short}v{version} or later.",
+        f"This work is licensed under the {full}, version {version} or any later version.",
+    )
+    return {f"{name}-only": only, f"{name}-or-later": later}
+
+
 # Further notices and the titles of licence texts. The SQL of op8_licenses knows TEMPLATES alone.
 MORE_NOTICES = {
-    "AGPL-3.0-only": ("GNU Affero General Public License Version 3, 19 November 2007", "This work is licensed under the GNU Affero General Public License, version 3."),
+    **_gnu("GPL-2.0", "", "2", "June 1991"),
+    **_gnu("GPL-3.0", "", "3", "29 June 2007"),
+    **_gnu("LGPL-2.1", "Lesser ", "2.1", "February 1999"),
+    **_gnu("LGPL-3.0", "Lesser ", "3", "29 June 2007"),
+    **_gnu("AGPL-3.0", "Affero ", "3", "19 November 2007"),
     "Apache-2.0": ("Apache License Version 2.0, January 2004",),
     "BSD-2-Clause": ("BSD 2-Clause License", "Licensed under the BSD 2-Clause License."),
     "BSD-3-Clause": ("BSD 3-Clause License", "Licensed under the BSD 3-Clause License."),
+    "BSL-1.0": ("Distributed under the Boost Software License, Version 1.0.", "Boost Software License - Version 1.0 - August 17th, 2003"),
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    "GPL-2.0-only": ("GNU General Public License Version 2, June 1991",),
-    "GPL-3.0-only": ("GNU General Public License Version 3, 29 June 2007",),
+    "EPL-2.0": ("Eclipse Public License - v 2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/", "Licensed under the Eclipse Public License, version 2.0."),
     "ISC": ("ISC License", "Licensed under the ISC License."),
-    "LGPL-2.1-only": ("GNU Lesser General Public License Version 2.1, February 1999", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
-    "LGPL-3.0-only": ("GNU Lesser General Public License Version 3, 29 June 2007", "This work is licensed under the GNU Lesser General Public License, version 3."),
     "MIT": ("MIT License", "Licensed under the MIT License."),
     "MPL-2.0": ("Mozilla Public License Version 2.0",),
+    "Unlicense": ("This is free and unencumbered software released into the public domain.", "Released under the Unlicense.", "The Unlicense"),
 }
+#: Licences that a line "SPDX-License-Identifier: ..." may name.
+SPDX = sorted({*TEMPLATES, *MORE_NOTICES} - {"GPL-2.0", "GPL-3.0"})
 _BSD = (
     "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"
     " 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."
@@ -77,12 +110,28 @@ WIDTH = 6
 SHORT = 3
 # Words too common to speak for a licence.
 STOP = ("a", "an", "and", "any", "are", "at", "be", "by", "can", "for", "in", "is", "it", "may", "not", "of", "or", "that", "the", "this", "to", "with", "you")
+# Words of templates that ordinary text is full of; a run of pieces does not begin or end with them alone.
+COMMON = ("available", "copy", "distributed", "domain", "either", "file", "form", "following", "free", "general", "library", "made", "materials", "person", "program", "public", "published", "released", "source", "terms", "under", "use", "work")
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|notice)(\.[a-z]+)?$"
 
 
+#: How a version is written, and what does away with ".0" at its end, so that 2 and 2.0 are one: both as pattern and replacement.
+VERSION = (r"\bv(?:ersion)?[.:]?\s*([0-9]+(?:[.][0-9]+)*)", "version-")
+ROUND = r"(version-[0-9]+(?:[.][0-9]+)*?)(?:[.]0)+\b"
+TERM = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
+#: Wording that takes back the notice that follows.
+DENIED = r"(?i)\b(?:not|never|no longer|isn't|aren't)\s+(?:be\s+|been\s+)?(?:licensed|released|distributed|available|covered)\b"
+
+
 def terms_of(line: Column) -> Column:
-    """Lower-case runs of letters, digits and inner dots or hyphens, without stop words."""
-    return F.filter(F.regexp_extract_all(F.lower(line), F.lit(r"[a-z0-9]+(?:[.-][a-z0-9]+)*"), 0), lambda t: ~t.isin(*STOP))
+    """Lower-case runs of letters, digits and inner dots or hyphens, without stop words; a version is one term with its number."""
+    named = F.regexp_replace(F.lower(line), VERSION[0], VERSION[1] + "$1")
+    return F.filter(F.regexp_extract_all(F.regexp_replace(named, ROUND, "$1"), F.lit(TERM), 0), lambda t: ~t.isin(*STOP))
+
+
+def must_hold(license: str, term: str) -> bool:
+    """Whether a notice without this term of the template is another licence's: its version, and "later" where later ones count."""
+    return term.startswith("version-") or (term == "later" and license.endswith("-or-later"))
 
 
 def template_terms(templates: dict[str, tuple[str, ...]]) -> list[tuple[str, int, str, int]]:
@@ -90,7 +139,8 @@ def template_terms(templates: dict[str, tuple[str, ...]]) -> list[tuple[str, int
     found = []
     for name, notices in templates.items():
         for k, notice in enumerate(notices):
-            words = Counter(w for w in re.findall(r"[a-z0-9]+(?:[.-][a-z0-9]+)*", notice.lower()) if w not in STOP)
+            named = re.sub(ROUND, r"\1", re.sub(VERSION[0], VERSION[1] + r"\1", notice.lower()))
+            words = Counter(w for w in re.findall(TERM, named) if w not in STOP)
             found += [(name, k, word, n) for word, n in words.items()]
     return found
 
@@ -125,7 +175,8 @@ def _runs(rows: DataFrame, lines, vocabulary: list[str]) -> DataFrame:
     begun = cut.select("key", F.explode(F.transform(starts, lambda i: F.struct(i.alias("first"), F.slice("pieces", i, WIDTH).alias("text"), F.slice("hits", i, WIDTH).alias("hits")))).alias("r"))
     ends = F.filter(F.sequence(F.lit(1), F.size("r.hits")), lambda k: F.element_at("r.hits", k))
     runs = begun.select("key", "r.first", "r.text", F.explode(ends).alias("n"))
-    runs = runs.select("key", "first", (F.col("first") + F.col("n") - 1).alias("last"), terms_of(F.array_join(F.slice("text", 1, F.col("n")), "\n")).alias("terms"))
+    run = F.array_join(F.slice("text", 1, F.col("n")), "\n")
+    runs = runs.select("key", "first", (F.col("first") + F.col("n") - 1).alias("last"), F.when(~run.rlike(DENIED), terms_of(run)).alias("terms"))
     return runs.where(F.arrays_overlap("terms", F.lit(vocabulary))).distinct()
 
 
@@ -155,9 +206,9 @@ def scan_licenses(files: DataFrame, lines, templates: dict[str, tuple[str, ...]]
     spark = files.sparkSession
     texts = texts if texts is not None else TEXTS if templates is None else {}
     if templates is None:
-        templates = {name: (*TEMPLATES.get(name, ()), *MORE_NOTICES.get(name, ())) for name in sorted({*TEMPLATES, *MORE_NOTICES})}
+        templates = {name: (*TEMPLATES.get(name, ()), *MORE_NOTICES.get(name, ()), f"SPDX-License-Identifier: {name}") for name in SPDX}
     known = template_terms(templates)
-    vocabulary = sorted({t for _, _, t, _ in known})
+    vocabulary = sorted({t for _, _, t, _ in known if t not in COMMON and not re.fullmatch(f"{VERSION[1]}[0-9.]+", t)})
     rows = files.select("file_id", directory_of(F.col("path")).alias("directory"), file_name_of(F.col("path")).rlike(LICENCE_FILE).alias("named"), F.xxhash64("file_id", "path", "body").alias("key"), "body")
     seen = materialize(_runs(rows, lines, vocabulary), "runs")
     total = max(1, seen.where("first = last").count())
@@ -171,10 +222,11 @@ def scan_licenses(files: DataFrame, lines, templates: dict[str, tuple[str, ...]]
     def weights_of(listed):
         norms: dict[tuple[str, int], float] = {}
         terms = Counter((name, k) for name, k, _, _ in listed)
+        musts = Counter((name, k) for name, k, term, _ in listed if must_hold(name, term))
         for name, k, term, n in listed:
             norms[name, k] = norms.get((name, k), 0.0) + (n * idf[term]) ** 2
-        given = [(name, k, t, idf[t], n * idf[t] / math.sqrt(norms[name, k]), terms[name, k] if terms[name, k] <= SHORT else 0) for name, k, t, n in listed]
-        return F.broadcast(spark.createDataFrame(given, "license string, notice int, term string, idf double, weight double, need int"))
+        given = [(name, k, t, idf[t], n * idf[t] / math.sqrt(norms[name, k]), terms[name, k] if terms[name, k] <= SHORT else 0, int(must_hold(name, t)), musts[name, k]) for name, k, t, n in listed]
+        return F.broadcast(spark.createDataFrame(given, "license string, notice int, term string, idf double, weight double, need int, must int, musts int"))
 
     def sized(counts, unit):
         """Norms with the weights of all terms; frequent ones are template words or were cut off before."""
@@ -184,9 +236,9 @@ def scan_licenses(files: DataFrame, lines, templates: dict[str, tuple[str, ...]]
     weights = weights_of(known)
     counts = seen.select(*unit, F.explode("terms").alias("term")).groupBy(*unit, "term").agg(F.count("*").alias("tf"))
     bare = counts.join(weights.select("term", "idf").distinct().hint("broadcast"), "term").groupBy(*unit).agg(F.sqrt(F.sum(F.pow(F.col("tf") * F.col("idf"), F.lit(2)))).alias("bare"))
-    dots = counts.join(weights, "term").groupBy(*unit, "license", "notice").agg(F.sum(F.col("tf") * F.col("idf") * F.col("weight")).alias("dot"), F.count("*").alias("terms"), F.max("need").alias("need"))
+    dots = counts.join(weights, "term").groupBy(*unit, "license", "notice").agg(F.sum(F.col("tf") * F.col("idf") * F.col("weight")).alias("dot"), F.count("*").alias("terms"), F.max("need").alias("need"), F.sum("must").alias("held"), F.max("musts").alias("musts"))
     # The norm over template words alone is a lower bound: what does not reach the threshold with it cannot reach it at all.
-    hopeful = materialize(dots.where("terms >= need").join(bare, unit).where(F.col("dot") / F.col("bare") >= least - 1e-6).drop("bare", "terms", "need"), "hopeful")
+    hopeful = materialize(dots.where("terms >= need AND held >= musts").join(bare, unit).where(F.col("dot") / F.col("bare") >= least - 1e-6).drop("bare", "terms", "need", "held", "musts"), "hopeful")
     norms = sized(counts.join(hopeful.select(*unit).distinct(), unit, "left_semi"), unit)
     close = hopeful.join(norms, unit).withColumn("score", F.round(F.col("dot") / F.col("norm"), 9)).where(F.col("score") >= least)
     best = lambda found: found.groupBy("key").agg(F.min(F.struct((-F.col("score")).alias("order"), "license")).alias("top"))

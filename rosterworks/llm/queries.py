@@ -14,7 +14,7 @@ from .decontaminate import leaked_pairs
 from .divergence import source_divergences
 from .hmm import hmm_scores
 from .jaccard import jaccard_components
-from .licenses import LICENCE_FILE, STOP, TEMPLATES, scan_licenses, template_terms, visible_lines
+from .licenses import LICENCE_FILE, ROUND, STOP, TEMPLATES, TERM, VERSION, must_hold, scan_licenses, template_terms, visible_lines
 from .mixing import mix
 from .pii import find_pii
 from .toxicity import score_toxicity, train
@@ -196,12 +196,13 @@ placed AS (
 SELECT doc_id, domain AS mix_domain, lang, source, CAST(epoch AS INTEGER) AS mix_epoch, tokens AS mix_tokens, CAST(amount AS BIGINT) AS mix_taken FROM taken WHERE amount > 0 OR tokens = 0
 """
 
-_NOTICES = ", ".join(f"('{name}', {k}, '{term}', {n})" for name, k, term, n in template_terms(TEMPLATES))
+_NOTICES = ", ".join(f"('{name}', {k}, '{term}', {n}, {int(must_hold(name, term))})" for name, k, term, n in template_terms(TEMPLATES))
 _STOP = ", ".join(f"'{w}'" for w in STOP)
-_TERMS = f"list_filter(regexp_extract_all(lower(line), '[a-z0-9]+(?:[.-][a-z0-9]+)*'), lambda t: t NOT IN ({_STOP}))"
+_NAMED = f"regexp_replace(regexp_replace(lower(line), '{VERSION[0]}', '{VERSION[1]}\\1', 'g'), '{ROUND}', '\\1', 'g')"
+_TERMS = f"list_filter(regexp_extract_all({_NAMED}, '{TERM}'), lambda t: t NOT IN ({_STOP}))"
 _DIRECTORY = "regexp_replace(regexp_replace(coalesce(url, ''), '^[a-zA-Z][a-zA-Z0-9+.-]*://|[?#].*$', '', 'g'), '/?[^/]*$', '')"
 ORACLES["op8_licenses"] = f"""
-WITH note(license, notice, term, n) AS (VALUES {_NOTICES}),
+WITH note(license, notice, term, n, must) AS (VALUES {_NOTICES}),
 page AS (SELECT page_id, {_DIRECTORY} AS directory, regexp_matches(regexp_extract(regexp_replace(coalesce(url, ''), '[?#].*$', '', 'g'), '([^/]*)$', 1), '{LICENCE_FILE}') AS named,
   string_split(regexp_replace(coalesce(html, ''), '(?is)<script\\b.*?</script>|<style\\b.*?</style>|<!--.*?-->|<[^>]*>', chr(10), 'g'), chr(10)) AS body FROM pages),
 line AS (SELECT page_id, unnest(body) AS line, generate_subscripts(body, 1) AS no FROM page),
@@ -209,9 +210,9 @@ seen AS (SELECT * FROM (SELECT page_id, no, {_TERMS} AS terms FROM line WHERE le
 tf AS (SELECT page_id, no, term, count(*) AS tf FROM (SELECT page_id, no, unnest(terms) AS term FROM seen) x GROUP BY page_id, no, term),
 total AS (SELECT greatest(count(*), 1) AS total FROM seen),
 idf AS (SELECT v.term, ln((1 + any_value(total)) / (1 + count(tf.page_id))) + 1 AS idf FROM (SELECT DISTINCT term FROM note) v CROSS JOIN total LEFT JOIN tf ON v.term = tf.term GROUP BY v.term),
-weight AS (SELECT license, notice, note.term, n * idf / sqrt(sum(n * idf * n * idf) OVER (PARTITION BY license, notice)) AS weight FROM note JOIN idf ON note.term = idf.term),
+weight AS (SELECT license, notice, note.term, must, sum(must) OVER (PARTITION BY license, notice) AS musts, n * idf / sqrt(sum(n * idf * n * idf) OVER (PARTITION BY license, notice)) AS weight FROM note JOIN idf ON note.term = idf.term),
 norm AS (SELECT page_id, no, sqrt(sum(tf * coalesce(idf, ln(1 + total) + 1) * tf * coalesce(idf, ln(1 + total) + 1))) AS norm FROM tf CROSS JOIN total LEFT JOIN idf ON tf.term = idf.term GROUP BY page_id, no),
-dot AS (SELECT tf.page_id, tf.no, license, notice, sum(tf * idf * weight) AS dot FROM tf JOIN idf ON tf.term = idf.term JOIN weight ON tf.term = weight.term GROUP BY tf.page_id, tf.no, license, notice),
+dot AS (SELECT tf.page_id, tf.no, license, notice, sum(tf * idf * weight) AS dot FROM tf JOIN idf ON tf.term = idf.term JOIN weight ON tf.term = weight.term GROUP BY tf.page_id, tf.no, license, notice HAVING sum(must) >= max(musts)),
 own AS (SELECT page_id, license AS own_license, score AS own_score FROM (
   SELECT dot.page_id, license, round(dot / norm, 9) AS score, row_number() OVER (PARTITION BY dot.page_id ORDER BY round(dot / norm, 9) DESC, license) AS rn FROM dot JOIN norm ON dot.page_id = norm.page_id AND dot.no = norm.no WHERE round(dot / norm, 9) >= 0.75) x WHERE rn = 1),
 placed AS (SELECT p.page_id, directory, named, own_license, own_score FROM page p LEFT JOIN own ON p.page_id = own.page_id),

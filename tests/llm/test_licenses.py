@@ -88,3 +88,55 @@ def test_common_words_weigh_less(spark):
     rows = [(k, f"d{k}/a.c", f"Released under the MIT License acme tools {k if k else ''}") for k in range(1)] + [(k, f"e{k}/b.c", f"acme tools license topic{k}") for k in range(1, 400)]
     got = {r.file_id: r for r in L.scan_licenses(spark.createDataFrame(rows, "file_id long, path string, body string"), lines).collect()}
     assert got[0].own_license == "MIT" and got[0].own_score > 0.95
+
+
+def gnu(kind, name, version):
+    return f"This {kind} is free software; you can redistribute it and/or modify it under the terms of the GNU {name}General Public License as published by the Free Software Foundation; {version}"
+
+
+LATER = "either version {} of the License, or (at your option) any later version."
+HEADERS = {
+    "GNU General Public License version 2 as published by the Free Software Foundation": "GPL-2.0-only",
+    "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License version 2 as published by the Free Software Foundation.": "GPL-2.0-only",
+    gnu("program", "", "version 2 of the License."): "GPL-2.0-only",
+    gnu("program", "", LATER.format(2)): "GPL-2.0-or-later",
+    gnu("program", "", LATER.format(3)): "GPL-3.0-or-later",
+    gnu("program", "Affero ", LATER.format(3)): "AGPL-3.0-or-later",
+    gnu("program", "Affero ", "version 3 of the License."): "AGPL-3.0-only",
+    gnu("library", "Lesser ", LATER.format("2.1")): "LGPL-2.1-or-later",
+    gnu("library", "Lesser ", LATER.format("3")): "LGPL-3.0-or-later",
+    "Licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0-only",
+    "Licensed under the GPL version 2 or later.": "GPL-2.0-or-later",
+    "Licensed under the GPL v3.": "GPL-3.0-only",
+    "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/": "EPL-2.0",
+    "This is free and unencumbered software released into the public domain.": "Unlicense",
+    "Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt)": "BSL-1.0",
+    "Licensed under the Apache License, Version 2": "Apache-2.0",
+    "Licensed under the Apache License, Version 1.1.": None,
+    "SPDX-License-Identifier: MIT": "MIT",
+    "// SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0-or-later",
+    "SPDX-License-Identifier: BSD-3-Clause": "BSD-3-Clause",
+    "SPDX-License-Identifier: Nothing-1.0": None,
+    "This file is not licensed under the MIT License.": None,
+    "The work was never released under the MIT License.": None,
+}
+
+
+def test_standard_headers(spark):
+    """Each header on one line and wrapped in a comment, among files that mention licences."""
+    bodies = [b for h in HEADERS for b in (h, "/*\n" + comment(h) + "\n */\nint main() {}")]
+    rows = [(k, f"d{k}/a.c", body) for k, body in enumerate(bodies)] + [(1000 + k, f"p{k}/x.c", f"some plain words about the license of work number {k}") for k in range(40)]
+    got = {r.file_id: r.own_license for r in L.scan_licenses(spark.createDataFrame(rows, "file_id long, path string, body string"), lines).collect()}
+    names = [n for n in HEADERS.values() for _ in range(2)]
+    assert {bodies[k]: got[k] for k in range(len(bodies))} == dict(zip(bodies, names, strict=True))
+    assert all(got[1000 + k] is None for k in range(40))
+
+
+def test_odd_files(spark):
+    """Nulls, empty and very long bodies, repeated rows, clashing columns and an empty table."""
+    long = "word soup and more " * 60_000
+    rows = [(1, None, None), (2, "", ""), (3, "a/b.c", long + "\nReleased under the MIT License.\n" + long), (3, "a/b.c", long + "\nReleased under the MIT License.\n" + long), (None, "c/d.c", "MIT License"), (4, "e/LICENSE", None), (5, "a/x", "\n\n \t")]
+    frame = spark.createDataFrame([(*r, "k", 1.0, "t") for r in rows], "file_id long, path string, body string, key string, idf double, terms string")
+    got = sorted(((r.file_id or 0, r.license, r.found) for r in L.scan_licenses(frame, lines).collect()), key=str)
+    assert got == [(0, "MIT", "header"), (1, None, "none"), (2, None, "none"), (3, "MIT", "header"), (3, "MIT", "header"), (4, None, "none"), (5, "MIT", "inherited")]
+    assert L.scan_licenses(frame.where("false"), lines).count() == 0
