@@ -68,7 +68,8 @@ def text_key(column: Column) -> Column:
     return F.xxhash64(F.coalesce(column, F.lit("")))
 
 
-BROADCAST_KEYS = 1_000_000
+#: What is broadcast has so many rows and, with values of any length beside the key, so many bytes.
+BROADCAST_KEYS, BROADCAST_BYTES = 1_000_000, 64 << 20
 SALTS = 32
 
 
@@ -77,6 +78,13 @@ def if_few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_KEYS else df
 
 
+def is_small(df: DataFrame) -> bool:
+    """Whether df has been counted to be small enough for a broadcast, in rows and in bytes as JSON."""
+    if df.count() > BROADCAST_KEYS:
+        return False
+    return (df.agg(F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))).first()[0] or 0) <= BROADCAST_BYTES
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that df does not have, whatever the case of its letters."""
     taken = {c.lower() for c in df.columns}
@@ -88,17 +96,18 @@ def free_name(df: DataFrame, name: str) -> str:
 def with_keyed(docs: DataFrame, key: Column, values: DataFrame, how: str) -> DataFrame:
     """docs joined with ``values`` (key and, for a left join, one value column) on a key of their rows.
 
-    Few keys are broadcast, after they have been counted. More are repeated for each of some salts, so that
-    even a key that a third of all rows have is dealt over that many tasks. The value column comes last.
+    Few keys are broadcast, after rows and bytes have been counted. More are repeated for each of some salts, so that
+    even a key that a third of all rows have is dealt over that many tasks; the salt is a hash of the row, so a
+    lost task is dealt as before. The value column comes last.
     """
     name, salt = free_name(docs, "_key"), free_name(docs, "_salt")
     extra = [c for c in values.columns if c != "key"]
     renamed = values.select(F.col("key").alias(name), *[F.col(c).alias(free_name(docs, f"_{c}")) for c in extra])
     keep = [F.col(f"`{c}`") for c in docs.columns] + ([F.col(free_name(docs, f"_{c}")) for c in extra] if how == "left" else [])
     keyed = docs.withColumn(name, key)
-    if values.count() <= BROADCAST_KEYS:
+    if is_small(values):
         return keyed.join(F.broadcast(renamed), name, how).select(*keep)
-    keyed = keyed.withColumn(salt, F.floor(F.rand(7) * SALTS).cast("int"))
+    keyed = keyed.withColumn(salt, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns if "map<" not in docs.schema[c].dataType.simpleString()]), F.lit(SALTS)).cast("int"))
     spread = renamed.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return keyed.join(spread, [name, salt], how).select(*keep)
 
