@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from rosterworks import params
 from rosterworks.operators import cycle as Y
-from rosterworks.operators import merge as M
 from rosterworks.operators import rollups as U
 from rosterworks.operators import validate as V
 from rosterworks.operators import work as W
