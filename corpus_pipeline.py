@@ -19,8 +19,17 @@ from rosterworks.llm.queries import MIX_WEIGHTS, table
 from rosterworks.llm.toxicity import drop_toxic, train
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts are long: a thousand of them are an Arrow batch, so that Python workers and the JVM's buffers for them stay small.
+
+    The setting is the session's, since a stage's result is computed when the caller writes it.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose restored text scores below 0.5; null and empty texts hold no word, and rows repeat as they come."""
+    small_batches(spark)
     return drop_toxic(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
@@ -29,16 +38,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Of rows that repeat it one stays; null, empty and blank texts are linked with nothing; rows without doc_id stay.
     """
+    small_batches(spark)
     return keep_first(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no benchmark item leaked into; null and empty texts hold none, copies go together."""
+    small_batches(spark)
     return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with personal data replaced by its kind; null texts stay null, equal texts stay equal."""
+    small_batches(spark)
     return redact(docs)
 
 
