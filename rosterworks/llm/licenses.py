@@ -111,7 +111,7 @@ SHORT = 3
 # Words too common to speak for a licence.
 STOP = ("a", "an", "and", "any", "are", "at", "be", "by", "can", "for", "in", "is", "it", "may", "not", "of", "or", "that", "the", "this", "to", "with", "you")
 # Words of templates that ordinary text is full of; a run of pieces does not begin or end with them alone.
-COMMON = ("available", "copy", "distributed", "domain", "either", "file", "form", "following", "free", "general", "library", "made", "materials", "person", "program", "public", "published", "released", "source", "terms", "under", "use", "work")
+COMMON = ("as", "available", "copy", "distributed", "domain", "either", "file", "form", "following", "free", "general", "https", "library", "made", "materials", "person", "program", "public", "published", "released", "source", "terms", "under", "use", "which", "work")
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|notice)(\.[a-z]+)?$"
 
 
