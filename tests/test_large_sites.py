@@ -1,8 +1,11 @@
 """What keeps the work on parsed sites in proportion: many tasks, no large broadcast, one parse, no cut, small slices."""
 
+import pytest
 
 from rosterworks import params
 from rosterworks.operators import pages as P
+from rosterworks.sources.tables import spread
+from rosterworks.sources.views import view
 
 
 def plan(df, capsys):
@@ -11,6 +14,18 @@ def plan(df, capsys):
     return capsys.readouterr().out
 
 
+@pytest.mark.parametrize("name", ["sites", "visits"])
+def test_pages_of_a_narrow_table_are_many_tasks(spark, name):
+    """15,000 customers are one split of their file, but four tasks' pages."""
+    assert view(spark, "/root/testdata/sf0.1", name).select("page_id").rdd.getNumPartitions() >= 4
+
+
+def test_spread_keeps_rows(spark):
+    got = spread(spark.range(100).repartition(1), "id", rows=30)
+    assert got.rdd.getNumPartitions() == 4 and sorted(r.id for r in got.collect()) == list(range(100))
+    assert spread(spark.range(0), "id").count() == 0
+
+
 def test_site_pages_broadcast_nothing(spark, capsys):
     sites = spark.createDataFrame([("a.example", "https://a.example/"), ("b.example", "https://b.example")], "account_key string, home string")
     rows = [("https://a.example/", 1, True, "https://a.example/"), ("https://a.example/staff", 2, True, "https://a.example/"), ("https://b.example/staff", 3, True, "https://b.example/team"), ("https://b.example/", 4, False, "https://b.example/")]
