@@ -1,9 +1,11 @@
 """What keeps the work on parsed sites in proportion: many tasks, no large broadcast, one parse, no cut, small slices."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from rosterworks import params
 from rosterworks.operators import pages as P
+from rosterworks.plans.registry import QUERIES
 from rosterworks.sources.tables import spread
 from rosterworks.sources.views import view
 
@@ -32,3 +34,14 @@ def test_site_pages_broadcast_nothing(spark, capsys):
     got = P.site_pages(sites, spark.createDataFrame(rows, "url string, page_id long, usable boolean, final_url string"))
     assert "Broadcast" not in plan(got, capsys)
     assert sorted((r.account_key, r.page_ord, r.page_id) for r in got.collect()) == [("a.example", 0, 1), ("b.example", params.SITE_PATHS.index("/staff"), 3)]
+
+
+def test_union_of_people_pages_is_whole(spark, capsys):
+    """More pages than any cut stay, a found page wins over a guess of it, and nothing is ranked."""
+    links = spark.range(1500).select(F.lit("https://a.example").alias("url"), F.concat(F.lit("https://a.example/staff/"), "id").alias("target"), F.col("id").cast("int").alias("pos"), F.lit("/staff").alias("href"), F.lit("Staff").alias("text"))
+    links = links.unionByName(links.where("pos = 0").withColumns({"target": F.lit("https://a.example/sales"), "text": F.lit("Our team")}))
+    homes = spark.createDataFrame([("https://a.example",)], "url string")
+    got = P.people_pages(links, homes, limit=None)
+    assert got.count() == 1500 + len(params.CONTACT_PATHS) and got.where("target = 'https://a.example/sales'").first().priority == 0
+    assert "Window" not in plan(QUERIES["site_url_union"](spark, "/root/testdata/sf0.001"), capsys)
+    assert P.people_pages(links, homes, limit=16).count() == 16
