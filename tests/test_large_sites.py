@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rosterworks import params
+from rosterworks.operators import enrich as E
 from rosterworks.operators import pages as P
 from rosterworks.plans.registry import QUERIES
 from rosterworks.sources.tables import spread
@@ -36,6 +37,23 @@ def test_site_pages_broadcast_nothing(spark, capsys):
     assert sorted((r.account_key, r.page_ord, r.page_id) for r in got.collect()) == [("a.example", 0, 1), ("b.example", params.SITE_PATHS.index("/staff"), 3)]
 
 
+def test_enrichment_parses_once(spark, capsys):
+    shown = plan(QUERIES["apply_enrichment"](spark, "/root/testdata/sf0.001"), capsys)
+    assert len([line for line in shown.splitlines() if "MapInArrow" in line or "MapInPandas" in line]) == 1
+
+
+def test_home_pages_in_found_or_beside_it(spark):
+    stored = "account_key string, account_name string, inferred_brand string, account_city string, account_state string, name_confidence double, brand_confidence double, location_confidence double, confidence_score double, website_url string, website_source_url string, website_confidence_score double, source_type string"
+    accounts = spark.createDataFrame([(k, "Old", None, None, None, 0.5, 0.5, 0.5, 0.4, "w", None, s, "x") for k, s in (("a", 0.3), ("b", 0.99), ("c", 0.3), ("d", 0.3))], stored)
+    values = "account_key string, account_name string, name_confidence double, inferred_brand string, brand_confidence double, account_city string, account_state string, location_confidence double, website_url string, website_confidence_score double"
+    found = spark.createDataFrame([("a", "New", 0.9, "Kia", 0.4, None, None, None, "https://a", 0.95), ("b", None, None, None, None, None, None, None, "https://b", 0.95), ("c", "New", 0.9, None, None, None, None, None, None, 0.95)], values)
+    beside = E.apply_enrichment(accounts, found.drop("website_url", "website_confidence_score"), found.select("account_key", "website_url", "website_confidence_score"))
+    inside = E.apply_enrichment(accounts, found)
+    assert sorted(inside.collect()) == sorted(beside.collect()) and inside.columns == accounts.columns
+    got = {r.account_key: (r.website_url, r.website_confidence_score, r.source_type) for r in inside.collect()}
+    assert got == {"a": ("https://a", 0.95, "website_enrichment"), "b": ("https://b", 0.99, "website_enrichment"), "c": ("w", 0.95, "x"), "d": ("w", 0.3, "x")}
+
+
 def test_union_of_people_pages_is_whole(spark, capsys):
     """More pages than any cut stay, a found page wins over a guess of it, and nothing is ranked."""
     links = spark.range(1500).select(F.lit("https://a.example").alias("url"), F.concat(F.lit("https://a.example/staff/"), "id").alias("target"), F.col("id").cast("int").alias("pos"), F.lit("/staff").alias("href"), F.lit("Staff").alias("text"))
