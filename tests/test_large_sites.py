@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from rosterworks import params
 from rosterworks.operators import enrich as E
 from rosterworks.operators import pages as P
+from rosterworks.operators import people as H
 from rosterworks.plans.registry import QUERIES
 from rosterworks.sources.tables import spread
 from rosterworks.sources.views import view
@@ -37,6 +38,13 @@ def test_site_pages_broadcast_nothing(spark, capsys):
     assert sorted((r.account_key, r.page_ord, r.page_id) for r in got.collect()) == [("a.example", 0, 1), ("b.example", params.SITE_PATHS.index("/staff"), 3)]
 
 
+def test_candidates_do_not_broadcast_accounts(spark, capsys):
+    pages = spark.createDataFrame([(1, "https://a.example/staff", "<p>Jane Smith, General Manager, jane@a.example and all others</p>")], "page_id long, url string, html string")
+    seen = P.page_features(pages).withColumns({"account_key": F.lit("a.example"), "page_ord": F.lit(0)})
+    got = H.page_candidates(seen, spark.createDataFrame([("a.example", None)], "account_key string, website_url string"))
+    assert "Broadcast" not in plan(got, capsys) and [r.full_name for r in got.collect()] == ["Jane Smith"]
+
+
 def test_enrichment_parses_once(spark, capsys):
     shown = plan(QUERIES["apply_enrichment"](spark, "/root/testdata/sf0.001"), capsys)
     assert len([line for line in shown.splitlines() if "MapInArrow" in line or "MapInPandas" in line]) == 1
