@@ -1,5 +1,6 @@
 """What keeps the work on parsed sites in proportion: many tasks, no large broadcast, one parse, no cut, small slices."""
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,3 +72,23 @@ def test_union_of_people_pages_is_whole(spark, capsys):
     assert got.count() == 1500 + len(params.CONTACT_PATHS) and got.where("target = 'https://a.example/sales'").first().priority == 0
     assert "Window" not in plan(QUERIES["site_url_union"](spark, "/root/testdata/sf0.001"), capsys)
     assert P.people_pages(links, homes, limit=16).count() == 16
+
+
+def test_slices_of_a_batch():
+    html = pa.array(["x" * 10] * 600 + [None, "", "y" * (P.BYTES_AT_ONCE + 1), "z"] + ["w" * 1_000_000] * 9)
+    got = list(P._slices(html))
+    assert [start for start, _ in got] == [sum(n for _, n in got[:k]) for k in range(len(got))] and sum(n for _, n in got) == len(html)
+    sizes = [len(v or "") for v in html.to_pylist()]
+    assert all(n <= P.PAGES_AT_ONCE and (n == 1 or sum(sizes[s : s + n]) <= P.BYTES_AT_ONCE) for s, n in got)
+    assert list(P._slices(pa.array([], pa.string()))) == []
+
+
+def test_features_do_not_depend_on_slices(spark):
+    pages = spark.range(1000).repartition(1).select(F.col("id").alias("page_id"), F.concat(F.lit("https://a.example/"), "id").alias("url"), F.when(F.col("id") % 7 > 0, F.concat(F.lit("<title>T"), "id", F.lit('</title><a href="/x">y</a><p>write to m'), "id", F.lit("@a.example"))).alias("html"))
+    rows = {r.page_id: r for r in P.page_features(pages, ("html",)).collect()}
+    assert len(rows) == 1000
+    for k in (0, 1, 255, 256, 257, 999):
+        want = P.parse_spans(rows[k].html or "")
+        assert {c: rows[k][c] for c in ("title", "text", "json_ld")} == {c: want[c] for c in ("title", "text", "json_ld")}
+        assert [a.asDict() for a in rows[k].anchors] == want["anchors"] and [m.asDict() for m in rows[k].email_contexts] == want["email_contexts"]
+        assert rows[k].html is None if k % 7 == 0 else f"<title>T{k}<" in rows[k].html
