@@ -1,5 +1,7 @@
 """What keeps the work on parsed sites in proportion: many tasks, no large broadcast, one parse, no cut, small slices."""
 
+import re
+
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -92,3 +94,15 @@ def test_features_do_not_depend_on_slices(spark):
         assert {c: rows[k][c] for c in ("title", "text", "json_ld")} == {c: want[c] for c in ("title", "text", "json_ld")}
         assert [a.asDict() for a in rows[k].anchors] == want["anchors"] and [m.asDict() for m in rows[k].email_contexts] == want["email_contexts"]
         assert rows[k].html is None if k % 7 == 0 else f"<title>T{k}<" in rows[k].html
+
+
+MADE = {
+    "email_contexts": {"email_contexts", "text"},
+}
+
+
+@pytest.mark.parametrize("name", MADE)
+def test_only_used_features_are_made(spark, capsys, name):
+    shown = plan(QUERIES[name](spark, "/root/testdata/sf0.001"), capsys)
+    made = re.search(r"MapInArrow run\(.*?\)#\d+, \[(.*?)\]", shown)[1]
+    assert {re.sub(r"#\d+L?", "", c) for c in made.split(", ")} == {"page_id", "url"} | MADE[name]
