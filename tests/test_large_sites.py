@@ -1,6 +1,8 @@
 """What keeps the work on parsed sites in proportion: many tasks, no large broadcast, one parse, no cut, small slices."""
 
+import random
 import re
+from html.parser import HTMLParser
 
 import pyarrow as pa
 import pytest
@@ -96,6 +98,26 @@ def test_features_do_not_depend_on_slices(spark):
         assert rows[k].html is None if k % 7 == 0 else f"<title>T{k}<" in rows[k].html
 
 
+ODD = ("<a", "<A", "<p", "<script", "<style", "<title", "<textarea", "<meta", "<br", "<h1", "<x-y", ">", "/>", " >", ' href="/x"', " href='/x y'", " href=/x", ' href="a&amp;b"', ' href="mailto:a@b.example"', ' class="x>y"', ' name="description"', ' content="some <b> words"',
+       ' type="application/ld+json"', ' data-x=""', " checked", '  id="2"', ' id="2"id="3"', "\n", "</a>", "</A>", "</p>", "</script>", "</script >", "</style>", "</title>", "</ a>", "</a b>", "</>", "</", "<!-- c -->", "<!--", "&amp;", "&", "text and more text that is long enough", "me@x.example", '"', "=")
+
+
+def test_plain_tags_are_read_as_the_library_reads_them(monkeypatch):
+    """Quick ways for plain tags change no feature; on a page of such tags no other is taken."""
+    plain = '<div class="x"><p>Jane, <b>Manager</b></p><a href="mailto:j@a.example">Mail</a></div>'
+    whole = P.parse_spans(plain)
+    chance = random.Random(7)
+    odd = ["".join(chance.choices(ODD, k=chance.randint(1, 25))) for _ in range(4000)]
+    quick = [P.parse_spans(h) for h in odd]
+    with monkeypatch.context() as m:
+        for name in ("parse_starttag", "parse_endtag", "updatepos"):
+            m.setattr(HTMLParser, name, lambda *_: pytest.fail("not the quick way"))
+        assert P.parse_spans(plain) == whole
+    for name in ("parse_starttag", "parse_endtag", "updatepos"):
+        monkeypatch.delattr(P._Tree, name)
+    assert P.parse_spans(plain) == whole and [P.parse_spans(h) for h in odd] == quick
+
+
 MADE = {
     "email_contexts": {"email_contexts", "text"},
 }
