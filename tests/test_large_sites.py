@@ -120,6 +120,7 @@ def test_plain_tags_are_read_as_the_library_reads_them(monkeypatch):
 
 MADE = {
     "email_contexts": {"email_contexts", "text"},
+    "page_brands": {"json_ld", "og_site_name", "title", "meta_description"},
 }
 
 
@@ -128,3 +129,7 @@ def test_only_used_features_are_made(spark, capsys, name):
     shown = plan(QUERIES[name](spark, "/root/testdata/sf0.001"), capsys)
     made = re.search(r"MapInArrow run\(.*?\)#\d+, \[(.*?)\]", shown)[1]
     assert {re.sub(r"#\d+L?", "", c) for c in made.split(", ")} == {"page_id", "url"} | MADE[name]
+
+
+def test_texts_are_searched_for_brands_once(spark, capsys):
+    assert plan(QUERIES["page_brands"](spark, "/root/testdata/sf0.001"), capsys).count("regexp_extract_all(lower(") == 5
