@@ -121,6 +121,7 @@ def test_plain_tags_are_read_as_the_library_reads_them(monkeypatch):
 MADE = {
     "email_contexts": {"email_contexts", "text"},
     "page_brands": {"json_ld", "og_site_name", "title", "meta_description"},
+    "best_page_values": {"json_ld", "og_site_name", "title", "meta_description", "account_key", "html"},
 }
 
 
@@ -133,3 +134,12 @@ def test_only_used_features_are_made(spark, capsys, name):
 
 def test_texts_are_searched_for_brands_once(spark, capsys):
     assert plan(QUERIES["page_brands"](spark, "/root/testdata/sf0.001"), capsys).count("regexp_extract_all(lower(") == 5
+
+
+def test_places_are_worked_out_once(spark, capsys):
+    shown = plan(QUERIES["best_page_values"](spark, "/root/testdata/sf0.001"), capsys)
+    assert shown.count("$.address.addressLocality") == 1 and shown.count("initcap") == 2
+    rows = [("", ""), (None, None), ("<p>Visit us in Salem,  OR 97301", ""), ("Here, ZZ. Bend,\nWA", ""), ("Salem, OR", '{"address": {"addressLocality": " ", "addressRegion": "OR"}}'), ("Salem, OR", '{"address": {"addressLocality": "bend", "addressRegion": " wa "}}')]
+    frame = spark.createDataFrame([(k, h, [j] if j else []) for k, (h, j) in enumerate(rows)], "k int, h string, j array<string>")
+    got = [r.p and tuple(r.p) for r in frame.select("k", E.page_place(F.col("j"), F.col("h")).alias("p")).orderBy("k").collect()]
+    assert got == [None, None, ("Visit Us In Salem", "OR", 0.72), ("Zz. Bend", "WA", 0.72), ("Salem", "OR", 0.72), ("Bend", "WA", 0.95)]
