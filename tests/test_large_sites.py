@@ -122,6 +122,7 @@ MADE = {
     "email_contexts": {"email_contexts", "text"},
     "page_brands": {"json_ld", "og_site_name", "title", "meta_description"},
     "best_page_values": {"json_ld", "og_site_name", "title", "meta_description", "account_key", "html"},
+    "page_anchors": {"anchors"},
 }
 
 
