@@ -123,6 +123,7 @@ MADE = {
     "page_brands": {"json_ld", "og_site_name", "title", "meta_description"},
     "best_page_values": {"json_ld", "og_site_name", "title", "meta_description", "account_key", "html"},
     "page_anchors": {"anchors"},
+    "site_names": {"json_ld", "og_site_name", "title"},
 }
 
 
